@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,26 +63,69 @@ CASE_TYPES: list[tuple[str, str]] = [
     ("miscellaneous_petition", r"miscellaneous|\bmisc\b"),
 ]
 
-# Case-insensitive, Unicode word boundaries, and only a line feed ends a line.
-_FLAGS = "(?iUd)"
+# Unicode word boundaries, and only a line feed ends a line.
+_FLAGS = "(?Ud)"
 
+# Letters that case-insensitive matching treats as plain s and i, besides lower-casing.
+_FOLD_FROM, _FOLD_TO = "\u017f\u0131\u0130\u212a", "siik"
 
-def case_type(text: Column | str) -> Column:
-    """Label of the first pattern found in ``text``; NULL when none is.
+
+def fold(text: Column | str) -> Column:
+    """Lower-case form on which the patterns match without a case-insensitive flag."""
+    return F.lower(F.translate(col(text), _FOLD_FROM, _FOLD_TO))
+
+
+def spellings(pattern: str) -> list[str]:
+    """Plain substrings of which at least one occurs wherever ``pattern`` matches.
+
+    Optional parts and groups are written out; anything after an open-ended gap is left off.
+    A spelling that contains another one is redundant and dropped.
+    """
+    found: set[str] = set()
+    todo = re.split(r"\|(?![^(]*\))", pattern)
+    while todo:
+        piece = todo.pop()
+        group = re.search(r"\(\?:([^()]*)\)(\??)", piece)
+        optional = re.search(r"(\\.|[a-z ])\?", piece)
+        if group:
+            options = group[1].split("|") + ([""] if group[2] else [])
+        elif optional:
+            group, options = optional, [optional[1], ""]
+        else:
+            found.add(piece.split(".{")[0].replace(r"\b", "").replace("\\", ""))
+            continue
+        todo += [piece[: group.start()] + o + piece[group.end():] for o in options]
+    return sorted(s for s in found if not any(o in s for o in found if o != s))
+
+
+def _matches(folded: Column, pattern: str) -> Column:
+    """Whether ``pattern`` occurs: substring search first, the regex only on a hit.
+
+    Substring search costs a fraction of a regex scan, and most texts match no pattern.
+    """
+    hit = reduce(or_, [folded.contains(s) for s in spellings(pattern)])
+    if re.fullmatch(r"[a-z0-9& |]+", pattern):
+        return hit
+    return hit & folded.rlike(_FLAGS + pattern)
+
+
+def case_type(folded: Column | str) -> Column:
+    """Label of the first pattern found in folded text; NULL when none is.
 
     Pass a plain column: an expression would be evaluated once per pattern.
     """
-    text = col(text)
-    head, *rest = CASE_TYPES
-    chain = F.when(text.rlike(_FLAGS + head[1]), head[0])
-    return reduce(lambda c, rule: c.when(text.rlike(_FLAGS + rule[1]), rule[0]), rest, chain)
+    folded = col(folded)
+    chain = F
+    for label, pattern in CASE_TYPES:
+        chain = chain.when(_matches(folded, pattern), label)
+    return chain
 
 
 def with_case_type(df: DataFrame, out: str, *texts: Column | str) -> DataFrame:
     """Add the case type of the non-empty ``texts`` joined by a blank.
 
-    The joined text gets a projection of its own, which Catalyst keeps apart because the
+    The folded text gets a projection of its own, which Catalyst keeps apart because the
     pattern chain reads it many times.
     """
-    blob = F.concat_ws(" ", *[nonblank(t) for t in texts])
+    blob = fold(F.concat_ws(" ", *[nonblank(t) for t in texts]))
     return df.withColumn("_blob", blob).withColumn(out, case_type("_blob")).drop("_blob")
