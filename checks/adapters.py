@@ -217,7 +217,7 @@ ADAPTERS = {
           END AS body
         FROM {events}""",
     "fx_log": """
-        SELECT event_id AS id, ts AS at,
+        SELECT event_id AS id, ts AS stamp,
           CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'warn' ELSE 'info' END
             AS level,
           props AS message,

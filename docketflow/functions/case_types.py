@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,27 +96,29 @@ def spellings(pattern: str) -> list[str]:
     return sorted(s for s in found if not any(o in s for o in found if o != s))
 
 
-def _matches(folded: Column, pattern: str) -> Column:
-    """Whether ``pattern`` occurs: substring search first, the regex only on a hit.
+def _quoted(text: str) -> str:
+    return "r'" + text + "'"
+
+
+def _matches(column: str, pattern: str) -> str:
+    """SQL condition that ``pattern`` occurs: substring search first, the regex only on a hit.
 
     Substring search costs a fraction of a regex scan, and most texts match no pattern.
     """
-    hit = reduce(or_, [folded.contains(s) for s in spellings(pattern)])
+    hit = " OR ".join(f"contains({column}, {_quoted(s)})" for s in spellings(pattern))
     if re.fullmatch(r"[a-z0-9& |]+", pattern):
         return hit
-    return hit & folded.rlike(_FLAGS + pattern)
+    return f"({hit}) AND {column} RLIKE {_quoted(_FLAGS + pattern)}"
 
 
-def case_type(folded: Column | str) -> Column:
-    """Label of the first pattern found in folded text; NULL when none is.
+def case_type(column: str) -> Column:
+    """Label of the first pattern found in a column of folded text; NULL when none is.
 
-    Pass a plain column: an expression would be evaluated once per pattern.
+    Written as one SQL expression, which is parsed at once; some hundred Column calls would
+    each cross into the JVM.
     """
-    folded = col(folded)
-    chain = F
-    for label, pattern in CASE_TYPES:
-        chain = chain.when(_matches(folded, pattern), label)
-    return chain
+    arms = " ".join(f"WHEN {_matches(column, p)} THEN '{label}'" for label, p in CASE_TYPES)
+    return F.expr(f"CASE {arms} END")
 
 
 def with_case_type(df: DataFrame, out: str, *texts: Column | str) -> DataFrame:
@@ -128,4 +128,5 @@ def with_case_type(df: DataFrame, out: str, *texts: Column | str) -> DataFrame:
     pattern chain reads it many times.
     """
     blob = fold(F.concat_ws(" ", *[nonblank(t) for t in texts]))
-    return df.withColumn("_blob", blob).withColumn(out, case_type("_blob")).drop("_blob")
+    return df.select("*", blob.alias("_blob")).select(
+        *df.columns, case_type("_blob").alias(out))

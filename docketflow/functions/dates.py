@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docketflow.functions.text import col, nonblank, strip
+from docketflow.functions.text import col, strip
 
 # The date shapes the collections use.
 YEAR_RUN = r"(?:19|20)\d{2}"
@@ -16,21 +16,21 @@ DAY_FIRST = r"^\d{1,2}[-/]\d{1,2}[-/](?:19|20)\d{2}"
 def decision_year(value: Column | str) -> Column:
     """First run of four digits opening with 19 or 20, wherever it stands."""
     found = F.regexp_extract(col(value).cast("string"), YEAR_RUN, 0)
-    return nonblank(found).cast("int")
+    return found.try_cast("int")
 
 
 def decision_date(value: Column | str) -> Column:
     """ISO text of a reported date, ISO prefix first and day-first otherwise.
 
-    Impossible days give NULL: ``try_cast`` neither clamps nor raises.
+    Impossible days, and the empty text of a pattern that is not found, give NULL:
+    ``try_cast`` neither clamps nor raises.
     """
     text = strip(col(value).cast("string"))
     iso = F.regexp_extract(text, ISO_DAY, 0)
     day_first = F.regexp_replace(
         F.regexp_extract(text, DAY_FIRST, 0), r"^(\d+)[-/](\d+)[-/](\d+)$", "$3-$2-$1"
     )
-    day = F.coalesce(nonblank(iso), nonblank(day_first)).try_cast("date")
-    return day.cast("string")
+    return F.coalesce(iso.try_cast("date"), day_first.try_cast("date")).cast("string")
 
 
 def backoff_seconds(attempts: Column | str, base: int = 60, cap: int = 900) -> Column:

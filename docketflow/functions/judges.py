@@ -19,6 +19,10 @@ _BLANK = r"[\s\x1c-\x1f]"
 SEPARATORS = r"\||;|,|\band\b"
 TITLES = r"mr\.?|mrs\.?|ms\.?|dr\.?|justice|chief" + _BLANK + r"+justice"
 
+# Composition by number of judges, the last one for that many or more.
+COMPOSITIONS = (None, "single_judge", "division_bench", "full_bench", "full_bench",
+                "constitution_bench")
+
 _SPLIT = f"(?iU){_BLANK}*(?:{SEPARATORS}){_BLANK}*"
 _FRONT = (
     f"(?iU)(^|{_MARK})"
@@ -44,11 +48,10 @@ def judge_names(judges: Column | str) -> Column:
 
 
 def bench_type(judges: Column | str) -> Column:
-    """Composition label from the number of distinct judges; NULL when none is recorded."""
-    n = F.size(judge_names(judges))
-    return (
-        F.when(n == 1, "single_judge")
-        .when(n == 2, "division_bench")
-        .when(n.between(3, 4), "full_bench")
-        .when(n >= 5, "constitution_bench")
-    )
+    """Composition label from the number of distinct judges; NULL when none is recorded.
+
+    A lookup by position: the name list is built once, which a chain of comparisons would not do.
+    """
+    n = F.coalesce(F.size(judge_names(judges)), F.lit(0))
+    labels = F.array(*[F.lit(label) for label in COMPOSITIONS])
+    return F.get(labels, F.least(n, F.lit(len(COMPOSITIONS) - 1)))

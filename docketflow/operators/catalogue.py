@@ -80,9 +80,9 @@ def sc_targets(bounds: DataFrame, include_regional: bool) -> DataFrame:
     """Targets for the year range held in a one-row frame (lo, hi)."""
     kinds = SC_KINDS if include_regional else SC_KINDS[:1]
     return (
-        bounds.select(F.explode(F.sequence("lo", "hi")).cast("int").alias("year"))
+        bounds.select(F.explode(F.sequence("lo", "hi")).alias("year"))
         .select(
-            F.lit("sc").alias("source"), "year",
+            F.lit("sc").alias("source"), F.col("year").cast("int").alias("year"),
             F.explode(F.array(*[F.lit(k) for k in kinds])).alias("court"),
             F.lit(None).cast("string").alias("bench"),
         )

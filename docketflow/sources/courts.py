@@ -9,8 +9,8 @@ from docketflow.functions.courts import COURT_NAMES, COURT_STATES
 
 
 def court_dimension(spark: SparkSession) -> DataFrame:
-    rows = [(code, name, COURT_STATES.get(code)) for code, name in COURT_NAMES.items()]
-    return spark.createDataFrame(rows, "court_code string, court_name string, state_name string")
+    rows = ", ".join(f"('{c}', '{n}', '{COURT_STATES[c]}')" for c, n in COURT_NAMES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(court_code, court_name, state_name)")
 
 
 def court_names_from_json(spark: SparkSession, path: str) -> DataFrame:
