@@ -73,60 +73,99 @@ def fold(text: Column | str) -> Column:
     return F.lower(F.translate(col(text), _FOLD_FROM, _FOLD_TO))
 
 
-def spellings(pattern: str) -> list[str]:
-    """Plain substrings of which at least one occurs wherever ``pattern`` matches.
+def vocabulary(folded: Column | str) -> Column:
+    """The distinct words of a folded text, each between single blanks.
 
-    Optional parts and groups are written out; anything after an open-ended gap is left off.
-    A spelling that contains another one is redundant and dropped.
+    A single word, bounded or not, is a substring of this exactly when the text has it, and
+    a long text repeats its words: searching here costs much less than searching the text.
     """
-    found: set[str] = set()
-    todo = re.split(r"\|(?![^(]*\))", pattern)
-    while todo:
-        piece = todo.pop()
-        group = re.search(r"\(\?:([^()]*)\)(\??)", piece)
-        optional = re.search(r"(\\.|[a-z ])\?", piece)
-        if group:
-            options = group[1].split("|") + ([""] if group[2] else [])
-        elif optional:
-            group, options = optional, [optional[1], ""]
-        else:
-            found.add(piece.split(".{")[0].replace(r"\b", "").replace("\\", ""))
-            continue
-        todo += [piece[: group.start()] + o + piece[group.end():] for o in options]
-    return sorted(s for s in found if not any(o in s for o in found if o != s))
+    words = F.split(F.regexp_replace(col(folded), r"(?U)[^\w]+", " "), " ")
+    return F.concat(F.lit(" "), F.concat_ws(" ", F.array_distinct(words)), F.lit(" "))
+
+
+_OPTIONAL = r"\(\?:([^()]*)\)\?|(\\.|[a-z ])\?"
+_GROUP = r"\(\?:([^()]*)\)"
+
+
+def _spellings(piece: str) -> list[str]:
+    """``piece`` with its optional parts and groups written out."""
+    found = re.search(f"{_OPTIONAL}|{_GROUP}", piece)
+    if not found:
+        return [piece]
+    optional, atom, group = found.groups()
+    options = [atom, ""] if atom else (optional or group).split("|") + [""] * bool(optional)
+    head, tail = piece[: found.start()], piece[found.end():]
+    return [s for o in options for s in _spellings(head + o + tail)]
 
 
-def _quoted(text: str) -> str:
-    return "r'" + text + "'"
+def _has(text: str) -> str:
+    return f"contains(_vocab, '{text}')"
 
 
-def _matches(column: str, pattern: str) -> str:
-    """SQL condition that ``pattern`` occurs: substring search first, the regex only on a hit.
+def _hint(text: str) -> str:
+    """SQL condition, on the vocabulary alone, that every occurrence of ``text`` fulfils."""
+    return _has(max(re.findall(r"[a-z0-9]+", text), key=len))
 
-    Substring search costs a fraction of a regex scan, and most texts match no pattern.
+
+def _hints(piece: str) -> list[str]:
+    """Conditions of which one holds wherever ``piece`` matches.
+
+    The longest fixed run when it is long enough to be rare, else the words of every spelling.
     """
-    hit = " OR ".join(f"contains({column}, {_quoted(s)})" for s in spellings(pattern))
-    if re.fullmatch(r"[a-z0-9& |]+", pattern):
-        return hit
-    return f"({hit}) AND {column} RLIKE {_quoted(_FLAGS + pattern)}"
+    runs = re.split(r"\(\?:[^()]*\)\??|(?:\\.|[a-z ])\?|\.\{.*|\\.", piece)
+    longest = max(runs, key=lambda r: len(r.strip()))
+    if len(longest.strip()) >= 3:
+        return [_hint(longest)]
+    spelled = [
+        re.sub(r"[^a-z0-9]+", " ", s.replace(r"\b", " ").replace("\\", ""))
+        for s in _spellings(piece)
+    ]
+    return [" AND ".join(_has(w) for w in re.findall(r" ?[a-z0-9]+ ?", s.replace(" ", "  ")))
+            for s in dict.fromkeys(spelled)]
+
+
+def condition(pattern: str) -> str:
+    """SQL condition that ``pattern`` occurs in _blob, given its vocabulary _vocab.
+
+    Words and fixed texts are substring searches, a fraction of the cost of a regex scan.
+    What remains runs as a regex, and only where its words are present.
+    """
+    arms, hints, regex = [], [], []
+    for piece in re.split(r"\|(?![^(]*\))", pattern):
+        word = re.fullmatch(r"\\b([a-z0-9]+)\\b", piece)
+        if re.fullmatch(r"[a-z0-9]+", piece):
+            arms.append(_has(piece))
+        elif word:
+            arms.append(_has(f" {word[1]} "))
+        elif re.fullmatch(r"[a-z0-9& ]+", piece):
+            arms.append(f"({_hint(piece)} AND contains(_blob, '{piece}'))")
+        else:
+            regex.append(piece)
+            hints += _hints(piece)
+    if regex:
+        any_hint = " OR ".join(f"({h})" for h in hints)
+        arms.append(f"(({any_hint}) AND _blob RLIKE r'{_FLAGS}{'|'.join(regex)}')")
+    return " OR ".join(arms)
 
 
-def case_type(column: str) -> Column:
-    """Label of the first pattern found in a column of folded text; NULL when none is.
+def case_type() -> Column:
+    """Label of the first pattern found, over the columns _blob and _vocab; NULL without one.
 
     Written as one SQL expression, which is parsed at once; some hundred Column calls would
     each cross into the JVM.
     """
-    arms = " ".join(f"WHEN {_matches(column, p)} THEN '{label}'" for label, p in CASE_TYPES)
+    arms = " ".join(f"WHEN {condition(p)} THEN '{label}'" for label, p in CASE_TYPES)
     return F.expr(f"CASE {arms} END")
 
 
 def with_case_type(df: DataFrame, out: str, *texts: Column | str) -> DataFrame:
     """Add the case type of the non-empty ``texts`` joined by a blank.
 
-    The folded text gets a projection of its own, which Catalyst keeps apart because the
-    pattern chain reads it many times.
+    The folded text and its vocabulary get projections of their own, which Catalyst keeps apart
+    because the pattern chain reads them many times.
     """
     blob = fold(F.concat_ws(" ", *[nonblank(t) for t in texts]))
-    return df.select("*", blob.alias("_blob")).select(
-        *df.columns, case_type("_blob").alias(out))
+    return (
+        df.select("*", blob.alias("_blob")).select("*", vocabulary("_blob").alias("_vocab"))
+        .select(*df.columns, case_type().alias(out))
+    )
