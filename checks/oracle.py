@@ -451,12 +451,12 @@ def _next(st="s.st", att="s.att", fl="s.fl", ex="true") -> str:
 _STAGE = "CASE WHEN s.fl THEN 'downloaded' ELSE 'discovered' END"
 _PARK = f"CASE WHEN s.att + 1 >= 3 THEN 'failed' ELSE {_STAGE} END"
 sql("lifecycle_fold", "item_events", f"""+ histories AS (
-  SELECT item_id, count(*) AS n_events,
+  SELECT item_id, count(*) AS n_events, max(ts) AS last_ts, arg_max(event_id, ts) AS last_event_id,
     list({{'kind': kind, 'ex': false, 'st': '', 'att': CAST(0 AS BIGINT), 'fl': false}}
       ORDER BY ts, event_id) AS h
   FROM fx_item_events GROUP BY item_id),
 folded AS (
-  SELECT item_id, n_events, list_reduce(list_prepend(
+  SELECT item_id, n_events, last_ts, last_event_id, list_reduce(list_prepend(
     {{'kind': '', 'ex': false, 'st': '', 'att': CAST(0 AS BIGINT), 'fl': false}}, h),
     lambda s, e: CASE
       WHEN NOT s.ex AND e.kind = 'discovered' THEN {_next("'discovered'", 'CAST(0 AS BIGINT)', 'false')}
@@ -467,7 +467,8 @@ folded AS (
       WHEN e.kind = 'retry' AND s.st = 'failed' THEN {_next(_STAGE, 'CAST(0 AS BIGINT)')}
       ELSE s END) AS s
   FROM histories)
-SELECT item_id, s.st AS status, s.att AS attempts, s.fl AS has_file, n_events
+SELECT item_id, s.st AS status, s.att AS attempts, s.fl AS has_file, n_events,
+  last_event_id, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_ts
 FROM folded WHERE s.ex""")
 sql("schema_migrate", "items", """
 SELECT id, CAST(NULL AS VARCHAR) AS source_citation, CAST(NULL AS VARCHAR) AS decision_date,

@@ -405,7 +405,8 @@ def batch_status(spark, sf):
 
 @query
 def lifecycle_fold(spark, sf):
-    return lifecycle.lifecycle(Inputs(spark, sf).fx("item_events"))
+    states = lifecycle.lifecycle(Inputs(spark, sf).fx("item_events"))
+    return states.withColumn("last_ts", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query

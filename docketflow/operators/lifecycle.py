@@ -77,8 +77,24 @@ def fold(kinds: Column, start: Column, limits: Limits = DEFAULTS) -> Column:
 
 
 def _ordered(events: DataFrame, *keys: str) -> DataFrame:
+    """Events of each key in one sorted row; callers bound how many that can be."""
     queue = F.sort_array(F.collect_list(F.struct("ts", "event_id", "kind")))
-    return events.groupBy(*keys).agg(queue.alias("q"), F.count("*").alias("n_events"))
+    return events.groupBy(*keys).agg(
+        queue.alias("q"), F.count("*").alias("n_events"),
+        F.max(F.struct("ts", "event_id")).alias("last"))
+
+
+def _started(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Add the state each item starts from: its known one, else absent."""
+    if known is None:
+        return rows.withColumn("s0", absent())
+    earlier = known.select(
+        "item_id", state(True, F.col("status"), F.col("attempts"), F.col("has_file")).alias("k"),
+        F.col("n_events").alias("n0"))
+    return rows.join(earlier, "item_id", "left").withColumns({
+        "s0": F.coalesce("k", absent()),
+        "n_events": F.col("n_events") + F.coalesce("n0", F.lit(0)),
+    }).drop("k", "n0")
 
 
 def _entries(limits: Limits) -> list[Column]:
@@ -111,42 +127,45 @@ def _apply(s: Column, table: Column, limits: Limits) -> Column:
         out["attempts"] + above, out["has_file"])
 
 
-def _fold_segments(events: DataFrame, limits: Limits, segment_rows: int, rows: int) -> DataFrame:
+def _fold_segments(
+    events: DataFrame, known: DataFrame | None, limits: Limits, segment_rows: int, rows: int
+) -> DataFrame:
     parts = max(1, -(-rows // segment_rows))
     cut = events.repartitionByRange(parts, "item_id", "ts", "event_id").withColumn(
         "segment", F.spark_partition_id())
     tables = _ordered(cut, "item_id", "segment").select(
-        "item_id", "segment", "n_events",
+        "item_id", "segment", "n_events", "last",
         F.aggregate(
             "q", F.array(*_entries(limits)),
             lambda acc, e: F.transform(acc, lambda s: step(s, e["kind"], limits)),
         ).alias("exits"))
     packed = tables.groupBy("item_id").agg(
         F.sort_array(F.collect_list(F.struct("segment", "exits"))).alias("t"),
-        F.sum("n_events").alias("n_events"))
-    final = F.aggregate("t", absent(), lambda s, x: _apply(s, x["exits"], limits))
-    return packed.select("item_id", "n_events", final.alias("s"))
+        F.sum("n_events").alias("n_events"), F.max("last").alias("last"))
+    final = F.aggregate("t", F.col("s0"), lambda s, x: _apply(s, x["exits"], limits))
+    return _started(packed, known).select("item_id", "n_events", "last", final.alias("s"))
 
 
 def lifecycle(
-    events: DataFrame, limits: Limits = DEFAULTS, segment_rows: int = SEGMENT_ROWS
+    events: DataFrame, known: DataFrame | None = None, limits: Limits = DEFAULTS,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
-    """Final state per item from (item_id, ts, event_id, kind), ordered by (ts, event_id).
+    """State per item from (item_id, ts, event_id, kind), ordered by (ts, event_id).
 
-    Items never discovered have no state and are left out.  Hot items, at most one per
-    ``segment_rows`` events, are found by a counting aggregate first.
+    ``known`` holds earlier results to continue from.  Items never discovered have no state and
+    are left out.  Hot items, at most one per ``segment_rows`` events, are found by a counting
+    aggregate first.
     """
     events = events.select("item_id", "ts", "event_id", "kind")
     hot = events.groupBy("item_id").count().where(F.col("count") > segment_rows)
     hot_rows, hot_items = hot.agg(F.sum("count"), F.count("*")).first()
-    calm = events
-    if hot_items:
-        calm = events.join(hot, "item_id", "left_anti")
-    folded = _ordered(calm, "item_id").select(
-        "item_id", "n_events", fold(F.col("q"), absent(), limits).alias("s"))
+    calm = events.join(hot, "item_id", "left_anti") if hot_items else events
+    folded = _started(_ordered(calm, "item_id"), known).select(
+        "item_id", "n_events", "last", fold(F.col("q"), F.col("s0"), limits).alias("s"))
     if hot_items:
         folded = folded.unionByName(_fold_segments(
-            events.join(hot, "item_id", "left_semi"), limits, segment_rows, hot_rows))
+            events.join(hot, "item_id", "left_semi"), known, limits, segment_rows, hot_rows))
     return folded.where("s.exists").select(
         "item_id", F.col("s.status").alias("status"), F.col("s.attempts").alias("attempts"),
-        F.col("s.has_file").alias("has_file"), "n_events")
+        F.col("s.has_file").alias("has_file"), "n_events",
+        F.col("last.ts").alias("last_ts"), F.col("last.event_id").alias("last_event_id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Sensible engine settings; a cluster's own values win when already set.
 ENGINE_CONF = {
@@ -48,6 +49,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the written rows."""
+    """Write ``df`` to the reliable checkpoint folder and continue from the written rows.
+
+    Columns are renewed, so the result joins with the frames it was made from.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=True).select(*[F.col(f"`{c}`").alias(c) for c in df.columns])

@@ -78,7 +78,7 @@ def read_sc_metadata(
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _footer_error(content: pd.Series) -> pd.Series:
     import pyarrow.parquet as pq
 

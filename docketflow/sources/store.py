@@ -26,24 +26,28 @@ class TableStore:
     """Ledger tables below one folder.
 
     ``replace`` writes a new version next to the old one and readers take the newest complete
-    version, so a job lost half-way leaves the previous state readable.  ``append`` adds files
+    version, so a job lost half-way leaves the previous state readable.  A lazily read frame
+    stays valid for ``keep - 1`` replacements.  ``append`` adds files
     to the current version.  There is one writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
 
-    def _versions(self, table: str) -> list[int]:
+    def _folder(self, name: str):
+        """Hadoop path below the root, and its file system."""
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        path = hadoop.Path(f"{self.root}/{table}")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        path = hadoop.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self, table: str) -> list[int]:
+        path, fs = self._folder(table)
         if not fs.exists(path):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path)]
         return sorted(
             int(n.split("=")[1]) for n in names
-            if n.startswith("version=")
-            and fs.exists(hadoop.Path(f"{self.root}/{table}/{n}/_SUCCESS"))
+            if n.startswith("version=") and fs.exists(self._folder(f"{table}/{n}/_SUCCESS")[0])
         )
 
     def _dir(self, table: str, version: int) -> str:
@@ -56,13 +60,18 @@ class TableStore:
                 self.replace(table, self.spark.createDataFrame([], schema))
 
     def read(self, table: str) -> DataFrame:
-        """Current rows; columns missing from older files come back with their default."""
+        """Current rows; columns missing from older files come back with their default.
+
+        The declared schema spares reading footers to find one.
+        """
         versions = self._versions(table)
         if not versions:
             return self.spark.createDataFrame([], TABLES[table])
-        stored = self.spark.read.option("mergeSchema", "true").parquet(
-            self._dir(table, versions[-1]))
-        return conform(stored, table)
+        stored = self.spark.read.schema(TABLES[table]).parquet(self._dir(table, versions[-1]))
+        defaults = {c: F.coalesce(c, F.lit(v).cast(TABLES[table][c].dataType))
+                    for c, v in DEFAULTS[table].items()}
+        return stored.select(*[
+            defaults.get(c, F.col(c)).alias(c) for c in TABLES[table].fieldNames()])
 
     def _write(self, table: str, df: DataFrame, version: int, mode: str) -> None:
         writer = conform(df, table).write.mode(mode)
@@ -75,5 +84,9 @@ class TableStore:
         self._write(table, df, versions[-1] if versions else 1, "append")
 
     def replace(self, table: str, df: DataFrame) -> None:
+        """Write ``df`` as the next version; of the older ones the last few stay for readers."""
         versions = self._versions(table)
         self._write(table, df, versions[-1] + 1 if versions else 1, "overwrite")
+        for old in versions[: 1 - self.keep]:
+            path, fs = self._folder(f"{table}/version={old}")
+            fs.delete(path, True)
