@@ -28,14 +28,14 @@ _PHRASES = [
 PHRASES = ", ".join(f"({i}, '{p}')" for i, p in enumerate(_PHRASES))
 
 ADAPTERS = {
-    "fx_objects": f"""
-        SELECT doc_id, source, bucket, year, court, bench, filename, bytes,
+    "fx_docs": f"""
+        SELECT doc_id, text, source, bucket, year, court, bench, filename, bytes,
           'data/pdf/year=' || CAST(year AS STRING)
             || CASE WHEN source = 'hc' THEN '/court=' || court || '/bench=' || bench
                     ELSE '/' || court END
             || '/' || filename AS s3_key
         FROM (
-          SELECT d.doc_id,
+          SELECT d.doc_id, d.text,
             CASE WHEN d.doc_id % 4 = 3 THEN 'sc' ELSE 'hc' END AS source,
             CASE WHEN d.doc_id % 4 = 3 THEN 'indian-supreme-court-judgments'
                  ELSE 'indian-high-court-judgments' END AS bucket,
@@ -56,6 +56,9 @@ ADAPTERS = {
           FROM {{documents}} d
           JOIN (VALUES {CODES}) AS c(i, code) ON d.doc_id % 26 = c.i
         ) placed""",
+    "fx_objects": """
+        SELECT doc_id, source, bucket, year, court, bench, filename, bytes, s3_key
+        FROM fx_docs""",
     "fx_hc_meta": f"""
         SELECT year, court_code, bench, doc_id * 2 + copy AS ord,
           CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN '   '
@@ -82,10 +85,9 @@ ADAPTERS = {
           CASE WHEN doc_id % 3 = 0 THEN NULL ELSE ' DISPOSED ' || text END AS disposal_nature,
           CASE WHEN doc_id % 4 = 0 THEN NULL ELSE 'Court of ' || court_code END AS court
         FROM (
-          SELECT o.doc_id, o.year, o.court AS court_code, o.bench, o.filename, d.text, p.phrase,
+          SELECT o.doc_id, o.year, o.court AS court_code, o.bench, o.filename, o.text, p.phrase,
                  v.copy
-          FROM fx_objects o
-          JOIN {{documents}} d ON o.doc_id = d.doc_id
+          FROM fx_docs o
           JOIN (VALUES {PHRASES}) AS p(i, phrase) ON o.doc_id % 44 = p.i
           JOIN (VALUES (0, 0), (11, 0), (11, 1)) AS v(every, copy)
             ON v.every = CASE WHEN o.doc_id % 11 = 0 THEN 11 ELSE 0 END
@@ -115,11 +117,10 @@ ADAPTERS = {
           CASE WHEN doc_id % 3 = 1 THEN NULL ELSE 'Dismissed' END AS disposal_nature,
           CASE WHEN doc_id % 8 = 3 THEN NULL ELSE 'Supreme Court' END AS court
         FROM (
-          SELECT o.doc_id, o.year, d.text, p.phrase, v.copy,
+          SELECT o.doc_id, o.year, o.text, p.phrase, v.copy,
             CAST(o.year AS STRING) || '_' || CAST(o.doc_id AS STRING) AS base,
             replace(replace(replace(o.filename, 'sub/', ''), '.pdf', ''), '.html', '') AS stem
-          FROM fx_objects o
-          JOIN {{documents}} d ON o.doc_id = d.doc_id
+          FROM fx_docs o
           JOIN (VALUES {PHRASES}) AS p(i, phrase) ON o.doc_id % 44 = p.i
           JOIN (VALUES (0, 0), (11, 0), (11, 1)) AS v(every, copy)
             ON v.every = CASE WHEN o.doc_id % 11 = 0 THEN 11 ELSE 0 END
@@ -251,8 +252,22 @@ def duck(names: tuple[str, ...], body: str) -> str:
     return head + joiner + body.lstrip().removeprefix("+")
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table.
+
+    The small scales store all documents in one row group, which only one task can read.  When
+    a table has fewer splits than the session has cores, its rows are spread before the text
+    work; a table of cluster size has more splits than cores and is read as it lies.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name == "documents" and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One adapter as a DataFrame over the parquet tables."""
     text = with_clause(name) + f"\nSELECT * FROM {name}"
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE if f"{{{t}}}" in text}
+    used = {t: table(spark, sf_dir, t) for t in BASE if f"{{{t}}}" in text}
     return spark.sql(text, **used)
