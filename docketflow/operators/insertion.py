@@ -6,29 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketflow.operators.arrival import with_arrival_ids
-from docketflow.operators.keyed import first_per_key
 from docketflow.sources.store import conform
 
 
-def _first_by_citation(rows: DataFrame, order: str) -> DataFrame:
-    """First row per citation; rows without one never collide."""
-    cited = first_per_key(rows.where(F.col("citation").isNotNull()), ["citation"], order)
-    return cited.unionByName(rows.where(F.col("citation").isNull()))
+def _first(keys: DataFrame, key: str, other: str, order: str) -> DataFrame:
+    """For each ``key``, the ``other`` and ``order`` of its first row."""
+    return keys.groupBy(key).agg(F.min_by(other, order).alias(other), F.min(order).alias(order))
 
 
 def new_items(ledger: DataFrame, batch: DataFrame, order: str) -> DataFrame:
     """Rows of ``batch`` whose s3_key and citation are both new, first one in ``order``.
 
-    Both in-batch steps run before the join on the same key: copies shrink to one row by
-    partial aggregation, so no join sees a hot key.  Exact when equal keys carry equal
-    citations, which holds because a citation is derived from its key.
+    Decided on the keys alone; the wide rows are shuffled once, to fetch those accepted.  Both
+    in-batch steps run before the join on the same key: copies shrink to one row by partial
+    aggregation, so no join sees a hot key.  ``order`` is unique, which spreads the last join.
+    Exact when equal keys carry equal citations, which holds because a citation is derived
+    from its key.  ``batch`` is read twice: pass a written frame when it is costly.
     """
-    by_key = first_per_key(batch, ["s3_key"], order)
-    unseen = by_key.join(ledger.select("s3_key"), "s3_key", "left_anti")
-    by_citation = _first_by_citation(unseen, order)
-    return by_citation.join(
-        ledger.where(F.col("citation").isNotNull()).select("citation"), "citation", "left_anti"
-    ).select(*batch.columns)
+    keys = batch.select("s3_key", "citation", order)
+    unseen = _first(keys, "s3_key", "citation", order).join(
+        ledger.select("s3_key"), "s3_key", "left_anti")
+    cited = F.col("citation").isNotNull()
+    by_citation = _first(unseen.where(cited), "citation", "s3_key", order)
+    fresh = by_citation.join(
+        ledger.where(cited).select("citation"), "citation", "left_anti")
+    accepted = fresh.select("s3_key", order).unionByName(
+        unseen.where(~cited).select("s3_key", order))
+    return batch.join(accepted, ["s3_key", order], "left_semi").select(*batch.columns)
 
 
 def rejected_items(

@@ -19,6 +19,9 @@ from docketflow.settings import DEFAULTS, Limits
 # An item with more events than this is folded by segments of about this many rows.
 SEGMENT_ROWS = 100_000
 
+# So many consecutive segments of an item are composed into one at a time.
+BLOCK = 1_000
+
 KINDS = ("discovered", "downloading", "downloaded", "uploading", "pushed", "skipped",
          "failed", "retry")
 
@@ -124,7 +127,7 @@ def _apply(s: Column, table: Column, limits: Limits) -> Column:
     return state(
         out["exists"],
         F.when(out["status"] == _SAME, s["status"]).otherwise(out["status"]),
-        out["attempts"] + above, out["has_file"])
+        out["attempts"] + above, out["has_file"], s["relative"] & out["relative"])
 
 
 def _fold_segments(
@@ -139,6 +142,17 @@ def _fold_segments(
             "q", F.array(*_entries(limits)),
             lambda acc, e: F.transform(acc, lambda s: step(s, e["kind"], limits)),
         ).alias("exits"))
+    while parts > BLOCK:
+        blocks = tables.groupBy("item_id", F.floor(F.col("segment") / BLOCK).alias("segment")).agg(
+            F.sort_array(F.collect_list(F.struct("segment", "exits"))).alias("t"),
+            F.sum("n_events").alias("n_events"), F.max("last").alias("last"))
+        tables = blocks.select(
+            "item_id", "segment", "n_events", "last",
+            F.aggregate(
+                "t", F.array(*_entries(limits)),
+                lambda acc, x: F.transform(acc, lambda s: _apply(s, x["exits"], limits)),
+            ).alias("exits"))
+        parts = -(-parts // BLOCK)
     packed = tables.groupBy("item_id").agg(
         F.sort_array(F.collect_list(F.struct("segment", "exits"))).alias("t"),
         F.sum("n_events").alias("n_events"), F.max("last").alias("last"))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Sensible engine settings; a cluster's own values win when already set.
 ENGINE_CONF = {
@@ -49,9 +49,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from the written rows.
+    """Write ``df`` as a table in the shared folder and continue from the written rows.
 
-    Columns are renewed, so the result joins with the frames it was made from.
+    Cuts the lineage like a reliable checkpoint and survives the loss of executors; unlike
+    one, the table is columnar, so later steps read only the columns they use and Spark knows
+    its size when it picks joins.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True).select(*[F.col(f"`{c}`").alias(c) for c in df.columns])
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

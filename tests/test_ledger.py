@@ -260,8 +260,9 @@ def replay(events, max_attempts=3):
     return tuple(s) if s else None
 
 
-@pytest.mark.parametrize("segment_rows", [100_000, 7])
-def test_lifecycle_matches_replay(spark, segment_rows):
+@pytest.mark.parametrize("segment_rows,block", [(100_000, 1000), (7, 1000), (5, 3)])
+def test_lifecycle_matches_replay(spark, segment_rows, block, monkeypatch):
+    monkeypatch.setattr(lifecycle, "BLOCK", block)
     rng = random.Random(segment_rows)
     weights = [1, 2, 3, 2, 1, 1, 6, 3]
     rows, histories = [], {}
