@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from checks.adapters import duck
-from checks.queries import HEADROOM, NOW_S
+from checks.queries import HEADROOM, MANY, NOW_S
 from docketflow.functions.case_types import CASE_TYPES
 from docketflow.functions.courts import COURT_NAMES, COURT_STATES
 from docketflow.functions.text import BLANKS
@@ -351,6 +351,7 @@ FROM (SELECT list({_ROW} ORDER BY id) AS rows FROM queue)"""
 
 
 sql("admit_under_budget", "items", _admit(HEADROOM, 8))
+sql("admit_many", "items", _admit(HEADROOM * 200, MANY))
 sql("claim_for_upload", "items", """
 SELECT id, CASE WHEN id IN (SELECT id FROM fx_items WHERE status = 'downloaded'
     ORDER BY id LIMIT 4) THEN 'uploading' ELSE status END AS status FROM fx_items""")

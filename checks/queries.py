@@ -26,6 +26,9 @@ QUERIES = {}
 NOW_S = 1_700_010_000
 HEADROOM = 200_000_000
 
+# A claim far beyond what is folded in one row.
+MANY = admission.FOLD_LIMIT * 400
+
 
 def now() -> Column:
     return F.timestamp_seconds(F.lit(NOW_S))
@@ -302,7 +305,7 @@ def admit_under_budget(spark, sf):
 def admit_many(spark, sf):
     items = Inputs(spark, sf).items()
     cap = reports.reserved_bytes(items).scalar() + HEADROOM * 200
-    return admission.claim_for_download(items, cap, limit=admission.FOLD_LIMIT * 400)
+    return admission.claim_for_download(items, cap, limit=MANY)
 
 
 @query

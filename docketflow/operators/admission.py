@@ -70,7 +70,8 @@ def _rounds(fitting: DataFrame, budget: int, limit: int) -> DataFrame:
 
     Each round admits the longest run whose running sum fits, skips the row that overflows and
     drops every row larger than what is left; those could never be admitted later.  The driver
-    sees three numbers per round and the rows stay distributed.
+    sees a few numbers per round and the rows stay distributed.  A remainder short enough for
+    one row is folded at once.
     """
     queue = _running(fitting).where(F.col("nth") <= limit * OVERFETCH)
     rest = settle(queue.select("id", "bytes"))
@@ -80,13 +81,17 @@ def _rounds(fitting: DataFrame, budget: int, limit: int) -> DataFrame:
         summed = settle(_running(rest.where(F.col("bytes") <= left)))
         fits = (F.col("run") <= left) & (F.col("nth") <= slots)
         stop = summed.where(~fits).agg(F.min("id")).first()[0]
-        run = summed if stop is None else summed.where(F.col("id") < stop)
-        admitted = admitted.unionByName(run.select("id"))
         if stop is None:
-            break
-        n, spent = run.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+            return admitted.unionByName(summed.select("id"))
+        before, after = F.col("id") < stop, F.col("id") > stop
+        n, spent, waiting = summed.agg(
+            F.count_if(before), F.coalesce(F.sum(F.when(before, F.col("bytes"))), F.lit(0)),
+            F.count_if(after)).first()
+        admitted = admitted.unionByName(summed.where(before).select("id"))
         left, slots = left - spent, slots - n
-        rest = summed.where(F.col("id") > stop).select("id", "bytes")
+        rest = summed.where(after).select("id", "bytes")
+        if waiting <= FOLD_LIMIT * OVERFETCH:
+            return admitted.unionByName(_fold(rest, F.lit(left), slots))
     return admitted
 
 
