@@ -12,7 +12,6 @@ from docketflow.operators import (
     admission, batches, catalogue, delivery, insertion, lifecycle, partitions, reports, status,
     transitions,
 )
-from docketflow.operators.arrival import with_arrival_ids
 from docketflow.operators.keyed import patch
 from docketflow.plans import discovery
 from docketflow.sources.courts import court_dimension

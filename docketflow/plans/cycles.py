@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketflow.operators import admission, batches, catalogue, delivery, partitions, transitions
+from docketflow.operators import (
+    admission, batches, delivery, partitions, reports, transitions,
+)
 from docketflow.operators.arrival import with_arrival_ids
 from docketflow.operators.insertion import new_items
 from docketflow.operators.keyed import last_per_key, patch
@@ -38,18 +40,28 @@ def scan(
 ) -> DataFrame:
     """Discover all targets in one job, insert what is new, and record every partition."""
     listed = discovery.in_targets(objects, targets)
-    found = settle(discovery.discover(listed, hc_metadata, sc_metadata, court_dim, limits))
+    found = settle(discovery.discover(
+        listed, discovery.metadata_in_targets(hc_metadata, targets),
+        discovery.metadata_in_targets(sc_metadata, targets), court_dim, limits))
     queued = insert_found(store, found, now)
     summary = settle(discovery.scan_summary(targets, listed, found, queued, errors))
     results = summary.select("prefix", "source", F.col("seen").alias("found"), "queued")
     store.replace("scanned_partitions",
                   partitions.mark_scanned(store.read("scanned_partitions"), results, now))
-    events = store.read("events")
-    store.append("events", new_events(
-        events, discovery.scan_events(summary), now, ["prefix", "line"]))
+    log(store, discovery.scan_events(summary), now, ["prefix", "line"], limits)
     return summary
 
 
+def log(
+    store: TableStore, rows: DataFrame, now: Column, order: list[str],
+    limits: Limits = DEFAULTS,
+) -> None:
+    """Add (level, message, item_id) rows to the event log, which keeps only its newest."""
+    events = store.read("events")
+    longer = events.unionByName(new_events(events, rows, now, order))
+    store.replace("events", reports.retained_events(longer, limits.event_span))
+
+
 def fail_partitions(
     store: TableStore, failures: DataFrame, now: Column, limits: Limits = DEFAULTS
 ) -> None:

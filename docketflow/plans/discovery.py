@@ -33,6 +33,20 @@ def in_targets(objects: DataFrame, targets: DataFrame) -> DataFrame:
     return objects.withColumn("prefix", partition_prefix()).join(wanted, "prefix", "left_semi")
 
 
+def metadata_in_targets(metadata: DataFrame, targets: DataFrame) -> DataFrame:
+    """Metadata rows of the target partitions; the yearly collection is kept by year.
+
+    Done before any text is normalised.  Targets are a few columns per partition, a size at
+    which Spark broadcasts them by itself.
+    """
+    if "court_code" in metadata.columns:
+        hc = targets.where(F.col("source") == "hc").select(
+            "year", F.col("court").alias("court_code"), "bench").distinct()
+        return metadata.join(hc, ["year", "court_code", "bench"], "left_semi")
+    years = targets.where(F.col("source") == "sc").select("year").distinct()
+    return metadata.join(years, "year", "left_semi")
+
+
 def _resolve_title(rows: DataFrame) -> DataFrame:
     """Title and case type, falling back to the file's stem for rows without a title.
 

@@ -41,7 +41,7 @@ DEFAULTS = {
     "items": {"bytes": 0, "language": "en", "status": "discovered", "attempts": 0},
     "batches": {"status": "open"},
     "scanned_partitions": {"found": 0, "queued": 0, "status": "done", "attempts": 0,
-                           "next_attempt_at": "1970-01-01 00:00:00"},
+                           "next_attempt_at": "1970-01-01T00:00:00Z"},
     "events": {},
     "meta": {},
 }

@@ -78,47 +78,69 @@ def read_sc_metadata(
     )
 
 
-@F.pandas_udf(T.StringType())
-def _footer_error(content: pd.Series) -> pd.Series:
+@F.pandas_udf(T.StructType(
+    [T.StructField("rows", T.LongType()), T.StructField("error", T.StringType())]))
+def _footer(content: pd.Series) -> pd.DataFrame:
+    """Row count a file's footer declares, or why it cannot be read."""
     import pyarrow.parquet as pq
 
-    def check(blob):
+    def read(blob):
         try:
-            rows = pq.ParquetFile(io.BytesIO(blob)).metadata.num_rows
-            return None if rows == 0 else "Parquet rows unreadable"
+            return pq.ParquetFile(io.BytesIO(blob)).metadata.num_rows, None
         except Exception as exc:  # any parse failure is the finding itself
-            return f"Parquet parse failed: {exc}"
+            return None, f"Parquet parse failed: {exc}"
 
-    return content.map(check)
+    return pd.DataFrame([read(b) for b in content], columns=["rows", "error"])
 
 
-def metadata_errors(spark: SparkSession, root: str, rows: DataFrame) -> DataFrame:
-    """(path, error) of listed metadata files that yielded no row and are not simply empty.
+def _key(path: str) -> Column:
+    """A metadata file's path below its bucket."""
+    return F.regexp_extract(path, f"({METADATA_ROOT}/.*)$", 1)
 
-    A file that is not listed is absent, which is no error.  ``rows`` is the metadata read;
-    only its file paths are used, so the scan reads no data column for this.
+
+def _contents(spark: SparkSession, top: str) -> DataFrame:
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", FILE_NAME).load(top)
+    )
+
+
+def metadata_errors(
+    spark: SparkSession, root: str, rows: DataFrame, thorough: bool = False
+) -> DataFrame:
+    """(path, error) of listed metadata files that could not be read.
+
+    A file that is not listed is absent, which is no error, and an intact empty one is none
+    either.  By default only files that yielded no row are opened again.  ``thorough`` opens
+    every file and compares its declared rows with those read, which also finds files damaged
+    half-way; it reads each file once more.  ``rows`` is the metadata read; only its file paths
+    are used, so the scan reads no data column for this.
     """
     top = f"{root.rstrip('/')}/{METADATA_ROOT}"
-    listed = scan_tree(spark, top, FILE_NAME)
-    suffix = F.regexp_extract("path", f"({METADATA_ROOT}/.*)$", 1)
-    read = rows.select(
-        F.regexp_extract("file_path", f"({METADATA_ROOT}/.*)$", 1).alias("key")
-    ).distinct()
-    silent = listed.withColumn("key", suffix).join(read, "key", "left_anti").select("path")
-    reader = spark.read.format("binaryFile")
-    names = [r.path for r in silent.limit(NAMED_SUSPECTS + 1).collect()]
-    if not names:
-        return spark.createDataFrame([], "path string, error string")
-    if len(names) <= NAMED_SUSPECTS:
-        suspects = reader.load(names)
+    read = rows.groupBy(_key("file_path").alias("key")).agg(F.count("*").alias("n"))
+    if thorough:
+        opened = _contents(spark, top)
     else:
-        suspects = (
-            reader.option("recursiveFileLookup", "true").option("pathGlobFilter", FILE_NAME)
-            .load(top).join(silent, "path", "left_semi")
-        )
-    return suspects.select("path", _footer_error("content").alias("error")).where(
-        F.col("error").isNotNull()
-    )
+        listed = scan_tree(spark, top, FILE_NAME).withColumn("key", _key("path"))
+        silent = listed.join(read, "key", "left_anti").select("path")
+        names = [r.path for r in silent.limit(NAMED_SUSPECTS + 1).collect()]
+        if not names:
+            return spark.createDataFrame([], "path string, error string")
+        if len(names) <= NAMED_SUSPECTS:
+            opened = spark.read.format("binaryFile").load(names)
+        else:
+            opened = _contents(spark, top).join(silent, "path", "left_semi")
+    checked = opened.select("path", _key("path").alias("key"), _footer("content").alias("f"))
+    short = F.col("f.rows") != F.coalesce("n", F.lit(0))
+    return checked.join(read, "key", "left").select(
+        "path", F.coalesce("f.error", F.when(short, "Parquet rows unreadable")).alias("error")
+    ).where(F.col("error").isNotNull())
+
+
+def without_unreadable(rows: DataFrame, errors: DataFrame) -> DataFrame:
+    """Metadata without the rows of files in ``errors``: a damaged file gives none at all."""
+    bad = errors.select(_key("path").alias("_key")).distinct()
+    return rows.withColumn("_key", _key("file_path")).join(bad, "_key", "left_anti").drop("_key")
 
 
 def errors_by_partition(errors: DataFrame) -> DataFrame:

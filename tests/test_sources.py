@@ -112,6 +112,17 @@ def test_metadata_triage(spark, tree):
     assert found[0].error.startswith("Parquet parse failed")
 
 
+def test_thorough_triage_finds_files_read_in_part(spark, tree):
+    rows = metadata.read_hc_metadata(spark, tree[0])
+    whole = metadata.metadata_errors(spark, tree[0], rows, thorough=True)
+    assert [r.path.split("bench=")[1] for r in whole.collect()] == ["bad/metadata.parquet"]
+    part = rows.where("court_code <> '9_13' OR ord < 2")
+    errors = metadata.metadata_errors(spark, tree[0], part, thorough=True)
+    assert {r.path.split("bench=")[1]: r.error for r in errors.collect()}[
+        "main/metadata.parquet"] == "Parquet rows unreadable"
+    assert metadata.without_unreadable(part, errors).count() == 0
+
+
 def test_discovery_from_files(spark, tree, objects):
     hc_rows = metadata.read_hc_metadata(spark, tree[0])
     found = discover(objects, hc_rows, metadata.read_sc_metadata(spark, tree[1]),
