@@ -163,7 +163,8 @@ def scan_summary(spark, sf):
     usable = discovery.usable(objects).withColumn("prefix", catalogue.partition_prefix())
     ledger = _ledger_of(i.fx("objects"))
     queued = usable.join(ledger.select("s3_key"), "s3_key", "left_anti")
-    errors = i.targets().where(F.col("year").isin(2014, 2021)).withColumn("error", F.lit("truncated"))
+    errors = i.targets().where(F.col("year").isin(2014, 2021)).withColumn(
+        "error", F.lit("truncated"))
     return discovery.scan_summary(i.targets(), objects, usable, queued, errors)
 
 
@@ -210,7 +211,8 @@ def clip_and_parties(spark, sf):
 
 @query
 def human_sizes(spark, sf):
-    sizes = Inputs(spark, sf).items().select("id", (F.col("bytes") * (F.col("id") % 997)).alias("n"))
+    scaled = F.col("bytes") * (F.col("id") % 997)
+    sizes = Inputs(spark, sf).items().select("id", scaled.alias("n"))
     return sizes.select("id", display.human_size("n").alias("long_form"),
                         display.short_size("n").alias("short_form"))
 

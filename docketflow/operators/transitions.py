@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketflow.functions.text import basename, error_text
+from docketflow.functions.text import basename, col, error_text
 from docketflow.operators.keyed import patch
 from docketflow.settings import DEFAULTS, Limits
 
@@ -26,10 +26,9 @@ def staging_path(
     item_id: Column | str = "id", s3_key: Column | str = "s3_key",
 ) -> Column:
     """Where a document is staged.  The id keeps equal file names apart."""
-    b, s, i, k = [F.col(v) if isinstance(v, str) else v for v in (batch_id, source, item_id, s3_key)]
-    folder = F.concat(F.lit("batch"), b.cast("string"))
-    name = F.concat(i.cast("string"), F.lit("_"), basename(k))
-    return F.concat_ws("/", folder, s, name)
+    folder = F.concat(F.lit("batch"), col(batch_id).cast("string"))
+    name = F.concat(col(item_id).cast("string"), F.lit("_"), basename(s3_key))
+    return F.concat_ws("/", folder, col(source), name)
 
 
 def staged_manifest(admitted: DataFrame, staged: DataFrame, batch_id: Column) -> DataFrame:
