@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,10 @@ def mapped(
     return df.mapInArrow(fn, schema)
 
 
+#: Edges that one task contracts at a time.
+PIECE = 1_000_000
+
+
 def _smaller(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("low"), F.greatest(a, b).alias("high")]
 
@@ -48,36 +53,72 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("low", "high"))).first())
 
 
+def contracted(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same components as stars: (smallest node, other node)."""
+    nodes, at = np.unique(np.concatenate([low, high]), return_inverse=True)
+    a, b = at[: len(low)], at[len(low) :]
+    root = np.arange(len(nodes))
+    while True:
+        least = np.minimum(root[a], root[b])
+        apart = root[a] != root[b]
+        if not apart.any():
+            break
+        np.minimum.at(root, root[a][apart], least[apart])
+        np.minimum.at(root, root[b][apart], least[apart])
+        while (root[root] != root).any():
+            root = root[root]
+    leaf = root != np.arange(len(nodes))
+    return nodes[root[leaf]], nodes[leaf]
+
+
+def _contract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if rows:
+        low, high = contracted(*(np.concatenate(x) for x in zip(*rows, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["low", "high"])
+
+
+def _star_round(now: DataFrame) -> DataFrame:
+    """Hang every node's larger neighbours, then its smaller ones, on its smallest.
+
+    Minima are aggregates with map-side reduction, and are written before they are joined, so
+    that Spark can split the join of a hub of any size.
+    """
+    both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).unionAll(
+        now.select(F.col("high").alias("u"), F.col("low").alias("v"))
+    )
+    least = settle(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+    large = settle(
+        now.join(least, now.low == least.u)
+        .select(F.col("m").alias("low"), "high").distinct()
+    )
+    least = settle(large.groupBy("high").agg(F.min("low").alias("m")))
+    return settle(
+        large.join(least, "high")
+        .select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
+        .where("low < high").distinct()
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): for every node of ``edges`` (a, b), the smallest node it can reach.
 
-    Large and small stars in turn until nothing changes: each step hangs a node's neighbours
-    on its smallest neighbour.  Minima are aggregates with map-side reduction, and are written
-    before they are joined, so that Spark can split the join of a hub of any size.  Every step
-    works on written tables.  Self-loops and null ends are ignored.
+    Each pass contracts the edges in pieces of ``PIECE``, a task each; the passes end when one
+    piece held them all, or when a round of stars between the pieces changes nothing more.  Every
+    step works on a written table.  Self-loops and null ends are ignored.
     """
     now = settle(edges.where("a <> b").select(*_smaller("a", "b")).distinct())
     before = _state(now)
     while True:
-        both = now.select(F.col("low").alias("u"), F.col("high").alias("v")).unionAll(
-            now.select(F.col("high").alias("u"), F.col("low").alias("v"))
-        )
-        least = settle(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
-        large = settle(
-            now.join(least, now.low == least.u)
-            .select(F.col("m").alias("low"), "high").distinct()
-        )
-        least = settle(large.groupBy("high").agg(F.min("low").alias("m")))
-        new = settle(
-            large.join(least, "high")
-            .select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
-            .where("low < high").distinct()
-        )
-        after = _state(new)
-        now = new
+        pieces = -(-before[0] // PIECE) or 1
+        now = settle(mapped(now.coalesce(pieces), _contract, "low bigint, high bigint"))
+        if pieces == 1:
+            break
+        now = _star_round(now)
+        after = _state(now)
         if after == before:
             break
         before = after
-    return now.select(F.col("high").alias("node"), F.col("low").alias("root")).unionAll(
+    return settle(now.select(F.col("high").alias("node"), F.col("low").alias("root")).unionAll(
         now.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
-    )
+    ))
