@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketflow.llm.frames import mapped, settle
-from docketflow.llm.pieces import PieceCache, id_bytes, library_ids, solid_words, texts_of
+from docketflow.llm.pieces import PieceCache, id_bytes, solid_words, texts_of
+from docketflow.llm.token_counts import byte_characters, merger
 
 CAPACITY = 4096
 #: Tokens that a pattern may leave empty, and lengths tried for its second and third document.
@@ -36,14 +37,32 @@ STEPS = 300
 def word_encoder(path: str) -> PieceCache:
     """A cache of word ids by a tokenizers file that drops white space.
 
-    Its first special token stands between the words of one call.
+    The library's model encodes each distinct pre-token once; words with special strings go
+    through the whole library.
     """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    mark_id, mark = min((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items())
-    return PieceCache(lambda x: library_ids(tokenizer, x, mark, mark_id, lambda p: "<|" in p))
+    library, splitter, chars = Tokenizer.from_file(path), merger(path), dict(enumerate(byte_characters()))
+    model = library.model
+
+    def compute(words: list[str]) -> list[bytes]:
+        plain = [w for w in words if "<|" not in w]
+        special = [w for w in words if "<|" in w]
+        tokens = splitter.pre_tokens(plain)
+        known = {}
+        for token in {t for x in tokens for t in x}:
+            text = token.decode() if token.isalnum() else token.decode("latin-1").translate(chars)
+            found = model.tokenize(text)
+            known[token] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        ids = {w: known[x[0]] if len(x) == 1 else b"".join([known[t] for t in x])
+               for w, x in zip(plain, tokens, strict=True)}
+        for word, found in zip(special, library.encode_batch_fast(
+                special, add_special_tokens=False), strict=True):
+            ids[word] = np.array(found.ids, "<u4").tobytes()
+        return [ids[w] for w in words]
+
+    return PieceCache(compute)
 
 
 def _cutter(path: str, end_id: int, capacity: int, keep_ids: bool) -> Callable:
