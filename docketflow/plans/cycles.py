@@ -73,12 +73,19 @@ def fail_partitions(
 def retry_due(
     store: TableStore, objects: DataFrame, hc_metadata: DataFrame, sc_metadata: DataFrame,
     court_dim: DataFrame, now: Column, limits: Limits = DEFAULTS,
-) -> DataFrame:
-    """Scan every partition whose backoff has passed; malformed ones count as failed tries."""
+    errors: DataFrame | None = None,
+) -> DataFrame | None:
+    """Scan every partition whose backoff has passed; malformed ones count as failed tries.
+
+    None, and no job over the collections, when nothing is due.
+    """
     due = settle(partitions.retry_targets(partitions.due(store.read("scanned_partitions"), now)))
+    if due.isEmpty():
+        return None
     fail_partitions(store, partitions.malformed(due), now, limits)
     targets = due.where(F.col("target").isNotNull()).select("target.*")
-    return scan(store, targets, objects, hc_metadata, sc_metadata, court_dim, now, limits=limits)
+    return scan(store, targets, objects, hc_metadata, sc_metadata, court_dim, now, errors,
+                limits)
 
 
 def claim_downloads(

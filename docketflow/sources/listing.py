@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +51,20 @@ def place_objects(
 
 
 def scan_tree(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """(path, bytes) of every file below ``root``; file contents are never read."""
+    """(path, bytes) of every file below ``root``; file contents are never read.
+
+    A folder that does not exist has no files.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).select("path", F.col("length").alias("bytes"))
+    try:
+        found = reader.load(root)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, bytes bigint")
+    return found.select("path", F.col("length").alias("bytes"))
 
 
 def list_bucket(spark: SparkSession, root: str, bucket: str) -> DataFrame:

@@ -1,10 +1,13 @@
-"""Metadata collections: columnar reads, row order, and triage of unreadable files."""
+"""Metadata collections: each file is read whole by its own types, or reported and not read."""
 
 from __future__ import annotations
 
-import io
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,39 +19,93 @@ from docketflow.sources.listing import scan_tree
 METADATA_ROOT = "metadata/parquet"
 FILE_NAME = "metadata.parquet"
 
-# Up to this many suspect paths are passed to a scan by name; more are found by a join.
-NAMED_SUSPECTS = 1_000
+#: Rows of one batch on their way out of a file.
+BATCH_ROWS = 4_096
 
 
-def _decoded(path: Column) -> Column:
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+def _files(spark: SparkSession, root: str, years: list[int] | None) -> DataFrame:
+    """(path, bytes) of the metadata files, of whole directories of years where given.
+
+    A year without a directory has no files; no years give none.
+    """
+    top = f"{root.rstrip('/')}/{METADATA_ROOT}"
+    found = spark.createDataFrame([], "path string, bytes bigint")
+    for path in [top] if years is None else [f"{top}/year={y}" for y in sorted(set(years))]:
+        found = found.unionByName(scan_tree(spark, path, FILE_NAME))
+    return found
+
+
+def _opened(path: str) -> pa.NativeFile:
+    """A file by the path that Spark lists it under."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    system, inner = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inner)
+
+
+def _texts(file: pq.ParquetFile, group: int, names: list[str]) -> Iterator[pa.Table]:
+    """A row group's declared columns as text, in batches; a missing column is null."""
+    stored = [n for n in names if n in file.schema_arrow.names]
+    for batch in file.iter_batches(BATCH_ROWS, row_groups=[group], columns=stored):
+        columns = [
+            pc.cast(batch.column(n), pa.string()) if n in stored
+            else pa.nulls(batch.num_rows, pa.string()) for n in names
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _damage(path: str, names: list[str]) -> str | None:
+    """Why a file cannot be read; every declared column is decoded, a row group at a time."""
+    try:
+        with _opened(path) as source:
+            file = pq.ParquetFile(source)
+            rows = sum(
+                batch.num_rows for group in range(file.num_row_groups)
+                for batch in _texts(file, group, names))
+            if rows != file.metadata.num_rows:
+                return f"Parquet rows unreadable: {rows} of {file.metadata.num_rows}"
+    except Exception as exc:  # whatever stops the reader is the finding itself
+        return f"Parquet parse failed: {exc}"
+    return None
+
+
+def _row_reader(names: list[str]) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for listed in batches:
+            for path in listed.column("path").to_pylist():
+                if _damage(path, names) is not None:
+                    continue  # no row of a damaged file is used
+                with _opened(path) as source:
+                    file, at = pq.ParquetFile(source), 0
+                    for group in range(file.num_row_groups):
+                        for rows in _texts(file, group, names):
+                            n = rows.num_rows
+                            yield pa.RecordBatch.from_arrays(
+                                [*rows.columns, pa.array([path] * n, pa.string()),
+                                 pa.array(range(at, at + n), pa.int64())],
+                                names=[*names, "file_path", "ord"])
+                            at += n
+
+    return run
+
+
+def _spread(files: DataFrame) -> DataFrame:
+    """One file at a time to each task: a file is the unit of damage."""
+    return files.select("path").repartition("path")
 
 
 def _read(
     spark: SparkSession, root: str, declared: T.StructType, years: list[int] | None
 ) -> DataFrame:
-    """Declared columns plus file path and row position.
+    """Declared columns as text, plus file path and row position, of all undamaged files.
 
-    Partition discovery is off because a partition directory named like a data column would
-    hide it; the partition is taken from the path, and a year filter prunes whole directories.
+    Every file is read by its own types, so that one with dates and one with text in a column
+    both give all their rows.  The partition is taken from the path: a directory named like a
+    data column would hide it.
     """
-    top = f"{root.rstrip('/')}/{METADATA_ROOT}"
-    paths = [f"{top}/year={y}" for y in years] if years else [top]
-    reader = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", FILE_NAME)
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-    )
-    stored = {f.name: f.dataType for f in reader.parquet(*paths).schema.fields}
-    schema = T.StructType([
-        T.StructField(f.name, stored.get(f.name, f.dataType), True) for f in declared.fields
-    ])
-    return reader.schema(schema).parquet(*paths).select(
-        *[F.col(f.name).cast("string").alias(f.name) for f in declared.fields],
-        _decoded(F.col("_metadata.file_path")).alias("file_path"),
-        F.col("_metadata.row_index").alias("ord"),
-    )
+    names = declared.fieldNames()
+    schema = ", ".join(f"`{n}` string" for n in names) + ", file_path string, ord bigint"
+    return _spread(_files(spark, root, years)).mapInArrow(_row_reader(names), schema)
 
 
 def _path_field(name: str) -> Column:
@@ -78,69 +135,29 @@ def read_sc_metadata(
     )
 
 
-@F.pandas_udf(T.StructType(
-    [T.StructField("rows", T.LongType()), T.StructField("error", T.StringType())]))
-def _footer(content: pd.Series) -> pd.DataFrame:
-    """Row count a file's footer declares, or why it cannot be read."""
-    import pyarrow.parquet as pq
-
-    def read(blob):
-        try:
-            return pq.ParquetFile(io.BytesIO(blob)).metadata.num_rows, None
-        except Exception as exc:  # any parse failure is the finding itself
-            return None, f"Parquet parse failed: {exc}"
+def _damage_reader(names: list[str]) -> Callable:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for listed in batches:
+            paths = listed.column("path").to_pylist()
+            found = [(p, e) for p in paths if (e := _damage(p, names)) is not None]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in found], pa.string()),
+                 pa.array([e for _, e in found], pa.string())], names=["path", "error"])
 
-    return pd.DataFrame([read(b) for b in content], columns=["rows", "error"])
-
-
-def _key(path: str) -> Column:
-    """A metadata file's path below its bucket."""
-    return F.regexp_extract(path, f"({METADATA_ROOT}/.*)$", 1)
-
-
-def _contents(spark: SparkSession, top: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", FILE_NAME).load(top)
-    )
+    return run
 
 
 def metadata_errors(
-    spark: SparkSession, root: str, rows: DataFrame, thorough: bool = False
+    spark: SparkSession, root: str, years: list[int] | None = None
 ) -> DataFrame:
-    """(path, error) of listed metadata files that could not be read.
+    """(path, error) of the metadata files whose rows are not read.
 
-    A file that is not listed is absent, which is no error, and an intact empty one is none
-    either.  By default only files that yielded no row are opened again.  ``thorough`` opens
-    every file and compares its declared rows with those read, which also finds files damaged
-    half-way; it reads each file once more.  ``rows`` is the metadata read; only its file paths
-    are used, so the scan reads no data column for this.
+    Every file is decoded as for reading, so a file gives all its rows or one error.  A file
+    that is not listed is absent, which is no error, and an intact empty one is none either.
     """
-    top = f"{root.rstrip('/')}/{METADATA_ROOT}"
-    read = rows.groupBy(_key("file_path").alias("key")).agg(F.count("*").alias("n"))
-    if thorough:
-        opened = _contents(spark, top)
-    else:
-        listed = scan_tree(spark, top, FILE_NAME).withColumn("key", _key("path"))
-        silent = listed.join(read, "key", "left_anti").select("path")
-        names = [r.path for r in silent.limit(NAMED_SUSPECTS + 1).collect()]
-        if not names:
-            return spark.createDataFrame([], "path string, error string")
-        if len(names) <= NAMED_SUSPECTS:
-            opened = spark.read.format("binaryFile").load(names)
-        else:
-            opened = _contents(spark, top).join(silent, "path", "left_semi")
-    checked = opened.select("path", _key("path").alias("key"), _footer("content").alias("f"))
-    short = F.col("f.rows") != F.coalesce("n", F.lit(0))
-    return checked.join(read, "key", "left").select(
-        "path", F.coalesce("f.error", F.when(short, "Parquet rows unreadable")).alias("error")
-    ).where(F.col("error").isNotNull())
-
-
-def without_unreadable(rows: DataFrame, errors: DataFrame) -> DataFrame:
-    """Metadata without the rows of files in ``errors``: a damaged file gives none at all."""
-    bad = errors.select(_key("path").alias("_key")).distinct()
-    return rows.withColumn("_key", _key("file_path")).join(bad, "_key", "left_anti").drop("_key")
+    names = list(dict.fromkeys([*HC_METADATA.fieldNames(), *SC_METADATA.fieldNames()]))
+    return _spread(_files(spark, root, years)).mapInArrow(
+        _damage_reader(names), "path string, error string")
 
 
 def errors_by_partition(errors: DataFrame) -> DataFrame:

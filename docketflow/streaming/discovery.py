@@ -29,6 +29,7 @@ def stream_discovery(
     spark: SparkSession, inventory_dir: str, checkpoint: str, store: TableStore,
     hc_metadata: MetadataReader, sc_metadata: MetadataReader,
     max_files: int = 1_000, trigger: dict | None = None,
+    metadata_errors: MetadataReader | None = None,
 ) -> StreamingQuery:
     """Discover the objects of every inventory file that appears.
 
@@ -42,7 +43,8 @@ def stream_discovery(
             if years:
                 scan(store, objects.select(*TARGET).distinct(), objects, hc_metadata(years),
                      sc_metadata(years), court_dimension(keys.sparkSession),
-                     F.current_timestamp())
+                     F.current_timestamp(),
+                     metadata_errors(years) if metadata_errors else None)
         finally:
             objects.unpersist()
 
@@ -57,14 +59,15 @@ def stream_discovery(
 def stream_retries(
     ticks: DataFrame, checkpoint: str, store: TableStore, objects: Callable[[], DataFrame],
     hc_metadata: Callable[[], DataFrame], sc_metadata: Callable[[], DataFrame],
-    trigger: dict | None = None,
+    trigger: dict | None = None, errors: Callable[[], DataFrame] | None = None,
 ) -> StreamingQuery:
     """On every tick (a stream with a ``timestamp``), retry the partitions due by its time."""
     def retry(tick: DataFrame, _batch: int) -> None:
         latest = tick.agg(F.max("timestamp").alias("t")).first().t
         if latest is not None:
             retry_due(store, objects(), hc_metadata(), sc_metadata(),
-                      court_dimension(tick.sparkSession), F.lit(latest))
+                      court_dimension(tick.sparkSession), F.lit(latest),
+                      errors=errors() if errors else None)
 
     return (
         ticks.writeStream.foreachBatch(retry).option("checkpointLocation", checkpoint)

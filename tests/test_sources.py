@@ -1,5 +1,6 @@
 """Listings, metadata files, tables and settings on a small tree of real files."""
 
+import datetime
 import json
 import os
 
@@ -104,23 +105,59 @@ def test_metadata_prunes_columns_and_keeps_its_own_court(spark, tree):
 
 
 def test_metadata_triage(spark, tree):
-    rows = metadata.read_hc_metadata(spark, tree[0])
-    errors = metadata.metadata_errors(spark, tree[0], rows)
+    errors = metadata.metadata_errors(spark, tree[0])
     found = metadata.errors_by_partition(errors).collect()
     assert [(r.source, r.year, r.court, r.bench) for r in found] == [
         ("hc", 2023, "7_26", "bad")]
     assert found[0].error.startswith("Parquet parse failed")
 
 
-def test_thorough_triage_finds_files_read_in_part(spark, tree):
-    rows = metadata.read_hc_metadata(spark, tree[0])
-    whole = metadata.metadata_errors(spark, tree[0], rows, thorough=True)
-    assert [r.path.split("bench=")[1] for r in whole.collect()] == ["bad/metadata.parquet"]
-    part = rows.where("court_code <> '9_13' OR ord < 2")
-    errors = metadata.metadata_errors(spark, tree[0], part, thorough=True)
-    assert {r.path.split("bench=")[1]: r.error for r in errors.collect()}[
-        "main/metadata.parquet"] == "Parquet rows unreadable"
-    assert metadata.without_unreadable(part, errors).count() == 0
+def test_a_file_is_read_whole_or_reported(spark, tmp_path):
+    root = str(tmp_path / "hc")
+    place = f"{root}/metadata/parquet/year=2020/court=1_1/bench"
+    rows = [{"pdf_link": f"{i}.pdf", "decision_date": f"{i % 28 + 1:02d}-03-2020"} for i in range(2_000)]
+    text = pa.schema([("pdf_link", pa.string()), ("decision_date", pa.string())])
+    os.makedirs(f"{place}=damaged")
+    path = f"{place}=damaged/metadata.parquet"
+    pq.write_table(pa.Table.from_pylist(rows, schema=text), path, row_group_size=1_000,
+                   use_dictionary=False, compression="gzip")
+    second = pq.ParquetFile(path).metadata.row_group(1).column(0)
+    raw = bytearray(open(path, "rb").read())
+    middle = second.data_page_offset + second.total_compressed_size // 2
+    raw[middle : middle + 200] = bytes(200)
+    open(path, "wb").write(raw)
+    put_metadata(f"{place}=text/metadata.parquet", rows[:3], text)
+    dated = [{"pdf_link": "d.pdf", "decision_date": datetime.date(2020, 3, 5)}]
+    put_metadata(f"{place}=dated/metadata.parquet", dated, pa.schema(
+        [("pdf_link", pa.string()), ("decision_date", pa.date32())]))
+    put_metadata(f"{place}=none/metadata.parquet", [], text)
+    put(f"{place}=cut/metadata.parquet", 300)
+    got = {(r.bench, r.decision_date) for r in metadata.read_hc_metadata(spark, root).collect()}
+    assert got == {("text", "01-03-2020"), ("text", "02-03-2020"), ("text", "03-03-2020"),
+                   ("dated", "2020-03-05")}
+    bad = metadata.errors_by_partition(metadata.metadata_errors(spark, root)).collect()
+    assert sorted(r.bench for r in bad) == ["cut", "damaged"]
+    assert metadata.read_hc_metadata(spark, root, [1999]).count() == 0
+    assert metadata.read_hc_metadata(spark, root, []).count() == 0
+    assert metadata.read_hc_metadata(spark, root, [1999, 2020]).count() == 4
+    assert metadata.metadata_errors(spark, root, [1999]).count() == 0
+
+
+def test_missing_staging_folder_is_empty(spark, tmp_path):
+    assert listing.scan_staging(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_payloads_of_other_claims_stay(spark, tmp_path):
+    def claim(batch, name, *texts):
+        rows = spark.createDataFrame([(batch, t) for t in texts], "batch_id long, payload string")
+        sinks.write_payloads(rows, str(tmp_path / "out"), name)
+
+    claim(1, "a", "one", "two")
+    claim(1, "b", "three")
+    claim(2, "a", "four")
+    claim(1, "b", "three again")
+    found = {r.payload for r in spark.read.json(str(tmp_path / "out")).collect()}
+    assert found == {"one", "two", "three again", "four"}
 
 
 def test_discovery_from_files(spark, tree, objects):
@@ -150,7 +187,7 @@ def test_discovery_from_files(spark, tree, objects):
     assert (whole.title, whole.case_type, whole.parties) == ("whole", "habeas_corpus", "R")
     assert nolang.language == "nolang"
 
-    errors = metadata.errors_by_partition(metadata.metadata_errors(spark, tree[0], hc_rows))
+    errors = metadata.errors_by_partition(metadata.metadata_errors(spark, tree[0]))
     targets = objects.select(*TARGET).distinct().unionByName(spark.createDataFrame(
         [("hc", 1999, "7_26", "gone")], "source string, year int, court string, bench string"))
     summary = {r.prefix: r for r in scan_summary(
@@ -214,11 +251,11 @@ def test_settings(spark):
     assert keyvalue.get_setting(merged, "zz", "none").first().value == "none"
 
 
-def test_event_sink_continues_ids_and_checks_levels(spark):
+def test_event_sink_continues_ids_and_keeps_levels(spark):
     log = spark.createDataFrame([(41, "info")], "id long, level string")
     rows = spark.createDataFrame(
         [("p2", "warn", "w", None), ("p1", "info", "i", 7), ("p3", "loud", "x", None)],
         "prefix string, level string, message string, item_id long")
     out = sinks.new_events(log, rows, F.timestamp_seconds(F.lit(0)), ["prefix"]).orderBy("id")
     assert [(r.id, r.level, r.item_id) for r in out.collect()] == [
-        (42, "info", 7), (43, "warn", None)]
+        (42, "info", 7), (43, "warn", None), (44, "loud", None)]
