@@ -114,7 +114,8 @@ def _blocker(space: Space, queries: bool, size: int) -> Callable:
         raw = ids.astype("<i8").tobytes() + (floor.astype("<f8").tobytes() if queries else b"")
         return pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId() << 32 | nth]), pa.array([raw], pa.binary()),
-             pa.array([x.tobytes()], pa.binary()), pa.array([dist.tobytes()], pa.binary()),
+             pa.array([x.tobytes()], pa.binary()),
+             pa.array([(dist if queries else dist.T).tobytes()], pa.binary()),  # rows: a pivot each
              pa.array([dist.min(0)], pa.list_(pa.float64())),
              pa.array([dist.max(0)], pa.list_(pa.float64())),
              pa.array([float(floor.min())]), pa.array([float((x * x).sum(1).max())])],
@@ -161,27 +162,42 @@ def _exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.array(whole, object)
 
 
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k highest scores, ties to the smaller id, in order."""
+    if len(scores) > 4 * k and scores.dtype != object:  # rows below the k-th score cannot be among them
+        at = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+        scores, ids = scores[at], ids[at]
+    order = np.argsort(ids, kind="stable")
+    order = order[np.argsort(-scores[order], kind="stable")][:k]
+    return scores[order], ids[order]
+
+
 def search_block(q: np.ndarray, q_id: int, q_dist: np.ndarray, floor: float, x: np.ndarray,
                  ids: np.ndarray, dist: np.ndarray, space: Space,
-                 evaluated: list[int] | None = None) -> list[tuple[int, int]]:
-    """(score, vec_id) of the k best rows of a block that can reach ``floor``, exactly."""
+                 evaluated: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and ids of the k best rows of a block that can reach ``floor``, exactly.
+
+    ``dist`` has a row for each pivot.
+    """
     bound = np.zeros(len(ids))
-    for p in range(len(q_dist)):
-        np.maximum(bound, np.abs(dist[:, p] - q_dist[p]), out=bound)
+    for of_rows, of_query in zip(dist, q_dist, strict=True):
+        np.maximum(bound, np.abs(of_rows - of_query), out=bound)
     own = float(q @ q)
     most = (own + space.largest - bound**2) / 2 + space.slack() + 1e-6 * own
     order = np.flatnonzero((most >= floor) & (ids != q_id))
     order = order[np.argsort(-most[order], kind="stable")]
-    best: list[tuple[int, int]] = []
-    for lo in range(0, len(order), CHUNK):
-        at = order[lo : lo + CHUNK]
-        if len(best) == space.k and most[at[0]] < best[-1][0]:
+    scores, found = np.zeros(0), np.zeros(0, np.int64)
+    lo, step = 0, CHUNK
+    while lo < len(order):
+        at = order[lo : lo + step]
+        if len(found) == space.k and most[at[0]] < scores[-1]:
             break
         if evaluated is not None:
             evaluated[0] += len(at)
-        found = zip(map(int, _exact_scores(x[at], q)), ids[at].tolist(), strict=True)
-        best = sorted([*best, *found], key=lambda r: (-r[0], r[1]))[: space.k]
-    return best
+        scores, found = _best(
+            np.concatenate([scores, _exact_scores(x[at], q)]), np.concatenate([found, ids[at]]), space.k)
+        lo, step = lo + step, 2 * step
+    return scores, found
 
 
 def _searcher(space: Space) -> Callable:
@@ -196,11 +212,12 @@ def _searcher(space: Space) -> Callable:
                 floors = np.frombuffer(q_raw, "<f8", len(qs), 8 * len(qs))
                 q_dist = np.frombuffer(q_dist).reshape(len(qs), -1)
                 xs = np.frombuffer(x).reshape(-1, space.width)
-                ids, dist = np.frombuffer(raw, "<i8"), np.frombuffer(dist).reshape(len(xs), -1)
+                ids, dist = np.frombuffer(raw, "<i8"), np.frombuffer(dist).reshape(-1, len(xs))
                 out: list[tuple[int, int, int, int, int]] = []
                 for i in range(len(qs)):
                     found = search_block(qs[i], q_ids[i], q_dist[i], floors[i], xs, ids, dist, space)
-                    out += [(q_block, i, int(q_ids[i]), v, min(max(s, low), high)) for s, v in found]
+                    out += [(q_block, i, int(q_ids[i]), v, min(max(int(s), low), high))
+                            for s, v in zip(*(c.tolist() for c in found), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 5)],
                     names=["q_block", "q_row", "query_id", "vec_id", "score"])

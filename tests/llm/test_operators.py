@@ -315,8 +315,10 @@ def test_top_k_stops_early():
     centres = rng.normal(size=(8, 6)) * 400
     x = np.floor(np.repeat(centres, 500, 0) + rng.normal(size=(4000, 6)) * 20)
     space = top_k.Space(x[::4], np.arange(4000)[::4], float((x * x).sum(1).max()), 5)
-    ids, dist, seen = np.arange(4000), space.of_rows(x), [0]
-    best = top_k.search_block(x[3], 3, space.of_queries(x[3:4])[0], -np.inf, x, ids, dist, space, seen)
+    ids, dist, seen = np.arange(4000), space.of_rows(x).T, [0]
+    scores, found = top_k.search_block(
+        x[3], 3, space.of_queries(x[3:4])[0], -np.inf, x, ids, dist, space, seen)
+    best = list(zip(scores.astype(int).tolist(), found.tolist(), strict=True))
     want = sorted(((int(x[3] @ x[i]), i) for i in range(4000) if i != 3), key=lambda r: (-r[0], r[1]))[:5]
     assert best == want and seen[0] < 2000
 
