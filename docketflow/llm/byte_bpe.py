@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketflow.llm.frames import mapped
-from docketflow.llm.pieces import PieceCache, id_bytes, id_lists, led_words, texts_of
+from docketflow.llm.pieces import PieceCache, id_bytes, id_lists, led_words, parts, texts_of
 from docketflow.llm.token_counts import byte_characters
 
 # Field numbers and types of the public sentencepiece model format.
@@ -123,7 +123,7 @@ def coder(path: str, pattern: str) -> PieceCoder:
 def _encoder(path: str, pattern: str) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, pattern)
-        for batch in batches:
+        for batch in parts(batches):
             ids = id_lists(own.encode(texts_of(batch.column(1))))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
@@ -144,7 +144,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def _decoder(path: str, pattern: str) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, pattern)
-        for batch in batches:
+        for batch in parts(batches):
             lists = batch.column(1)
             offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy()
             out = [own.decode(values[lo:hi]).tobytes()

@@ -51,6 +51,13 @@ def led_words(text: str) -> list[str]:
     return _RUNS.findall(text)
 
 
+def parts(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of fewer rows, where several copies of a batch would be too much."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 class PieceCache:
     """Values of pieces, computed in bulk and kept in two generations of bounded size."""
 
