@@ -604,12 +604,24 @@ FROM fx_partitions""")
 
 _TEXTS = ("citation title parties court court_type bench bench_type decision_date case_type "
           "judges outcome").split()
+sql("ledger_merge", "items", """
+SELECT id, source, s3_key, bytes,
+  CASE WHEN id % 6 = 0 THEN 'pushed' WHEN id % 3 = 0 THEN 'uploading' ELSE status END AS status,
+  CASE WHEN id % 3 = 0 AND id % 6 <> 0 THEN attempts + 1 ELSE attempts END AS attempts,
+  CASE WHEN id % 6 <> 0 THEN local_path END AS local_path
+FROM fx_items""")
 sql("payloads", "items",
     "SELECT id, batch_id, " + ", ".join(f"nullif({c}, '') AS {c}" for c in _TEXTS)
     + ", nullif(state_name, '') AS state, CAST(year AS VARCHAR) AS year, "
     "coalesce(nullif(language, ''), 'en') AS language, CASE WHEN source_url LIKE 'http%' "
     "AND source_url NOT LIKE '% %' THEN source_url END AS source_url FROM fx_items")
 
+_JSON = ("citation title parties court court_type state bench bench_type year decision_date "
+         "case_type judges outcome language source_url").split()
+ORACLE["payload_json"] = "SELECT id, batch_id, '{' || concat_ws(',', " + ", ".join(
+    f"'\"{c}\":' || CAST(to_json({c}) AS VARCHAR)" for c in _JSON
+) + f") || '}}' AS payload FROM ({ORACLE['payloads']}) p"
+
 _SNAP = _OPEN + f""",
 i AS (SELECT {total(_RESERVED)} AS used, count(*) AS total_items,
     {total("status = 'pushed'")} AS pushed_bytes, {total()} AS known_bytes,
@@ -638,7 +650,7 @@ sql("status_report", "items staged objects partitions", _SNAP + f"""
 SELECT {phase('false', 'true', CAP)} AS phase,
   discovered + downloaded + uploading + remaining + pending + pfailed > 0 AS work_left,
   used AS used_bytes, fs_bytes AS filesystem_bytes, CAST({CAP} AS BIGINT) AS cap_bytes,
-  greatest(0, {CAP} - used) AS free_bytes, CAST(floor(used / {CAP}.0::DOUBLE * 100) AS BIGINT) AS pct,
+  greatest(0, {CAP} - used) AS free_bytes, CAST(round(round(used / {CAP}.0::DOUBLE * 100, 2) * 100) AS BIGINT) AS pct_hundredths,
   total AS plan_total, position AS plan_position, remaining AS plan_remaining,
   pending AS parts_pending, pfailed AS parts_failed, due, total_items, pushed_bytes, known_bytes,
   bytes_on_disk, smallest AS smallest_queued, discovered, pushed
@@ -650,6 +662,8 @@ UNION ALL SELECT 'manual, full', {phase('false', 'false', CAP)} FROM i, b, p
 UNION ALL SELECT 'manual, room', {phase('false', 'false', 10**15)} FROM i, b, p""")
 sql("status_headline", "items staged objects partitions", _SNAP + f"""
 SELECT {short('used')} || ' / ' || {short(str(CAP))} AS disk,
+  {short(f"greatest(0, {CAP} - used)")} || ' free · '
+    || CAST(round(used / {CAP}.0::DOUBLE * 100, 2) AS VARCHAR) || '% of cap' AS free,
   {short('pushed_bytes')} || ' ingested' AS ingested, downloaded + uploading AS staged,
   discovered AS queued, failed || ' failed · ' || skipped || ' skipped (duplicates)' AS problems,
   position || ' / ' || total || ' partitions · ' || remaining || ' left' AS plan

@@ -12,7 +12,7 @@ from docketflow.operators import (
     admission, batches, catalogue, delivery, insertion, lifecycle, partitions, reports, status,
     transitions,
 )
-from docketflow.operators.keyed import patch
+from docketflow.operators.keyed import overlaid, patch
 from docketflow.plans import discovery
 from docketflow.sources.courts import court_dimension
 from docketflow.sources.keyvalue import decoded, upsert_settings
@@ -316,6 +316,18 @@ def claim_for_upload(spark, sf):
     return patch(items, ids, "id").select("id", "status")
 
 
+@query
+def ledger_merge(spark, sf):
+    """The ledger with two logs of changed rows laid over it, the later one last."""
+    items = Inputs(spark, sf).items()
+    third = items.where(F.col("id") % 3 == 0).withColumns({
+        "status": F.lit("uploading"), "attempts": F.col("attempts") + 1, "step": F.lit(1)})
+    sixth = items.where(F.col("id") % 6 == 0).withColumns({
+        "status": F.lit("pushed"), "local_path": F.lit(None).cast("string"), "step": F.lit(2)})
+    merged = overlaid(items, third.unionByName(sixth), "id", "step")
+    return merged.select("id", "source", "s3_key", "bytes", "status", "attempts", "local_path")
+
+
 @query
 def mark_downloaded(spark, sf):
     i = Inputs(spark, sf)
@@ -569,6 +581,11 @@ def payloads(spark, sf):
     return delivery.payload_columns(Inputs(spark, sf).items())
 
 
+@query
+def payload_json(spark, sf):
+    return delivery.payloads(Inputs(spark, sf).items())
+
+
 @query
 def classify_responses(spark, sf):
     return _outcomes(Inputs(spark, sf))
@@ -594,7 +611,7 @@ def status_report(spark, sf):
     report = status.report(_snapshot(spark, sf))
     return report.select(
         "phase", "work_left", "disk.used_bytes", "disk.filesystem_bytes", "disk.cap_bytes",
-        "disk.free_bytes", F.floor(F.col("disk.pct")).cast("long").alias("pct"),
+        "disk.free_bytes", F.round(F.col("disk.pct") * 100).cast("long").alias("pct_hundredths"),
         F.col("plan.total").alias("plan_total"), F.col("plan.position").alias("plan_position"),
         F.col("plan.remaining").alias("plan_remaining"),
         F.col("partitions.pending").alias("parts_pending"),
@@ -624,4 +641,4 @@ def status_lines(spark, sf):
 
 @query
 def status_headline(spark, sf):
-    return status.headline(_snapshot(spark, sf)).drop("free")
+    return status.headline(_snapshot(spark, sf))

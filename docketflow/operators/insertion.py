@@ -55,13 +55,16 @@ def rejected_items(
         .when(F.col("_citation_known"), "citation in ledger")
         .otherwise("citation repeated")
     )
-    return (
+    stopped = (
         batch.join(taken, order, "left_anti")
         .join(keys, "s3_key", "left")
         .join(first_key, "s3_key", "left")
-        .join(citations, "citation", "left")
-        .select("s3_key", "citation", order, reason.alias("reason"))
     )
+    # Rows without a citation match none; joined, they would all meet in one task.
+    cited = stopped.where(F.col("citation").isNotNull()).join(citations, "citation", "left")
+    bare = stopped.where(F.col("citation").isNull()).withColumn(
+        "_citation_known", F.lit(None).cast("boolean"))
+    return cited.unionByName(bare).select("s3_key", "citation", order, reason.alias("reason"))
 
 
 def as_ledger_rows(

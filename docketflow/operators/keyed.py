@@ -28,6 +28,13 @@ def first_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     ])
 
 
+def overlaid(base: DataFrame, changes: DataFrame, key: str, step: str) -> DataFrame:
+    """``base`` with whole rows of ``changes`` in place of its own, the highest ``step`` of a key
+    last.  ``step`` is a column of ``changes`` only."""
+    newest = last_per_key(changes, [key], step).select(key, "last.*").select(*base.columns)
+    return base.join(newest.select(key), key, "left_anti").select(*base.columns).unionByName(newest)
+
+
 def patch(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """``base`` with the columns of ``changes`` replaced on the rows it names by ``key``.
 

@@ -37,15 +37,25 @@ def scan(
     store: TableStore, targets: DataFrame, objects: DataFrame, hc_metadata: DataFrame,
     sc_metadata: DataFrame, court_dim: DataFrame, now: Column,
     errors: DataFrame | None = None, limits: Limits = DEFAULTS,
+    listed_before: DataFrame | None = None,
 ) -> DataFrame:
-    """Discover all targets in one job, insert what is new, and record every partition."""
+    """Discover all targets in one job, insert what is new, and record every partition.
+
+    When ``objects`` are only a part of their partitions, ``listed_before`` names everything
+    listed so far (prefix, s3_key), and the partitions are recorded with their true totals.
+    """
     listed = discovery.in_targets(objects, targets)
     found = settle(discovery.discover(
         listed, discovery.metadata_in_targets(hc_metadata, targets),
         discovery.metadata_in_targets(sc_metadata, targets), court_dim, limits))
     queued = insert_found(store, found, now)
     summary = settle(discovery.scan_summary(targets, listed, found, queued, errors))
-    results = summary.select("prefix", "source", F.col("seen").alias("found"), "queued")
+    if listed_before is None:
+        results = summary.select("prefix", "source", F.col("seen").alias("found"), "queued")
+    else:
+        results = discovery.partition_totals(
+            summary, listed.select("prefix", "s3_key").unionByName(listed_before),
+            store.read("items"))
     store.replace("scanned_partitions",
                   partitions.mark_scanned(store.read("scanned_partitions"), results, now))
     log(store, discovery.scan_events(summary), now, ["prefix", "line"], limits)
@@ -95,8 +105,9 @@ def claim_downloads(
     """Admit rows to download; returns their ledger rows."""
     items = store.read("items")
     ids = settle(admission.claim_for_download(items, cap_bytes, limit))
-    store.replace("items", patch(items, admission.claimed_as(ids, "downloading"), "id"))
-    return items.join(ids, "id", "left_semi")
+    claimed = items.join(ids, "id", "left_semi")
+    store.update("items", patch(claimed, admission.claimed_as(ids, "downloading"), "id"))
+    return claimed
 
 
 def record_downloads(store: TableStore, staged: DataFrame, now: Column) -> None:
@@ -106,8 +117,39 @@ def record_downloads(store: TableStore, staged: DataFrame, now: Column) -> None:
     store.replace("batches", opened)
     items = store.read("items")
     moving = items.where(F.col("status") == "downloading")
-    manifest = transitions.staged_manifest(moving, staged, batch)
-    store.replace("items", transitions.mark_downloaded(items, manifest, now))
+    manifest = settle(transitions.staged_manifest(moving, staged, batch))
+    arrived = moving.join(manifest, "id", "left_semi")
+    store.update("items", transitions.mark_downloaded(arrived, manifest, now))
+
+
+def fail_downloads(
+    store: TableStore, failures: DataFrame, now: Column, limits: Limits = DEFAULTS
+) -> None:
+    """Count a failed try for (item_id, message) rows still downloading.
+
+    They return to the queue or, at the limit, fail.  Of several messages the smallest stays.
+    """
+    active = store.read("items").where(F.col("status") == "downloading")
+    outcomes = settle(
+        failures.groupBy("item_id").agg(F.min("message").alias("message"))
+        .join(active.select(F.col("id").alias("item_id")), "item_id", "left_semi")
+        .select("item_id", F.lit("retry").alias("outcome"),
+                F.lit(None).cast("long").alias("document_id"), "message",
+                F.lit("discovered").alias("retry_state")))
+    touched = active.join(outcomes.select(F.col("item_id").alias("id")), "id", "left_semi")
+    store.update("items", transitions.apply_outcomes(touched, outcomes, now, limits))
+
+
+def retry_failed_items(store: TableStore) -> None:
+    """Give every failed row its tries back, at the stage its kept file allows."""
+    failed = store.read("items").where(F.col("status") == "failed")
+    store.update("items", transitions.retry_failed(failed))
+
+
+def retry_parked_partitions(store: TableStore) -> None:
+    """Make every parked partition due at once."""
+    parked = store.read("scanned_partitions").where(F.col("status") == "failed")
+    store.update("scanned_partitions", partitions.retry_failed(parked))
 
 
 def claim_uploads(
@@ -119,8 +161,11 @@ def claim_uploads(
     """
     items = store.read("items")
     ids = settle(admission.claim_for_upload(items, limit))
-    claimed = patch(items, admission.claimed_as(ids, "uploading"), "id")
-    store.replace("items", transitions.requeue_vanished(claimed, staged))
+    claimed = patch(items.join(ids, "id", "left_semi"),
+                    admission.claimed_as(ids, "uploading"), "id")
+    waiting = items.where(F.col("status") == "uploading")
+    gone = transitions.requeue_vanished(waiting, staged).where(F.col("status") == "discovered")
+    store.update("items", transitions.requeue_vanished(claimed, staged).unionByName(gone))
     sending = store.read("items").where(F.col("status") == "uploading").join(
         ids, "id", "left_semi")
     write_payloads(delivery.payloads(sending), payload_dir)
@@ -137,9 +182,11 @@ def apply_responses(
     """
     latest = last_per_key(responses, ["item_id"], "seq").select("item_id", "last.*")
     items = store.read("items")
-    active = items.where(F.col("status") == "uploading").select(F.col("id").alias("item_id"))
-    outcomes = settle(delivery.classify(latest).join(active, "item_id", "left_semi"))
-    store.replace("items", transitions.apply_outcomes(items, outcomes, now, limits))
+    active = items.where(F.col("status") == "uploading")
+    outcomes = settle(delivery.classify(latest).join(
+        active.select(F.col("id").alias("item_id")), "item_id", "left_semi"))
+    touched = active.join(outcomes.select(F.col("item_id").alias("id")), "id", "left_semi")
+    store.update("items", transitions.apply_outcomes(touched, outcomes, now, limits))
     close_batches(store, now)
     return delivery.auth_halt(outcomes)
 
@@ -155,5 +202,6 @@ def close_batches(store: TableStore, now: Column) -> None:
 
 def recover(store: TableStore, staged: DataFrame) -> DataFrame:
     """After a crash: rewind rows in flight; returns the staged files nobody claims."""
-    store.replace("items", transitions.reset_inflight(store.read("items"), staged))
+    inflight = store.read("items").where(F.col("status").isin("downloading", "uploading"))
+    store.update("items", transitions.reset_inflight(inflight, staged))
     return transitions.orphans(store.read("items"), staged)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docketflow.operators.catalogue import TARGET
+from docketflow.operators.catalogue import TARGET, partition_prefix
 from docketflow.operators.reports import recent_events
 from docketflow.plans.cycles import retry_due, scan
 from docketflow.schemas import INVENTORY
@@ -20,6 +21,28 @@ from docketflow.sources.store import TableStore
 MetadataReader = Callable[[list[int]], DataFrame]
 
 
+Clock = Callable[[], Column]
+
+
+def moment() -> Column:
+    """The present as a literal, so that one micro-batch stamps all its rows alike."""
+    return F.timestamp_micros(F.lit(int(time.time() * 1_000_000)))
+
+
+def _listed(objects: DataFrame, log: str, batch: int, years: list[int]) -> DataFrame:
+    """(prefix, s3_key) of all that micro-batches up to this one listed in ``years``.
+
+    A micro-batch writes its keys to its own folder, so a replay writes the same folder again,
+    and reading is pruned to the years.
+    """
+    objects.select(partition_prefix().alias("prefix"), "s3_key", "year").write.mode(
+        "overwrite").partitionBy("year").parquet(f"{log}/batch={batch}")
+    rows = objects.sparkSession.read.option("basePath", log).schema(
+        "prefix string, s3_key string, batch long, year int").parquet(log)
+    return rows.where((F.col("batch") <= batch) & F.col("year").isin(years)).select(
+        "prefix", "s3_key")
+
+
 def _years(objects: DataFrame) -> list[int]:
     """Years of a micro-batch: at most one per calendar year of the collections."""
     return sorted(r.year for r in objects.select("year").distinct().collect())
@@ -29,22 +52,26 @@ def stream_discovery(
     spark: SparkSession, inventory_dir: str, checkpoint: str, store: TableStore,
     hc_metadata: MetadataReader, sc_metadata: MetadataReader,
     max_files: int = 1_000, trigger: dict | None = None,
-    metadata_errors: MetadataReader | None = None,
+    metadata_errors: MetadataReader | None = None, clock: Clock = moment,
 ) -> StreamingQuery:
     """Discover the objects of every inventory file that appears.
 
     No state is kept in the stream.  A micro-batch replayed after a failure finds its rows in
-    the ledger and inserts nothing, so the ledger's own keys make the stream exactly-once.
+    the ledger and inserts nothing, so the ledger's own keys make the stream exactly-once.  The
+    keys listed so far are kept beside the checkpoint, and a partition that arrives in several
+    files is recorded with the objects and the ledger rows of all of them.
     """
-    def ingest(keys: DataFrame, _batch: int) -> None:
+    log = f"{checkpoint.rstrip('/')}-listed"
+
+    def ingest(keys: DataFrame, batch: int) -> None:
         objects = place_objects(keys).persist()
         try:
             years = _years(objects)
             if years:
                 scan(store, objects.select(*TARGET).distinct(), objects, hc_metadata(years),
-                     sc_metadata(years), court_dimension(keys.sparkSession),
-                     F.current_timestamp(),
-                     metadata_errors(years) if metadata_errors else None)
+                     sc_metadata(years), court_dimension(keys.sparkSession), clock(),
+                     metadata_errors(years) if metadata_errors else None,
+                     listed_before=_listed(objects, log, batch, years))
         finally:
             objects.unpersist()
 

@@ -12,6 +12,7 @@ from docketflow.plans.cycles import apply_responses
 from docketflow.session import settle
 from docketflow.settings import DEFAULTS, Limits
 from docketflow.sources.store import TableStore
+from docketflow.streaming.discovery import Clock, moment
 
 EVENT = T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("event_id", T.LongType()),
@@ -97,14 +98,14 @@ def stream_lifecycle(
 
 def stream_delivery(
     responses: DataFrame, checkpoint: str, store: TableStore, limits: Limits = DEFAULTS,
-    trigger: dict | None = None,
+    trigger: dict | None = None, clock: Clock = moment,
 ) -> StreamingQuery:
     """Apply a stream of upload responses to the ledger.
 
     Responses arrive at least once; a repeated one finds its row no longer uploading.
     """
     def apply(rows: DataFrame, _batch: int) -> None:
-        apply_responses(store, settle(rows), F.current_timestamp(), limits)
+        apply_responses(store, settle(rows), clock(), limits)
 
     return (
         responses.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

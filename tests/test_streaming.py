@@ -67,11 +67,60 @@ def test_discovery_stream_equals_batch_and_is_idempotent(spark, tmp_path, store)
     run_discovery(spark, tmp_path, store)
     assert store.read("items").count() == 3
     part = store.read("scanned_partitions").first()
-    assert (part.status, part.found, part.queued) == ("done", 2, 0)
+    assert (part.status, part.found, part.queued) == ("done", 4, 3)
     ids = [r.id for r in store.read("events").orderBy("id").collect()]
     assert ids == [1, 2, 3]
 
 
+def test_failures_and_retries_by_cycles(spark, tmp_path, store):
+    from docketflow.sources.courts import court_dimension
+    from docketflow.sources.listing import place_objects
+    hc, sc = readers(spark)
+    objects = place_objects(keys(spark, [f"{i}.pdf" for i in range(40)]))
+    targets = objects.select("source", "year", "court", "bench").distinct()
+    cycles.scan(store, targets, objects, hc([2024]), sc([]), court_dimension(spark), now())
+    failures = spark.createDataFrame(
+        [(1, "reset by peer"), (1, "later"), (2, "timeout"), (30, "not claimed")],
+        "item_id long, message string")
+    for tries in (1, 2, 3):
+        cycles.claim_downloads(store, limit=8)
+        # A claim of eight rows writes eight rows, whatever the size of the ledger.
+        steps = store._steps("items", "changed", 1)
+        written = spark.read.parquet(f"{store.root}/items/changed/version=1/step={steps[-1]}")
+        assert written.count() == 8
+        cycles.fail_downloads(store, failures, now(tries))
+        rows = {r.id: r for r in store.read("items").collect()}
+        assert len(rows) == 40
+        assert (rows[1].attempts, rows[1].error) == (tries, "later")
+        assert rows[1].status == ("failed" if tries == 3 else "discovered")
+        assert (rows[30].status, rows[30].attempts) == ("discovered", 0)
+        cycles.recover(store, spark.createDataFrame([], "path string, bytes long"))
+    cycles.retry_failed_items(store)
+    after = {r.id: (r.status, r.attempts) for r in store.read("items").collect()}
+    assert after[1] == after[2] == ("discovered", 0) and len(after) == 40
+
+
+def test_many_updates_fold_into_a_version(spark, store, monkeypatch):
+    from docketflow.sources import store as stores
+    monkeypatch.setattr(stores, "MOST_STEPS", 2)
+    cells = "id long, source string, s3_key string, status string"
+    rows = [(i, "hc", f"k{i}", "discovered") for i in range(4)]
+    store.append("items", spark.createDataFrame(rows[:3], cells))
+    store.append("items", spark.createDataFrame(rows[3:], cells))
+    for n in range(4):
+        store.update("items", spark.createDataFrame([(n % 2, "hc", f"k{n % 2}", f"s{n}")], cells))
+        assert store.read("items").count() == 4
+    assert store._versions("items") == [1, 2]
+    assert {r.id: r.status for r in store.read("items").collect()} == {
+        0: "s2", 1: "s3", 2: "discovered", 3: "discovered"}
+    # A folder that a lost job left incomplete is not read, and is written over.
+    store._write_step("items", "changed", spark.createDataFrame([(2, "hc", "k2", "x")], cells), 2)
+    last = store._steps("items", "changed", 2)[-1]
+    path, fs = store._folder(f"items/changed/version=2/step={last}/_SUCCESS")
+    fs.delete(path, False)
+    assert store.read("items").where("id = 2").first().status == "discovered"
+
+
 def test_whole_cycle(spark, tmp_path, store):
     from docketflow.sources.courts import court_dimension
     from docketflow.sources.listing import place_objects
