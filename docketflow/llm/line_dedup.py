@@ -1,5 +1,7 @@
 """Line deduplication by pairwise alignment (operator 10).
 
+A line ends at a newline and, within one, after a sentence: a passage set into the middle of a
+paragraph is a run of whole lines too, but for the sentence that it breaks into.
 Lines of ``LINE_WORDS`` words or more are indexed by (hash, occurrence in its document), so a key
 stands once in a document.  Every key is looked up in the first document that has it: rare keys
 find the documents that overlap, and a key that thousands share still costs one row per holder,
@@ -31,7 +33,7 @@ class IndexedLines:
     """The lines of the texts of a slice, and which of them are indexed."""
 
     def __init__(self, part: Slice, least: int):
-        self.texts, self.starts, self.ends = part.lines
+        self.texts, self.starts, self.ends = part.sentences
         words = np.searchsorted(part.starts, self.ends) - np.searchsorted(part.starts, self.starts)
         self.hashes = part.hashes(self.starts, self.ends)
         self.at = np.flatnonzero(words >= least)
@@ -206,8 +208,16 @@ def _without(raw: bytes, marks: list[dict], least: int) -> tuple[bytes, int, int
     cut = counts_before(~part.space)
     begins = counts_before(np.isin(np.arange(len(part.data)), part.starts))
     words = int((begins[x.ends] - begins[x.starts])[gone & (cut[x.ends] > cut[x.starts])].sum())
-    kept = [raw[a:b] for a, b in zip(x.starts[~gone], x.ends[~gone], strict=True)]
-    return b"\n".join(kept), int(gone.sum()), words
+    keep = np.flatnonzero(~gone)
+    newlines = counts_before(part.data == 10)
+    kept = []
+    for n, i in enumerate(keep):
+        if n:  # what stood between: a newline, if one of the separators is one
+            end = x.ends[keep[n - 1]]
+            apart = newlines[x.starts[i]] > newlines[end]
+            kept.append(b"\n" if apart else raw[end : end + 1])
+        kept.append(raw[x.starts[i] : x.ends[i]])
+    return b"".join(kept), int(gone.sum()), words
 
 
 def _rewriter(schema: list[str], line_words: int) -> Callable:

@@ -408,3 +408,24 @@ def test_longest_run_in_order():
             len(s) for m in range(1 << len(x))
             if (s := [int(v) for k, v in enumerate(x) if m >> k & 1]) == sorted(s))
         assert flags.sum() == best and (np.diff(x[flags]) > 0).all()
+
+
+def test_passage_inside_paragraphs(spark):
+    """A passage that breaks into a sentence of another text goes, but for its first sentence."""
+    rng = np.random.default_rng(11)
+
+    def sentences(n: int) -> list[str]:
+        return [" ".join(f"w{rng.integers(10**9)}" for _ in range(9)) + "." for _ in range(n)]
+
+    passage = " ".join(sentences(7))
+    texts = {}
+    for i in range(6):
+        own = " ".join(sentences(6)).split(" ")
+        texts[i] = " ".join([*own[:5 * i + 3], passage, *own[5 * i + 3:]]) + "\nEnd of it. " + sentences(1)[0]
+    texts[6] = "Clean! " + " ".join(sentences(5)) + "\n\n" + " ".join(sentences(5)) + " "
+    df = frames.importable(spark).createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in line_dedup.without_shared_lines(df.repartition(3)).collect()}
+    assert got[0] == texts[0] and got[6] == texts[6]
+    tail = passage.split(". ", 1)[1]
+    for i in range(1, 6):
+        assert got[i] == texts[i].replace(tail + " ", "")
