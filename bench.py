@@ -1,4 +1,4 @@
-"""Time the headline queries: one JSON line on stdout.
+"""Time the queries of the library: one JSON line on stdout.
 
 Environment: BENCH_SF_DIR (tables), BENCH_CPUS (local cores), BENCH_QUERIES (comma list).
 Each query is planned and run to a sink that keeps every row; the time is the better of
@@ -17,16 +17,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from checks.queries import QUERIES  # noqa: E402
 from docketflow.session import local_session  # noqa: E402
 
-HEADLINE = [
-    "discover_hc", "discover_sc", "discovered_profile", "scan_summary", "insert_or_ignore",
-    "rejected_items", "arrival_ids", "case_types", "bench_types", "decision_dates",
-    "clip_and_parties", "catalogue_courts", "expand_targets", "plan_append",
-    "admit_under_budget", "admit_many", "mark_downloaded", "delivery_outcomes",
-    "recover_inflight", "orphans", "batch_completion", "lifecycle_fold", "disk_usage",
-    "ledger_stats", "source_stats", "item_page", "event_retention", "kv_latest",
-    "partition_failures", "payloads", "classify_responses", "status_report",
-]
-
 
 def timed(run) -> float:
     start = time.perf_counter()
@@ -39,7 +29,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = os.environ.get("BENCH_QUERIES", "")
-    names = [n for n in chosen.split(",") if n] or HEADLINE
+    names = [n for n in chosen.split(",") if n] or list(QUERIES)
     spark = local_session(cpus, app="docketflow-bench")
     timed(lambda: spark.read.parquet(f"{sf_dir}/orders.parquet"))
     seconds = {

@@ -247,14 +247,22 @@ SELECT (SELECT max(id) FROM fx_log) + row_number() OVER (ORDER BY prefix, line)
 
 # -- functions ---------------------------------------------------------------------------
 
-sql("case_types", "hc_meta",
-    f"SELECT ord, {case_type(blob('title', 'description'))} AS case_type FROM fx_hc_meta")
-sql("bench_types", "hc_meta",
-    f"SELECT ord, {bench_type('judge')} AS bench_type, {judge_name('judge')} AS judge_name "
-    "FROM fx_hc_meta")
-sql("decision_dates", "hc_meta",
-    f"SELECT ord, {decision_date('decision_date')} AS decision_date, "
-    f"{decision_year('decision_date')} AS decision_year FROM fx_hc_meta")
+
+def both(*columns: str) -> str:
+    names = ", ".join(columns)
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS collection, ord, {names} FROM fx_{c}_meta" for c in ("hc", "sc"))
+
+
+sql("case_types", "hc_meta sc_meta",
+    f"SELECT collection, ord, {case_type(blob('title', 'description'))} AS case_type "
+    f"FROM ({both('title', 'description')}) m")
+sql("bench_types", "hc_meta sc_meta",
+    f"SELECT collection, ord, {bench_type('judge')} AS bench_type, "
+    f"{judge_name('judge')} AS judge_name FROM ({both('judge')}) m")
+sql("decision_dates", "hc_meta sc_meta",
+    f"SELECT collection, ord, {decision_date('decision_date')} AS decision_date, "
+    f"{decision_year('decision_date')} AS decision_year FROM ({both('decision_date')}) m")
 sql("clip_and_parties", "hc_meta",
     f"SELECT ord, {clip('title', 500)} AS title, {clip(parties('title'), 2000)} AS parties, "
     f"{base('pdf_link')} AS file, {stem(base('pdf_link'))} AS stem, "
@@ -532,6 +540,7 @@ ORDER BY id DESC LIMIT 80""")
 sql("event_retention", "log", """
 SELECT id, level, message, item_id FROM fx_log
 WHERE id >= (SELECT max(id) - 2000 FROM fx_log)""")
+ORACLE["lifecycle_hot_items"] = ORACLE["lifecycle_fold"]
 ORACLE["kv_latest"] = """
 WITH writes AS (
   SELECT CAST(user_id AS VARCHAR) AS key, event_id AS seq,

@@ -179,24 +179,33 @@ def scan_events(spark, sf):
 # -- functions ---------------------------------------------------------------------------
 
 
+def _both(spark, sf, *columns: str) -> DataFrame:
+    """Columns of the metadata of both collections."""
+    i = Inputs(spark, sf)
+    hc, sc = (i.fx(f"{name}_meta").select(F.lit(name).alias("collection"), "ord", *columns)
+              for name in ("hc", "sc"))
+    return hc.unionByName(sc)
+
+
 @query
 def case_types(spark, sf):
-    return with_case_type(Inputs(spark, sf).fx("hc_meta"), "case_type", "title", "description"
-                          ).select("ord", "case_type")
+    rows = _both(spark, sf, "title", "description")
+    return with_case_type(rows, "case_type", "title", "description").select(
+        "collection", "ord", "case_type")
 
 
 @query
 def bench_types(spark, sf):
-    meta = Inputs(spark, sf).fx("hc_meta")
-    return meta.select("ord", judges.bench_type("judge").alias("bench_type"),
-                       judges.judge_name("judge").alias("judge_name"))
+    return _both(spark, sf, "judge").select(
+        "collection", "ord", judges.bench_type("judge").alias("bench_type"),
+        judges.judge_name("judge").alias("judge_name"))
 
 
 @query
 def decision_dates(spark, sf):
-    meta = Inputs(spark, sf).fx("hc_meta")
-    return meta.select("ord", dates.decision_date("decision_date").alias("decision_date"),
-                       dates.decision_year("decision_date").alias("decision_year"))
+    return _both(spark, sf, "decision_date").select(
+        "collection", "ord", dates.decision_date("decision_date").alias("decision_date"),
+        dates.decision_year("decision_date").alias("decision_year"))
 
 
 @query
@@ -425,6 +434,13 @@ def lifecycle_fold(spark, sf):
     return states.withColumn("last_ts", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query
+def lifecycle_hot_items(spark, sf):
+    """The same states, with every item of more than two events folded by segments."""
+    states = lifecycle.lifecycle(Inputs(spark, sf).fx("item_events"), segment_rows=2)
+    return states.withColumn("last_ts", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def schema_migrate(spark, sf):
     older = Inputs(spark, sf).items().drop(
