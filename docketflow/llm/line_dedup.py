@@ -1,6 +1,6 @@
 """Line deduplication by pairwise alignment (operator 10).
 
-A line ends at a newline and, within one, after a sentence: a passage set into the middle of a
+A line ends at a newline and, within one of ``PARAGRAPH_WORDS``, after a sentence: a passage set into the middle of a
 paragraph is a run of whole lines too, but for the sentence that it breaks into.
 Lines of ``LINE_WORDS`` words or more are indexed by (hash, occurrence in its document), so a key
 stands once in a document.  Every key is looked up in the first document that has it: rare keys
@@ -26,6 +26,8 @@ from docketflow.llm.arrays import Slice, counts_before, mixed, slices
 from docketflow.llm.frames import mapped, settle
 
 LINE_WORDS, BLOCK_WORDS = 5, 8
+#: Lines from this length on are cut at sentences: shorter ones hold no passage of that length.
+PARAGRAPH_WORDS = 50
 _LAST = (1 << 63) - 1
 
 
@@ -33,7 +35,7 @@ class IndexedLines:
     """The lines of the texts of a slice, and which of them are indexed."""
 
     def __init__(self, part: Slice, least: int):
-        self.texts, self.starts, self.ends = part.sentences
+        self.texts, self.starts, self.ends = part.sentences(PARAGRAPH_WORDS)
         words = np.searchsorted(part.starts, self.ends) - np.searchsorted(part.starts, self.starts)
         self.hashes = part.hashes(self.starts, self.ends)
         self.at = np.flatnonzero(words >= least)
