@@ -1,15 +1,20 @@
-"""Line deduplication by pairwise alignment (operator 10).
-
-A line ends at a newline and, within one of ``PARAGRAPH_WORDS``, after a sentence: a passage set into the middle of a
-paragraph is a run of whole lines too, but for the sentence that it breaks into.
-Lines of ``LINE_WORDS`` words or more are indexed by (hash, occurrence in its document), so a key
-stands once in a document.  Every key is looked up in the first document that has it: rare keys
-find the documents that overlap, and a key that thousands share still costs one row per holder,
-so none is too frequent to be used.  The keys that a document shares with one earlier document are
-aligned by patience: all are unique in both, and the longest run of them that stands in the same
-order in both is kept.  Blocks of neighbouring aligned lines with ``BLOCK_WORDS`` words or more
-are deleted from the later document, along with the short lines just above and below where
-they are the same in the earlier one.
+"""Line deduplication by shared blocks (operator 10).
+
+A text is cut into pieces after sentences (words that end with ``.``, ``!`` or ``?``) and at
+newlines.  Keys are hashes of word sequences.  These are indexed, by (hash, occurrence in its
+document), so that a key stands once in a document:
+
+* blocks: the shortest runs of pieces, from each piece on and back from each, that hold
+  ``BLOCK_WORDS`` words and two pieces.  Any longer run that two
+  documents share is covered by the blocks inside it, however short its pieces are and whichever
+  document had each of them first;
+* single pieces of ``LINE_WORDS`` words or more.
+
+Every key is looked up in the first document that has it: a key that thousands share still costs
+one row per holder, so none is too frequent to be used.  A block that an earlier document has
+is deleted, in whatever order blocks stand there.  The single pieces that a document shares with
+one earlier document are aligned by patience: all are unique in both, and of the longest run
+of them that stands in the same order in both, pieces of ``BLOCK_WORDS`` words or more are deleted.
 """
 
 from __future__ import annotations
@@ -19,43 +24,61 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketflow.llm.arrays import Slice, counts_before, mixed, slices
+from docketflow.llm.arrays import Slice, counts_before, mixed, per_row, slices
 from docketflow.llm.frames import mapped, settle
 
 LINE_WORDS, BLOCK_WORDS = 5, 8
-#: Lines from this length on are cut at sentences: shorter ones hold no passage of that length.
-PARAGRAPH_WORDS = 50
 _LAST = (1 << 63) - 1
 
 
-class IndexedLines:
-    """The lines of the texts of a slice, and which of them are indexed."""
-
-    def __init__(self, part: Slice, least: int):
-        self.texts, self.starts, self.ends = part.sentences(PARAGRAPH_WORDS)
-        words = np.searchsorted(part.starts, self.ends) - np.searchsorted(part.starts, self.starts)
-        self.hashes = part.hashes(self.starts, self.ends)
-        self.at = np.flatnonzero(words >= least)
-        self.words = words[self.at]
-        self.rows = self.texts[self.at]
-        self.bounds = np.searchsorted(self.rows, np.arange(part.rows + 1))
-        self.position = np.arange(len(self.at)) - self.bounds[self.rows]
-        self.line_bounds = np.searchsorted(self.texts, np.arange(part.rows + 1))
-        # The short lines from the indexed line before (or the text's start) to this one.
-        self.above = np.empty(len(self.at), np.int64)
-        first = self.position == 0
-        self.above[first] = self.line_bounds[self.rows[first]]
-        self.above[~first] = self.at[np.flatnonzero(~first) - 1] + 1
-        last = np.ones(len(self.at), bool)
-        last[:-1] = self.rows[1:] != self.rows[:-1]
-        self.below = np.where(last, self.line_bounds[self.rows + 1], self.at + 1)
-
-    def keys(self) -> np.ndarray:
-        """Hashes of (line, how many equal ones stand above it)."""
-        h, row = self.hashes[self.at], self.rows.astype(np.uint64)
+class Pieces:
+    """The words of the texts of a slice, and after which of them pieces end."""
+
+    def __init__(self, part: Slice):
+        self.part = part
+        self.rows, first = part.word_rows, part.word_bounds
+        last = np.zeros(len(part.starts), bool)
+        last[first[1:][np.diff(first) > 0] - 1] = True
+        newlines = counts_before(part.data == 10)
+        broken = last.copy()
+        broken[:-1] |= newlines[part.starts[1:]] > newlines[part.ends[:-1]]
+        stop = np.isin(part.data[part.ends - 1], np.frombuffer(b".!?", np.uint8))
+        self.ends = stop | broken
+
+    def _runs(self, ends: np.ndarray, rows: np.ndarray, least: int, block: int) -> list[np.ndarray]:
+        """Codes of the blocks (twice (first, last word)) and of the single pieces (and one) between
+        ``ends`` in some of the texts."""
+        to = np.flatnonzero(ends) + 1
+        start = np.concatenate([[0], to])[:-1].astype(np.int64)
+        row = self.rows[start]
+        start, to, row = start[rows[row]], to[rows[row]], row[rows[row]]
+        at = np.arange(len(to))
+        on = np.maximum(np.searchsorted(to, start + block), at + 1)
+        back = np.minimum(np.searchsorted(start, to - block, "right") - 1, at - 1)
+        low = np.concatenate([at, np.maximum(back, 0)])
+        high = np.concatenate([np.minimum(on, len(to) - 1), at])
+        inside = np.concatenate([on < len(to), back >= 0]) & (row[low] == row[high])
+        scale = 2 * len(ends) + 2
+        low, high = low[inside], high[inside]
+        alone = to - start >= least
+        return [start[low] * scale + 2 * to[high], (start * scale + 2 * to + 1)[alone]]
+
+    def units(self, least: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, word after the last one, is a block) of all that is indexed."""
+        every = np.ones(self.part.rows, bool)
+        codes = np.sort(np.concatenate(self._runs(self.ends, every, least, block)))
+        new = np.ones(len(codes), bool)
+        new[1:] = codes[1:] >> 1 != codes[:-1] >> 1
+        start, to = np.divmod(codes[new] >> 1, len(self.ends) + 1)
+        return start, to, (codes[new] & 1) == 0
+
+    def keys(self, start: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Hashes of (words, how many equal ones begin above them)."""
+        h, row = self.part.gram_hashes(start, to), self.rows[start].astype(np.uint64)
         same = mixed(h ^ mixed(row + np.uint64(1)))
         order = np.argsort(same, kind="stable")
         new = np.ones(len(same), bool)
@@ -64,34 +87,24 @@ class IndexedLines:
         nth[order] = np.arange(len(same)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(same) else 0
         return mixed(h ^ mixed(nth.astype(np.uint64) + np.uint64(7)))
 
-    def spans(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Hashes of runs of lines [lo, hi); equal runs have equal ones."""
-        total = np.zeros(len(self.hashes) + 1, np.uint64)
-        weight = np.arange(len(self.hashes), dtype=np.uint64)
-        np.cumsum(self.hashes, out=total[1:])
-        second = np.zeros(len(self.hashes) + 1, np.uint64)
-        np.cumsum(self.hashes * weight, out=second[1:])
-        plain = total[hi] - total[lo]  # with the place in the run as weight, order counts
-        placed = second[hi] - second[lo] - plain * lo.astype(np.uint64)
-        return mixed(plain + mixed(placed) + (hi - lo).astype(np.uint64))
 
+_LINES = "doc bigint, text_hash bigint, start int, size int, key bigint, block boolean"
 
-_LINES = "doc bigint, text_hash bigint, place int, words int, key bigint, above bigint, below bigint"
 
-
-def _line_reader(least: int) -> Callable:
+def _line_reader(least: int, block: int) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(2)):
-                x = IndexedLines(part, least)
-                rows = pa.array(part.first + x.rows)
+                x = Pieces(part)
+                start, to, is_block = x.units(least, block)
+                rows = x.rows[start]
+                at = pa.array(part.first + rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows),
-                     pa.array(x.position.astype(np.int32)), pa.array(x.words.astype(np.int32)),
-                     pa.array(x.keys().view(np.int64)),
-                     pa.array(x.spans(x.above, x.at).view(np.int64)),
-                     pa.array(x.spans(x.at + 1, x.below).view(np.int64))],
-                    names=["doc", "text_hash", "place", "words", "key", "above", "below"])
+                    [batch.column(0).take(at), batch.column(1).take(at),
+                     pa.array((start - part.word_bounds[rows]).astype(np.int32)),
+                     pa.array((to - start).astype(np.int32)),
+                     pa.array(x.keys(start, to).view(np.int64)), pa.array(is_block)],
+                    names=["doc", "text_hash", "start", "size", "key", "block"])
 
     return run
 
@@ -115,43 +128,31 @@ def in_order(places: np.ndarray) -> np.ndarray:
     return keep
 
 
-def aligned_blocks(place: np.ndarray, other: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
-    """Flags of the lines of one pair, sorted by ``place``, in large enough aligned blocks."""
-    keep = in_order(other)
-    at = np.flatnonzero(keep)
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(place[at]) != 1) | (np.diff(other[at]) != 1)
-    block = np.cumsum(new) - 1
-    enough = np.bincount(block, words[at]) >= least
-    out = np.zeros(len(place), bool)
-    out[at[enough[block]]] = True
-    return out
-
-
 def _aligner(least: int) -> Callable:
-    """Rows (doc, text_hash, first, place, ...) sorted -> the lines to delete."""
-    names = ["doc", "text_hash", "place", "above", "below"]
+    """Rows (doc, text_hash, first, start, ...) sorted -> the single pieces to delete."""
+    names = ["doc", "text_hash", "start", "size"]
+    pair = ["doc", "text_hash", "first"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
         def done(rows: pa.Table) -> pa.RecordBatch:
-            keys = [rows.column(x).to_numpy() for x in ("doc", "text_hash", "first")]
-            begin = np.flatnonzero(changes(keys))
-            place, other = rows.column("place").to_numpy(), rows.column("other").to_numpy()
-            words = rows.column("words").to_numpy()
-            flags = np.zeros(len(place), bool)
-            for lo, hi in zip(begin, np.append(begin[1:], len(place)), strict=True):
-                if hi - lo == 1:
-                    flags[lo] = words[lo] >= least
-                else:
-                    flags[lo:hi] = aligned_blocks(place[lo:hi], other[lo:hi], words[lo:hi], least)
+            # Rows of one id and text come once.
+            rows = rows.filter(pa.array(changes(rows, [*pair, "start", "size"])))
+            begin = np.flatnonzero(changes(rows, pair))
+            size = rows.column("size").to_numpy()
+            other = (rows.column("other").to_numpy().astype(np.int64) << 32) + size  # as rows are sorted
+            flags = size >= least
+            for lo, hi in zip(begin, np.append(begin[1:], len(other)), strict=True):
+                if hi - lo > 1:
+                    flags[lo:hi] &= in_order(other[lo:hi])
             return rows.select(names).filter(pa.array(flags)).combine_chunks().to_batches()
 
-        def changes(keys: list[np.ndarray]) -> np.ndarray:
-            new = np.ones(len(keys[0]), bool)
+        def changes(rows: pa.Table, columns: list[str]) -> np.ndarray:
+            new = np.ones(rows.num_rows, bool)
             new[1:] = False
-            for x in keys:
+            for name in columns:
+                x = rows.column(name).to_numpy()
                 new[1:] |= x[1:] != x[:-1]
             return new
 
@@ -160,8 +161,7 @@ def _aligner(least: int) -> Callable:
             rows = rows if held is None else pa.concat_tables([held, rows])
             if not rows.num_rows:
                 continue
-            last = int(np.flatnonzero(changes(
-                [rows.column(x).to_numpy() for x in ("doc", "text_hash", "first")]))[-1])
+            last = int(np.flatnonzero(changes(rows, pair))[-1])
             held = rows.slice(last)
             if last:
                 yield from done(rows.slice(0, last))
@@ -173,71 +173,74 @@ def _aligner(least: int) -> Callable:
 
 def shared_lines(docs: DataFrame, line_words: int = LINE_WORDS,
                  block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc, text_hash, place, above, below): the indexed lines to delete.
-
-    ``above`` and ``below`` tell whether the short lines around are the earlier document's too.
-    """
-    lines = settle(mapped(docs.select("doc", "text_hash", "text"), _line_reader(line_words), _LINES))
+    """(doc, text_hash, start, size): the runs of words to delete, by their first word."""
+    lines = settle(mapped(
+        docs.select("doc", "text_hash", "text"), _line_reader(line_words, block_words), _LINES))
     keys = settle(
-        lines.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        .where("first < last").select("key", "first"))
+        lines.groupBy("key").agg(
+            F.min("doc").alias("first"), F.max("doc").alias("last"), F.min("block").alias("blocks"))
+        .where("first < last").select("key", "first", "blocks"))
     held = settle(lines.join(keys, "key"))
     of_first = settle(
-        held.where("doc = first").select(
-            "key", F.col("place").alias("other"), F.col("above").alias("other_above"),
-            F.col("below").alias("other_below")).dropDuplicates(["key"]))
-    pairs = held.where("doc > first").join(of_first, "key").select(
-        "doc", "text_hash", "first", "place", "other", "words",
-        (F.col("above") == F.col("other_above")).alias("above"),
-        (F.col("below") == F.col("other_below")).alias("below"))
-    pairs = pairs.repartition("doc", "text_hash").sortWithinPartitions("doc", "text_hash", "first", "place")
-    return settle(mapped(pairs, _aligner(block_words),
-                         "doc bigint, text_hash bigint, place int, above boolean, below boolean"))
-
-
-def _without(raw: bytes, marks: list[dict], least: int) -> tuple[bytes, int, int]:
-    """A text without its marked lines; the numbers of lines and of words deleted."""
-    part = next(slices(pa.array([raw], pa.large_binary())))
-    x = IndexedLines(part, least)
-    gone = np.zeros(len(x.starts), bool)
-    for m in marks:
-        k = m["place"]
-        gone[x.at[k]] = True
-        if m["above"]:
-            gone[x.above[k] : x.at[k]] = True
-        if m["below"]:
-            gone[x.at[k] + 1 : x.below[k]] = True
-    cut = counts_before(~part.space)
-    begins = counts_before(np.isin(np.arange(len(part.data)), part.starts))
-    words = int((begins[x.ends] - begins[x.starts])[gone & (cut[x.ends] > cut[x.starts])].sum())
-    keep = np.flatnonzero(~gone)
-    newlines = counts_before(part.data == 10)
-    kept = []
-    for n, i in enumerate(keep):
-        if n:  # what stood between: a newline, if one of the separators is one
-            end = x.ends[keep[n - 1]]
-            apart = newlines[x.starts[i]] > newlines[end]
-            kept.append(b"\n" if apart else raw[end : end + 1])
-        kept.append(raw[x.starts[i] : x.ends[i]])
-    return b"".join(kept), int(gone.sum()), words
-
-
-def _rewriter(schema: list[str], line_words: int) -> Callable:
+        held.where("doc = first and not blocks").groupBy("key").agg(F.min("start").alias("other")))
+    names = ["doc", "text_hash", "start", "size"]
+    pairs = held.where("doc > first and not block").join(of_first, "key").select(
+        *names, "first", "other")
+    pairs = pairs.repartition("doc", "text_hash").sortWithinPartitions(
+        "doc", "text_hash", "first", "start", "size")
+    alone = mapped(pairs, _aligner(block_words),
+                   "doc bigint, text_hash bigint, start int, size int")
+    return held.where("doc > first and block").select(*names).unionAll(alone)
+
+
+def _without(part: Slice, marks: np.ndarray, rows: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
+    """Every text of a slice without its marked words; the numbers of pieces and of words deleted."""
+    bounds = part.word_bounds
+    start = bounds[rows] + (marks >> 32)
+    n = len(part.starts)
+    edges = np.bincount(start, minlength=n + 1) - np.bincount(
+        start + (marks & 0xFFFFFFFF), minlength=n + 1)
+    gone = np.cumsum(edges[:-1]) > 0
+    pieces, words = per_row(gone & Pieces(part).ends, bounds), per_row(gone, bounds)
+    out = np.ones(1, bool)
+    for i in range(part.rows):
+        lo, hi = int(bounds[i]), int(bounds[i + 1])
+        top, raw = part.bounds[i], part.data[part.bounds[i] : part.bounds[i + 1]].tobytes()
+        starts, ends = part.starts[lo:hi] - top, part.ends[lo:hi] - top
+        turns = np.flatnonzero(np.diff(np.concatenate([out, gone[lo:hi], out])))
+        kept = []
+        for k in range(0, len(turns), 2):
+            a, b = turns[k], turns[k + 1]
+            if not a:
+                kept.append(raw[: starts[0]])
+            elif k:  # what stood above the deleted words, or below them if there are more newlines
+                above = turns[k - 1]
+                kept.append(max(raw[ends[above - 1] : starts[above]], raw[ends[a - 1] : starts[a]],
+                                key=lambda x: x.count(b"\n")))
+            kept.append(raw[starts[a] : ends[b - 1]])
+            if b == hi - lo:
+                kept.append(raw[ends[-1] :])
+        yield b"".join(kept), int(pieces[i]), int(words[i])
+
+
+def _rewriter(schema: list[str]) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = batch.column("marks").to_pylist()
+            count = pc.fill_null(pc.list_value_length(batch.column("marks")), 0).to_numpy(
+                zero_copy_only=False)
+            marks = batch.column("marks").flatten().to_numpy()
             text = batch.column("text")
-            n = np.zeros((2, len(marks)), np.int64)
-            hit = [i for i, m in enumerate(marks) if m]
-            if hit:
-                raw = text.take(pa.array(hit)).cast(pa.binary()).to_pylist()
-                new = {}
-                for i, data in zip(hit, raw, strict=True):
-                    new[i], n[0, i], n[1, i] = _without(data, marks[i], line_words)
-                fresh = pa.array([new.get(i) for i in range(len(marks))], pa.binary())
-                mask = pa.array([i in new for i in range(len(marks))])
-                text = pa.compute.if_else(mask, fresh, text.cast(pa.binary())).cast(
-                    batch.schema.field("text").type)
+            n = np.zeros((2, len(count)), np.int64)
+            hit = np.flatnonzero(count)
+            if len(hit):
+                row = np.repeat(np.arange(len(hit)), count[hit])
+                new = []
+                for part in slices(text.take(pa.array(hit))):
+                    lo, hi = np.searchsorted(row, [part.first, part.first + part.rows])
+                    new += _without(part, marks[lo:hi], row[lo:hi] - part.first)
+                n[:, hit] = np.array([x[1:] for x in new]).T
+                fresh = pa.array([x[0] for x in new], pa.binary()).cast(text.type)
+                text = pc.replace_with_mask(text, pa.array(count > 0), fresh)
             columns = [text if x == "text" else batch.column(x) for x in schema]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(n[0]), pa.array(n[1])],
@@ -266,12 +269,13 @@ def without_shared_lines(docs: DataFrame, line_words: int = LINE_WORDS,
         _key("doc_id").alias("doc"), F.xxhash64("text").alias("text_hash"), "text",
         *(F.col(f"`{x}`").alias(mine[x]) for x in names if x != "text"))
     marks = shared_lines(keyed, line_words, block_words).groupBy("doc", "text_hash").agg(
-        F.collect_list(F.struct("place", "above", "below")).alias("marks"))  # a text's own lines
+        F.collect_set(F.shiftleft(F.col("start").cast("long"), 32).bitwiseOR(
+            F.col("size").cast("long"))).alias("marks"))  # a text's own words
     rows = keyed.join(settle(marks), ["doc", "text_hash"], "left")
     order = [("text" if x == "text" else mine[x]) for x in names]
     kinds = {x: docs.schema[x].dataType.simpleString() for x in names}
     schema = ", ".join(f"`{a}` {kinds[x]}" for a, x in zip(order, names, strict=True))
-    out = mapped(rows.select(*order, "marks"), _rewriter(order, line_words),
+    out = mapped(rows.select(*order, "marks"), _rewriter(order),
                  schema + ", lines_deleted bigint, words_deleted bigint")
     return out.select(
         *(F.col(a).alias(x) for a, x in zip(order, names, strict=True)),

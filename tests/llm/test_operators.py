@@ -429,3 +429,41 @@ def test_passage_inside_paragraphs(spark):
     tail = passage.split(". ", 1)[1]
     for i in range(1, 6):
         assert got[i] == texts[i].replace(tail + " ", "")
+
+
+def deduplicated(spark, texts: dict[int, str]) -> dict[int, str]:
+    df = frames.importable(spark).createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    return {r.doc_id: r.text for r in line_dedup.without_shared_lines(df.repartition(3)).collect()}
+
+
+def words(rng, n: int) -> list[str]:
+    return [f"w{rng.integers(10**9)}" for _ in range(n)]
+
+
+def test_blocks_with_several_first_holders(spark):
+    one, two = "the first line has six words", "and the second has six too"
+    got = deduplicated(spark, {1: one, 2: f"{one}\n{two}", 3: f"{one}\n{two}", 4: f"own\n{two}\nown"})
+    assert got == {1: one, 2: f"{one}\n{two}", 3: "", 4: f"own\n{two}\nown"}
+
+
+def test_shared_runs_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    pool = [words(rng, int(rng.integers(1, 10))) for _ in range(25)]
+    docs = {}
+    for i in range(60):  # runs of the pool in any order; a piece stands once in a document
+        at = rng.permutation([k for k in range(25)]) if i % 3 == 0 else np.roll(np.arange(25), int(rng.integers(25)))
+        docs[i] = [int(k) for k in at[: rng.integers(3, 15)]]
+    got = deduplicated(spark, {i: "\n".join(" ".join(pool[k]) for k in d) for i, d in docs.items()})
+    for i, d in docs.items():
+        must, may = set(), set()
+        for e in (docs[j] for j in range(i)):
+            for a in range(len(d)):
+                b = a
+                while b < len(d) and d[b] in e and e[e.index(d[a]) :][b - a : b - a + 1] == [d[b]]:
+                    b += 1
+                    if sum(len(pool[k]) for k in d[a:b]) >= 8:
+                        may.update(d[a:b])
+                        must.update(d[a:b] if b - a > 1 else [])
+        left = {tuple(x.split(" ")) for x in got[i].split("\n")}
+        gone = {k for k in d if tuple(pool[k]) not in left}
+        assert must <= gone <= may
