@@ -176,20 +176,6 @@ class Slice:
         """(text, start, end) of every line; a text of k newlines has k + 1 lines."""
         return self.cut(np.flatnonzero(self.data == 10))
 
-    def sentences(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, start, end) of every line; those of ``least`` words or more are cut once more at
-        each blank after ``.``, ``!`` or ``?``."""
-        _, starts, ends = self.lines
-        long = np.searchsorted(self.starts, ends) - np.searchsorted(self.starts, starts) >= least
-        breaks = self.data == 10
-        stop = np.isin(self.data[:-1], np.frombuffer(b".!?", np.uint8))
-        breaks[1:] |= stop & ((self.data[1:] == 32) | (self.data[1:] == 9))
-        first = self.bounds[:-1][self.bounds[:-1] < len(self.data)]
-        breaks[first] = self.data[first] == 10  # a blank that opens a text follows another text
-        at = np.flatnonzero(breaks)
-        line = np.searchsorted(starts, at, "right") - 1
-        return self.cut(at[(self.data[at] == 10) | long[line]])
-
     def cut(self, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, start, end) of the pieces of all texts between the bytes at ``breaks``."""
         starts = np.sort(np.concatenate([self.bounds[:-1], breaks + 1]), kind="stable")

@@ -1,8 +1,9 @@
 """Line deduplication by shared blocks (operator 10).
 
-A text is cut into pieces after sentences (words that end with ``.``, ``!`` or ``?``) and at
-newlines.  Keys are hashes of word sequences.  These are indexed, by (hash, occurrence in its
-document), so that a key stands once in a document:
+A text is cut into pieces in two ways: after sentences (words that end with ``.``, ``!`` or ``?``),
+whatever stands between the words, and after sentences and at newlines.  Keys are hashes of word
+sequences, so equal words have equal keys in every layout.  These are indexed, by (hash,
+occurrence in its document), so that a key stands once in a document:
 
 * blocks: the shortest runs of pieces, from each piece on and back from each, that hold
   ``BLOCK_WORDS`` words and two pieces.  Any longer run that two
@@ -47,7 +48,7 @@ class Pieces:
         broken = last.copy()
         broken[:-1] |= newlines[part.starts[1:]] > newlines[part.ends[:-1]]
         stop = np.isin(part.data[part.ends - 1], np.frombuffer(b".!?", np.uint8))
-        self.ends = stop | broken
+        self.sentence_ends, self.ends = stop | last, stop | broken
 
     def _runs(self, ends: np.ndarray, rows: np.ndarray, least: int, block: int) -> list[np.ndarray]:
         """Codes of the blocks (twice (first, last word)) and of the single pieces (and one) between
@@ -70,7 +71,11 @@ class Pieces:
     def units(self, least: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(first word, word after the last one, is a block) of all that is indexed."""
         every = np.ones(self.part.rows, bool)
-        codes = np.sort(np.concatenate(self._runs(self.ends, every, least, block)))
+        broken = np.zeros(self.part.rows, bool)  # has a newline inside a sentence
+        broken[self.rows[self.ends != self.sentence_ends]] = True
+        codes = np.sort(np.concatenate([
+            *self._runs(self.ends, every, least, block),
+            *self._runs(self.sentence_ends, broken, least, block)]))
         new = np.ones(len(codes), bool)
         new[1:] = codes[1:] >> 1 != codes[:-1] >> 1
         start, to = np.divmod(codes[new] >> 1, len(self.ends) + 1)

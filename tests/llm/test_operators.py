@@ -467,3 +467,17 @@ def test_shared_runs_against_brute_force(spark):
         left = {tuple(x.split(" ")) for x in got[i].split("\n")}
         gone = {k for k in d if tuple(pool[k]) not in left}
         assert must <= gone <= may
+
+
+def test_layouts_of_one_passage(spark):
+    """Line breaks inside sentences, and lines of any length, change nothing."""
+    rng = np.random.default_rng(12)
+    sentences = [" ".join(words(rng, 10)) + "." for _ in range(6)]
+    passage, flat = " ".join(sentences), " ".join(sentences).split(" ")
+    wrapped = " ".join(flat[:25]) + "\n" + " ".join(flat[25:])
+    narrow = "\n".join(" ".join(flat[i : i + 7]) for i in range(0, 60, 7))
+    own = [" ".join(words(rng, 12)) + "." for _ in range(3)]
+    got = deduplicated(spark, {
+        1: passage, 2: f"{own[0]}\n{wrapped}\nEnd.", 3: f"{own[1]} {narrow}",
+        4: f"{own[2]} " + " ".join(sentences[:3]), 5: "  ".join(flat)})
+    assert got == {1: passage, 2: f"{own[0]}\nEnd.", 3: own[1], 4: own[2], 5: ""}
