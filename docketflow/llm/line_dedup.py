@@ -6,7 +6,7 @@ sequences, so equal words have equal keys in every layout.  These are indexed, b
 occurrence in its document), so that a key stands once in a document:
 
 * blocks: the shortest runs of pieces, from each piece on and back from each, that hold
-  ``BLOCK_WORDS`` words and two pieces.  Any longer run that two
+  ``BLOCK_WORDS`` words and two pieces, or ``PASSAGE_WORDS`` words.  Any longer run that two
   documents share is covered by the blocks inside it, however short its pieces are and whichever
   document had each of them first;
 * single pieces of ``LINE_WORDS`` words or more.
@@ -33,6 +33,8 @@ from docketflow.llm.arrays import Slice, counts_before, mixed, per_row, slices
 from docketflow.llm.frames import mapped, settle
 
 LINE_WORDS, BLOCK_WORDS = 5, 8
+#: A single piece of so many words is a block by itself.
+PASSAGE_WORDS = 50
 _LAST = (1 << 63) - 1
 
 
@@ -59,7 +61,9 @@ class Pieces:
         start, to, row = start[rows[row]], to[rows[row]], row[rows[row]]
         at = np.arange(len(to))
         on = np.maximum(np.searchsorted(to, start + block), at + 1)
+        on = np.minimum(on, np.searchsorted(to, start + PASSAGE_WORDS))
         back = np.minimum(np.searchsorted(start, to - block, "right") - 1, at - 1)
+        back = np.maximum(back, np.searchsorted(start, to - PASSAGE_WORDS, "right") - 1)
         low = np.concatenate([at, np.maximum(back, 0)])
         high = np.concatenate([np.minimum(on, len(to) - 1), at])
         inside = np.concatenate([on < len(to), back >= 0]) & (row[low] == row[high])

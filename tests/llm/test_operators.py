@@ -481,3 +481,14 @@ def test_layouts_of_one_passage(spark):
         1: passage, 2: f"{own[0]}\n{wrapped}\nEnd.", 3: f"{own[1]} {narrow}",
         4: f"{own[2]} " + " ".join(sentences[:3]), 5: "  ".join(flat)})
     assert got == {1: passage, 2: f"{own[0]}\nEnd.", 3: own[1], 4: own[2], 5: ""}
+
+
+def test_passages_in_another_order(spark):
+    rng = np.random.default_rng(13)
+    lines = [" ".join(words(rng, 55)) for _ in range(2)]  # one piece each
+    short = ["\n".join(" ".join(words(rng, 6)) for _ in range(9)) for _ in range(3)]
+    got = deduplicated(spark, {
+        1: "\n".join(lines), 2: "\n".join(["own", *lines[::-1]]),
+        3: "\n".join(short), 4: "\n".join(["own", *short[::-1]])})
+    assert got[2] == got[4] == "own"
+    assert got[1] == "\n".join(lines) and got[3] == "\n".join(short)
