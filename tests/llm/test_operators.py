@@ -492,3 +492,14 @@ def test_passages_in_another_order(spark):
         3: "\n".join(short), 4: "\n".join(["own", *short[::-1]])})
     assert got[2] == got[4] == "own"
     assert got[1] == "\n".join(lines) and got[3] == "\n".join(short)
+
+
+def test_passages_of_short_lines(spark):
+    rng = np.random.default_rng(14)
+    verse = [" ".join(words(rng, n)) for n in (4, 1, 4, 2, 3, 4, 1, 1, 4, 4, 3, 2, 4, 4, 4, 4, 4, 4, 1)]
+    texts = {1: "\n".join(verse)} | {i: "\n".join([f"own {i}", *verse, "own end"]) for i in range(2, 6)}
+    texts |= {6: "\n".join([*words(rng, 3), *verse[:2], *words(rng, 3)])}  # five words are no block
+    got = deduplicated(spark, texts)
+    # Two words before or after the verse that others have too go with it.
+    assert got[2] == "own 2\nown end" and got[6] == texts[6]
+    assert all(got[i] in (f"own {i}\nown end", f"own {i}") for i in range(3, 6))
