@@ -45,10 +45,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; rows that share an id are one document."""
+    """One row of each group of near copies, of the smallest doc_id (null is the largest).
+
+    Rows count each for itself, whatever ids they share; rows without words all stay.
+    """
     importable(spark)
-    kept = near_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(settle(kept), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    row = "row_of_" + "_".join(docs.columns)  # a name that no column has
+    rows = settle(docs.withColumn(row, F.monotonically_increasing_id()))
+    groups = near_groups(rows.select(F.col(row).alias("doc_id"), "text")).select(
+        F.col("doc_id").alias(row), "component_id")
+    ids = rows.select(row, "doc_id")
+    kept = groups.join(ids, row).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", row)).alias("least"))
+    return rows.join(settle(kept.select(F.col(f"least.{row}").alias(row))), row, "left_semi").select(
+        *docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,3 +48,21 @@ def test_stages_on_odd_and_empty_tables(spark, sf_dir):
             out = stage(spark, docs, sf_dir)
             assert out.count() <= max(docs.count(), 1)
             assert name == "packing" or out.schema.names == docs.schema.names
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark, sf_dir):
+    def text(k: int, more: str = "") -> str:
+        return " ".join(f"t{k}w{i}" for i in range(120)) + more
+
+    rows = [
+        (1, text(1)), (None, text(1, " mehr")), (None, text(1)), (None, text(2)), (None, text(2)),
+        (None, text(2, " mehr")), (None, "einmalig"), (None, ""), (5, text(3)), (5, text(3)), (6, text(4)),
+        (7, text(4)), (7, text(5)), (8, None), (8, None)]
+    docs = frames.importable(spark).createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    left = sorted(((r.doc_id or 0, r.text or "") for r in got.collect()))
+    two = [x for x in left if x[1].startswith("t2")]
+    assert len(two) == 1 and two[0][0] == 0
+    assert [x for x in left if x not in two] == [
+        (0, ""), (0, "einmalig"), (1, text(1)), (5, text(3)), (6, text(4)), (7, text(5)), (8, ""), (8, "")]
