@@ -27,7 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a model of the labels, learned from these documents, calls good."""
+    """Documents that a model of the labels, learned from these documents, calls good; without a label
+    for one of them outside the held-out part, all of them."""
     importable(spark)
     return keep_predicted(docs, train(docs, table(spark, sf_dir, "labels")))
 

@@ -148,8 +148,12 @@ def quadrant_tree(g: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 @dataclass
 class AdditiveModel:
-    """Intercept, bin edges and tables; ``pairs`` hold (feature, feature, table)."""
+    """Intercept, bin edges and tables; ``pairs`` hold (feature, feature, table).
 
+    ``rows`` is the number of rows that it was fitted to.
+    """
+
+    rows: int = 0
     intercept: float = 0.0
     edges: list[np.ndarray] = field(default_factory=list)
     coarse: list[np.ndarray] = field(default_factory=list)
@@ -171,7 +175,7 @@ class AdditiveModel:
 
 def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     """Fit to rows of features and labels 0 or 1; without rows every score is a half."""
-    model = AdditiveModel()
+    model = AdditiveModel(rows=len(y))
     if not len(y):
         return model
     rate = (y.sum() + 1) / (len(y) + 2)
@@ -284,7 +288,12 @@ def scored(docs: DataFrame, model: AdditiveModel, good: float = GOOD) -> DataFra
 
 
 def keep_predicted(docs: DataFrame, model: AdditiveModel, least: float = GOOD) -> DataFrame:
-    """The rows of ``docs`` that score ``least`` or more, unchanged and without a shuffle."""
+    """The rows of ``docs`` that score ``least`` or more, unchanged and without a shuffle.
+
+    A model that was fitted to no rows knows nothing of any document: all rows are kept.
+    """
+    if not model.rows:
+        return docs
     where = docs.schema.fieldNames().index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
