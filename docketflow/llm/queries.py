@@ -11,10 +11,13 @@ from docketflow.llm import sql
 from docketflow.llm.byte_bpe import round_trip
 from docketflow.llm.frames import importable, table
 from docketflow.llm.line_dedup import without_shared_lines
+from docketflow.llm.merkle import dataset_manifest
 from docketflow.llm.near_dedup import near_groups
 from docketflow.llm.packing import pack
+from docketflow.llm.prefix_trie import conversation_trie
 from docketflow.llm.quality_model import scored, train
 from docketflow.llm.rules import judge
+from docketflow.llm.secrets import secret_spans
 from docketflow.llm.token_counts import token_counts
 from docketflow.llm.token_files import read_digests, write_tokens
 from docketflow.llm.top_k import top_k
@@ -91,10 +94,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("text").cast("long").alias("n_bytes"), "text")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(importable(spark), sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_manifest(documents(spark, sf_dir))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc, op2_near_dedup, op3_token_counts, op4_top_k, op5_quality_model,
-        op6_quality_rules, op7_packing, op8_byte_bpe, op9_token_files, op10_line_dedup)
+        op6_quality_rules, op7_packing, op8_byte_bpe, op9_token_files, op10_line_dedup, op11_prefix_trie, op12_merkle_manifest,
+        op13_secret_scan)
 }
 
 #: DuckDB SQL for the queries that it can express.
@@ -103,4 +119,7 @@ ORACLE: dict[str, str] = {
     "op2_near_dedup": sql.near_sql(3, 85),
     "op4_top_k": sql.TOP_K,
     "op6_quality_rules": sql.repetition_sql(),
+    "op11_prefix_trie": sql.TRIE,
+    "op12_merkle_manifest": sql.MERKLE,
+    "op13_secret_scan": sql.SECRETS,
 }

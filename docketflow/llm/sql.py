@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from docketflow.llm.rules import GRAM_LIMITS, LINE_LIMIT, MAX_REPEAT_WORDS, MIN_WORDS, SYMBOLS
+from collections.abc import Callable
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+# The limits of operator 6, stated apart from the operator.
+GRAM_LIMITS = {5: 25, 6: 24, 7: 23, 8: 22, 9: 21, 10: 20}
+LINE_LIMIT, MIN_WORDS, MAX_REPEAT_WORDS, SYMBOLS = 30, 10, 20, "#*$%&|<>"
+
 
 def repetition_sql() -> str:
     """Operator 6: windows over the words of every text."""
@@ -103,3 +107,145 @@ s AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.x, v.x)::BIGINT
       FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+
+def crc32(value: str) -> str:
+    """The unsigned CRC-32 of a value's decimal text."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({value}::VARCHAR, ''), "
+            "lambda ch: ascii(ch)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), "
+            "lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295::BIGINT)")
+
+
+#: Operator 11: every prefix of every rebuilt conversation, by the hashes of its turns.
+TRIE = f"""
+WITH t AS (SELECT conv_id::BIGINT AS conv_id, role, text, hash, length(text) AS chars,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, hash) - 1 AS pos
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            md5(concat(strlen(coalesce(role, '')), ':', role, text)) AS hash FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, {crc32('conv_id')} % 6 AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, t.pos, t.hash, t.chars FROM c JOIN t ON t.conv_id = c.base AND t.pos < h
+      UNION ALL SELECT c.conv_id, t.pos, t.hash, t.chars FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= h),
+s AS (SELECT c.conv_id, coalesce(list(hash ORDER BY pos) FILTER (hash IS NOT NULL), []) AS hashes,
+      coalesce(list(chars ORDER BY pos) FILTER (hash IS NOT NULL), []) AS sizes FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+m AS (SELECT conv_id, d AS depth, sizes[d] AS chars, array_to_string(hashes[1:d], '') AS path,
+      CASE WHEN d > 0 THEN array_to_string(hashes[1:d - 1], '') END AS up, len(hashes) AS len FROM s, unnest(range(0, len(hashes) + 1)) u(d)),
+n AS (SELECT path, min(up) AS up, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs, coalesce(min(chars), 0) AS chars,
+      sha256(coalesce(string_agg(CASE WHEN len = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+      FROM m GROUP BY path),
+k AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM n x WHERE x.up = n.path) AS n_children
+      FROM n LEFT JOIN n p ON p.path = n.up),
+above AS (SELECT k.*, left(path, 32 * d) AS top FROM k, unnest(range(0, depth + 1)) u(d)),
+sums AS (SELECT top, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens FROM above GROUP BY top)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM k JOIN sums ON top = path"""
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+              for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256(concat({', '.join(fields)}))"
+
+
+_UP = ("list_transform(range(0, (len(l) + 2) // 3), "
+       "lambda i: sha256(array_to_string(list_slice(l, 3 * i + 1, 3 * i + 3), '')))")
+
+#: Operator 12: trees as lists of digests, a level at a time; proofs and folds step by step.
+MERKLE = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, {_leaf('text')} AS leaf,
+      CASE WHEN doc_id IS NOT NULL AND {crc32('doc_id')} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS claim
+      FROM documents),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+      row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos FROM d),
+own(place, level, l) AS (SELECT place, 0, list(leaf ORDER BY pos) FROM placed GROUP BY place
+      UNION ALL SELECT place, level + 1, {_UP} FROM own WHERE len(l) > 1),
+sub AS (SELECT place, l[1] AS subroot FROM own WHERE len(l) = 1),
+top(level, l) AS (SELECT 0, list(subroot ORDER BY place) FROM sub
+      UNION ALL SELECT level + 1, {_UP} FROM top WHERE len(l) > 1),
+way AS (SELECT r, own.level AS lv, pos // (3 ** own.level)::BIGINT AS i, l
+      FROM placed JOIN own ON own.place = placed.place WHERE len(l) > 1
+      UNION ALL SELECT r, 1000 + top.level, place // (3 ** top.level)::BIGINT, l FROM placed CROSS JOIN top WHERE len(l) > 1),
+steps AS (SELECT r, lv, array_to_string(list_slice(l, i - i % 3 + 1, i), '') AS before,
+      array_to_string(list_slice(l, i + 2, i - i % 3 + 3), '') AS after FROM way),
+walk AS (SELECT r, list(before ORDER BY lv) AS b, list(after ORDER BY lv) AS a FROM steps GROUP BY r),
+fold(r, k, cur) AS (SELECT r, 1, claim FROM placed
+      UNION ALL SELECT fold.r, k + 1, sha256(concat(b[k], cur, a[k])) FROM fold JOIN walk ON walk.r = fold.r WHERE k <= len(b)),
+ends AS (SELECT r, arg_max(cur, k) AS folded_root FROM fold GROUP BY r)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(range(1, len(b) + 1),
+       lambda k: concat(b[k], a[k])), ''), '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN sub USING (place) JOIN ends USING (r) LEFT JOIN walk USING (r)
+CROSS JOIN (SELECT l[1] AS root FROM top WHERE len(l) = 1)"""
+
+
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ENCODINGS = [
+    ("base10", "0-9", _DIGITS), ("base16", "0-9a-f", _DIGITS + "abcdef"),
+    ("base16_upper", "0-9A-F", _DIGITS + "ABCDEF"), ("base32", "A-Z2-7", _UPPER + "234567"),
+    ("base36", "0-9a-z", _DIGITS + _LOWER), ("base36_upper", "0-9A-Z", _DIGITS + _UPPER),
+    ("base62", "0-9A-Za-z", _DIGITS + _UPPER + _LOWER),
+    ("base64", "0-9A-Za-z+/", _UPPER + _LOWER + _DIGITS + "+/"),
+    ("base64url", "0-9A-Za-z_-", _UPPER + _LOWER + _DIGITS + "-_")]
+
+
+def _either(word: str) -> str:
+    """A word in either case, of ASCII letters alone."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = (f"({'|'.join(map(_either, ('password', 'passwd', 'secret', 'token', 'api_?key')))})"
+           "[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)")
+
+
+def _hits(kind: int, pattern: str, kept: str, part: str) -> str:
+    return f"""SELECT r, {kind} AS kind, unnest(range(0, len(found))) AS i, unnest(gaps[1:len(found)]) AS gap, unnest(found) AS s, unnest({kept}) AS kept
+      FROM (SELECT r, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}', 0) AS found, {part} AS part FROM texts)"""
+
+
+def _by_encoding(value: Callable[[str, str], object], other: object) -> str:
+    whens = " ".join(f"WHEN regexp_full_match(token, '[{chars}]+') THEN {value(name, alphabet)}"
+                     for name, chars, alphabet in _ENCODINGS)
+    return f"CASE {whens} ELSE {other} END"
+
+
+def _pairs(value: str) -> str:
+    return f"list_transform(range(1, n), lambda i: {value})"
+
+
+#: Operator 13: the base's spans, and the strings that battery and false-discovery control leave.
+SECRETS = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+hits AS ({_hits(0, _ASSIGN, 'list_transform(part, lambda x: length(x) >= 8)', f"regexp_extract_all(text, '{_ASSIGN}', 2)")}
+      UNION ALL {_hits(1, 'AKIA[A-Z0-9]+', 'list_transform(found, lambda x: length(x) >= 16)', '[]')}
+      UNION ALL {_hits(2, '[0-9a-f]+', 'list_transform(found, lambda x: length(x) >= 32)', '[]')}
+      UNION ALL {_hits(3, '[A-Za-z0-9+/_-]+', 'list_transform(found, lambda x: length(x) >= 20)', '[]')}),
+placed AS (SELECT *, sum(length(gap) + length(s)) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM hits),
+spans AS (SELECT r, kind, (stop - length(s))::BIGINT AS start, stop::BIGINT AS stop, s FROM placed WHERE kept),
+tokens AS (SELECT DISTINCT s AS token FROM spans WHERE kind = 3),
+coded AS (SELECT token, {_by_encoding(lambda n, a: f"'{n}'", "'mixed'")} AS encoding, {_by_encoding(lambda n, a: len(a), 64)} AS m,
+      length(token) AS n, list_transform(string_split(token, ''), lambda c: instr({_by_encoding(lambda n, a: f"'{a}'", "''")}, c) - 1) AS v,
+      list_transform(string_split(token, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN 0 WHEN c BETWEEN 'a' AND 'z' THEN 1
+          WHEN c BETWEEN 'A' AND 'Z' THEN 2 ELSE 3 END) AS classes FROM tokens),
+stats AS (SELECT *, greatest(2, least(16, m, n // 5)) AS k, list_sum(v)::DOUBLE AS s, list_sum(list_transform(v, lambda x: x * x))::DOUBLE AS q,
+      list_sum({_pairs('v[i] * v[i + 1]')})::DOUBLE AS x, (v[1] + v[-1])::DOUBLE AS ends,
+      len(list_filter(v, lambda x: 2 * x >= m))::DOUBLE AS high,
+      (1 + list_sum({_pairs('((2 * v[i] >= m) <> (2 * v[i + 1] >= m))::INT')}))::DOUBLE AS runs,
+      list_sum({_pairs('(classes[i] <> classes[i + 1])::INT')}) / (n - 1.0::DOUBLE) AS rate FROM coded),
+tests AS (SELECT *, greatest(0, list_sum(list_transform(range(0, k), lambda b: len(list_filter(v, lambda y: y * k // m = b)) ** 2 * m::DOUBLE
+          / (n * (((b + 1) * m + k - 1) // k - (b * m + k - 1) // k)))) - n) AS chi, 2 * high * (n - high) AS pairs,
+      n::DOUBLE * n * q - n * s * s AS spread, n::DOUBLE * n * x - n * s * (2 * s - ends) + (n - 1) * s * s AS drift FROM stats),
+scored AS (SELECT token, encoding, length(bin(n)) AS octave, CASE WHEN encoding = 'mixed' OR pairs <= n OR spread <= 0 OR rate <= 0.2 THEN 0
+      WHEN sqrt(2 * chi) - sqrt(2.0::DOUBLE * k - 3) > 3 OR abs((runs - pairs / n - 1) / sqrt(pairs * (pairs - n) / (n::DOUBLE * n * (n - 1)))) > 3
+          OR abs((drift / spread + 1.0::DOUBLE / n) * sqrt(n)) > 3 THEN 0
+      ELSE least(60, floor((n - 1) * (rate * ln(rate / 0.2) + CASE WHEN rate < 1 THEN (1 - rate) * ln((1 - rate) / 0.8) ELSE 0 END) / ln(2))) END AS bits FROM tests),
+strata AS (SELECT encoding, octave, bits, count(*) OVER (PARTITION BY encoding, octave) AS every,
+      count(*) OVER (PARTITION BY encoding, octave ORDER BY bits DESC) AS upto FROM scored),
+least AS (SELECT encoding, octave, min(bits) AS least FROM strata WHERE bits > 0 AND every <= 0.01 * upto * 2 ** bits GROUP BY ALL),
+random AS (SELECT token FROM scored JOIN least USING (encoding, octave) WHERE bits >= least),
+base AS (SELECT r, kind, start, stop FROM spans WHERE kind < 3),
+everything AS (SELECT * FROM base UNION ALL SELECT r, 3, start, stop FROM spans s JOIN random ON s.s = token
+      WHERE kind = 3 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = s.r AND b.start <= s.start AND b.stop >= s.stop)),
+named AS (SELECT *, concat_ws(':', ['assign', 'access', 'hex', 'random'][kind + 1], start, stop) AS span FROM everything),
+done AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+      string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans FROM named GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM texts LEFT JOIN done USING (r)"""

@@ -24,7 +24,7 @@ def test_query_agrees_with_sql(spark, sf_dir, name):
 def test_all_are_registered():
     found = entry_point.queries()
     assert set(QUERIES) < set(found) and found["pipeline"] is corpus_pipeline.run
-    assert {x.split("_")[0] for x in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {x.split("_")[0] for x in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_pipeline_stages(spark, sf_dir):
