@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from checks.adapters import duck
-from checks.queries import HEADROOM, MANY, NOW_S
+from checks.queries import HEADROOM, MANY, NOW_S, PAGE_SIZE, PAGE_START
 from docketflow.functions.case_types import CASE_TYPES
 from docketflow.functions.courts import COURT_NAMES, COURT_STATES
 from docketflow.functions.text import BLANKS
@@ -335,6 +335,31 @@ SELECT row_number() OVER (ORDER BY source, year, court, bench) - 1 AS pos, prefi
 sql("plan_append", "objects partitions", _OPEN + """
 SELECT row_number() OVER (ORDER BY source, year, court, bench) - 1 AS pos, prefix, source, year,
   court, bench FROM fresh""")
+_CANNOT = "'cannot list ' || w.prefix"
+sql("plan_walk", "objects partitions", _OPEN + f""",
+placed AS (SELECT *, row_number() OVER (ORDER BY source, year, court, bench) - 1 AS pos FROM fresh),
+walked AS (SELECT prefix, source, year IN (2014, 2021) AS bad FROM placed
+  WHERE pos >= {PAGE_START} AND pos < {PAGE_START + PAGE_SIZE}),
+tallied AS (SELECT {PREFIX} AS prefix, count(*) AS found, count(*) FILTER (WHERE filename LIKE '%.pdf'
+    AND filename NOT LIKE '%/%' AND bytes BETWEEN 2048 AND 52428800 AND doc_id % 3 = 0) AS queued
+  FROM fx_objects GROUP BY 1),
+tried AS (SELECT coalesce(p.prefix, w.prefix) AS prefix, coalesce(p.source, w.source) AS source, w.bad,
+    CASE WHEN w.bad IS FALSE THEN t.found ELSE coalesce(p.found, 0) END AS found,
+    CASE WHEN w.bad IS FALSE THEN t.queued ELSE coalesce(p.queued, 0) END AS queued,
+    CASE WHEN w.bad IS NULL THEN p.scanned_s ELSE {NOW_S} END AS scanned_at,
+    CASE WHEN w.bad IS NULL THEN p.status WHEN NOT w.bad THEN 'done'
+      WHEN coalesce(p.attempts, 0) + 1 >= 4 THEN 'failed' ELSE 'pending' END AS status,
+    CASE WHEN w.bad IS NULL THEN p.attempts WHEN w.bad THEN coalesce(p.attempts, 0) + 1 ELSE 0 END AS attempts,
+    CASE WHEN w.bad IS NULL THEN p.error WHEN w.bad THEN {_CANNOT} END AS error,
+    CASE WHEN w.bad IS NULL THEN p.next_s WHEN NOT w.bad THEN {NOW_S}
+      ELSE CAST({NOW_S} + least(60 * power(2, coalesce(p.attempts, 0)), 900) AS BIGINT) END AS next_attempt_at
+  FROM fx_partitions p FULL JOIN walked w ON p.prefix = w.prefix LEFT JOIN tallied t ON t.prefix = w.prefix)
+SELECT prefix, t.source, found, queued, scanned_at, status, attempts, error, next_attempt_at, pos,
+  pos < {PAGE_START + PAGE_SIZE} AS behind,
+  CASE WHEN bad THEN CASE status WHEN 'failed' THEN 'error' ELSE 'warn' END END AS level,
+  CASE WHEN bad THEN 'Scan failed for ' || prefix || ': ' || error
+    || CASE status WHEN 'failed' THEN '' ELSE ' — will retry' END END AS message
+FROM tried t LEFT JOIN placed USING (prefix)""")
 sql("plan_progress", "objects partitions", _OPEN + """
 SELECT count(*) AS total, least(5, count(*)) AS position, greatest(0, count(*) - 5) AS remaining
 FROM fresh""")
@@ -410,6 +435,8 @@ SELECT i.id,
   CASE WHEN o.outcome IN ('pushed', 'skipped') THEN NULL ELSE i.local_path END AS local_path,
   CASE WHEN o.outcome = 'pushed' THEN CAST({NOW_S} AS BIGINT) END AS pushed_at
 FROM fx_items i LEFT JOIN classified o ON o.item_id = i.id""")
+ORACLE["replayed_responses"] = ORACLE["delivery_outcomes"].replace(
+    "ON o.item_id = i.id", "ON o.item_id + 1 = i.id AND i.status = 'uploading'")
 sql("download_failures", "items", """
 SELECT id, CASE WHEN status <> 'downloading' THEN status WHEN attempts + 1 >= 3 THEN 'failed'
     ELSE 'discovered' END AS status,
@@ -479,6 +506,10 @@ folded AS (
 SELECT item_id, s.st AS status, s.att AS attempts, s.fl AS has_file, n_events,
   last_event_id, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_ts
 FROM folded WHERE s.ex""")
+sql("event_rates", "item_events", """
+SELECT window_s, kind, count(*) AS n_events, count(*) AS per_window
+FROM (SELECT kind, CAST(floor(epoch(ts) / 21600) * 21600 AS BIGINT) AS window_s FROM fx_item_events)
+GROUP BY ALL""")
 sql("schema_migrate", "items", """
 SELECT id, CAST(NULL AS VARCHAR) AS source_citation, CAST(NULL AS VARCHAR) AS decision_date,
   CAST(NULL AS VARCHAR) AS court_type, CAST(NULL AS VARCHAR) AS bench_type, 'en' AS language,
@@ -511,6 +542,22 @@ def count(where: str) -> str:
     return f"count(*) FILTER (WHERE {where})"
 
 
+_CHANGED = """+ changed AS (SELECT source,
+  CASE WHEN claimed AND id % 3 = 0 THEN 'downloaded' WHEN claimed THEN 'downloading'
+    WHEN status = 'failed' AND local_path IS NULL THEN 'discovered'
+    WHEN status = 'failed' THEN 'downloaded' ELSE status END AS status,
+  CASE WHEN claimed AND id % 3 = 0 THEN bytes + 7 ELSE bytes END AS bytes
+  FROM (SELECT *, status = 'discovered' AND id % 2 = 0 AS claimed FROM fx_items))"""
+sql("stats_deltas", "items", _CHANGED + """
+SELECT source, status, CAST(grouping(source, status) AS BIGINT) AS level, count(*) AS n,
+  CAST(sum(bytes) AS BIGINT) AS bytes
+FROM changed GROUP BY GROUPING SETS ((source, status), (source), (status), ())""")
+sql("status_deltas", "items", _CHANGED + f"""
+SELECT count(*) AS total_items, {', '.join(f"{count(f"status = '{x}'")} AS {x}" for x in (
+    'discovered', 'downloading', 'downloaded', 'uploading', 'pushed', 'failed', 'skipped'))},
+  {total("status = 'pushed'")} AS pushed_bytes, {total()} AS known_bytes,
+  {total(_HELD)} AS bytes_on_disk, {total(_RESERVED)} AS reserved_bytes,
+  min(bytes) FILTER (WHERE status = 'discovered') AS smallest_queued FROM changed""")
 sql("source_stats", "items", f"""
 SELECT source, count(*) AS total, {count("status = 'pushed'")} AS pushed,
   {count("status = 'discovered'")} AS queued, {count(_HELD)} AS on_disk,
@@ -540,7 +587,7 @@ ORDER BY id DESC LIMIT 80""")
 sql("event_retention", "log", """
 SELECT id, level, message, item_id FROM fx_log
 WHERE id >= (SELECT max(id) - 2000 FROM fx_log)""")
-ORACLE["lifecycle_hot_items"] = ORACLE["lifecycle_fold"]
+ORACLE["lifecycle_hot_items"] = ORACLE["lifecycle_late_events"] = ORACLE["lifecycle_fold"]
 ORACLE["kv_latest"] = """
 WITH writes AS (
   SELECT CAST(user_id AS VARCHAR) AS key, event_id AS seq,
@@ -570,6 +617,10 @@ SELECT coalesce(p.prefix, s.prefix) AS prefix, coalesce(p.source, s.source) AS s
   CASE WHEN s.prefix IS NULL THEN p.error END AS error,
   coalesce(p.next_attempt_at, 0) AS next_attempt_at
 FROM parts p FULL JOIN seen s ON p.prefix = s.prefix""")
+sql("partition_counts_merged", "objects", f"""
+SELECT {PREFIX} AS prefix, source, count(*) AS found,
+  count(*) FILTER (WHERE doc_id % 3 <> 0) AS queued, CAST(max(doc_id % 4) AS BIGINT) AS batch
+FROM fx_objects GROUP BY 1, 2""")
 sql("partition_failures", "objects partitions", _RESULTS + f"""
 SELECT coalesce(p.prefix, s.prefix) AS prefix, coalesce(s.source, p.source) AS source,
   coalesce(p.found, 0) AS found, coalesce(p.queued, 0) AS queued,
@@ -669,6 +720,17 @@ SELECT 'paused' AS setting, {phase('true', 'true', CAP)} AS phase FROM i, b, p
 UNION ALL SELECT 'auto push', {phase('false', 'true', CAP)} FROM i, b, p
 UNION ALL SELECT 'manual, full', {phase('false', 'false', CAP)} FROM i, b, p
 UNION ALL SELECT 'manual, room', {phase('false', 'false', 10**15)} FROM i, b, p""")
+_MIB = "printf('%.0f', {} / 1048576.0::DOUBLE)"
+sql("cap_cycle", "items staged objects partitions", _SNAP + f""",
+opened AS (SELECT max(batch_id) AS batch FROM ({_DONE})),
+capped AS (SELECT used, downloaded, greatest(0, {CAP} - used) AS free, batch, 'full' AS status,
+  CAST({NOW_S} AS BIGINT) AS closed_at FROM i, opened WHERE smallest > {CAP} - used)
+SELECT 1 AS turn, 'cap-reached' AS phase, batch, 'cap_notified' AS key, 'warn' AS level, 'Disk cap reached ('
+  || {_MIB.format('used')} || ' MiB staged, ' || {_MIB.format('free')}
+  || ' MiB free): the batch waits for a manual push' AS message, status, closed_at FROM capped WHERE downloaded > 0
+UNION ALL SELECT 3, 'cap-blocked', batch, 'cap_blocked_notified', 'error', 'Cap held by '
+  || {_MIB.format('used')} || ' MiB of failed rows with nothing to push: retry them or clean up',
+  status, closed_at FROM capped""")
 sql("status_headline", "items staged objects partitions", _SNAP + f"""
 SELECT {short('used')} || ' / ' || {short(str(CAP))} AS disk,
   {short(f"greatest(0, {CAP} - used)")} || ' free · '

@@ -9,15 +9,17 @@ from checks.adapters import adapter
 from docketflow.functions import dates, display, judges, text
 from docketflow.functions.case_types import with_case_type
 from docketflow.operators import (
-    admission, batches, catalogue, delivery, insertion, lifecycle, partitions, reports, status,
+    admission, batches, catalogue, counters, delivery, insertion, lifecycle, partitions, reports, status,
     transitions,
 )
 from docketflow.operators.keyed import overlaid, patch
-from docketflow.plans import discovery
+from docketflow.plans import cap, discovery, walk
+from docketflow.session import settle
 from docketflow.sources.courts import court_dimension
 from docketflow.sources.keyvalue import decoded, upsert_settings
 from docketflow.sources.sinks import new_events
 from docketflow.sources.store import conform
+from docketflow.streaming.rates import event_rates as rates_of
 
 QUERIES = {}
 
@@ -25,8 +27,8 @@ QUERIES = {}
 NOW_S = 1_700_010_000
 HEADROOM = 200_000_000
 
-# A claim far beyond what is folded in one row.
-MANY = admission.FOLD_LIMIT * 400
+# A claim of very many rows at once.
+MANY = 1_000_000
 
 
 def now() -> Column:
@@ -294,6 +296,30 @@ def plan_append(spark, sf):
     return catalogue.set_plan(targets, i.partitions(), first)
 
 
+# Where the cursor of the walked plan stands, and how many targets one page takes.
+PAGE_START, PAGE_SIZE = 5, 250
+
+
+@query
+def plan_walk(spark, sf):
+    """All partitions after a page of the plan was walked, in which some listings failed."""
+    i = Inputs(spark, sf)
+    known, objects = i.partitions(), i.objects()
+    plan = catalogue.set_plan(i.targets(), known)
+    targets = walk.page(plan, PAGE_START, PAGE_SIZE)
+    failures = targets.where(F.col("year").isin(2014, 2021)).select(
+        "prefix", "source", F.concat(F.lit("cannot list "), "prefix").alias("error"))
+    listed = discovery.in_targets(objects, walk.without(targets, failures))
+    usable = discovery.usable(listed)
+    queued = usable.join(_ledger_of(i.fx("objects")).select("s3_key"), "s3_key", "left_anti")
+    summary = discovery.scan_summary(walk.without(targets, failures), listed, usable, queued)
+    after = walk.finished(walk.begun(known, targets, now()), summary, failures, now())
+    events = walk.failure_events(after, failures).select("prefix", "level", "message")
+    places = plan.select("prefix", "pos", (F.col("pos") < PAGE_START + PAGE_SIZE).alias("behind"))
+    return _partition_columns(
+        after.join(places, "prefix", "left").join(events, "prefix", "left"))
+
+
 @query
 def plan_progress(spark, sf):
     i = Inputs(spark, sf)
@@ -371,6 +397,22 @@ def delivery_outcomes(spark, sf):
     return seconds(out.select(*_AFTER), "pushed_at")
 
 
+@query
+def replayed_responses(spark, sf):
+    """Responses twice over, and late ones to an earlier claim that came last of all."""
+    i = Inputs(spark, sf)
+    items = i.items().withColumn("claims", F.col("id") % 3 + 1)
+    answers = i.fx("responses").select(
+        F.col("item_id") + 1, (F.col("item_id") + 1) % 3 + 1, "http_status", "body",
+        F.lit(1).cast("long")).toDF("item_id", "claim", "http_status", "body", "seq")
+    late = answers.select(
+        "item_id", F.col("claim") - 1, F.lit(500), F.lit("late"), F.lit(9).cast("long")).toDF(*answers.columns)
+    responses = answers.unionByName(answers).unionByName(late)
+    uploading = items.where(F.col("status") == "uploading")
+    outcomes = delivery.classify(delivery.answered(uploading, responses))
+    return seconds(transitions.apply_outcomes(items, outcomes, now()).select(*_AFTER), "pushed_at")
+
+
 @query
 def download_failures(spark, sf):
     i = Inputs(spark, sf)
@@ -436,11 +478,33 @@ def lifecycle_fold(spark, sf):
 
 @query
 def lifecycle_hot_items(spark, sf):
-    """The same states, with every item of more than two events folded by segments."""
-    states = lifecycle.lifecycle(Inputs(spark, sf).fx("item_events"), segment_rows=2)
+    """The same states, with the history of every item cut at each hour."""
+    states = lifecycle.lifecycle(Inputs(spark, sf).fx("item_events"), bucket_s=3_600)
     return states.withColumn("last_ts", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query
+def lifecycle_late_events(spark, sf):
+    """The same states from segments of days, into which every seventh event comes late."""
+    events = lifecycle.with_bucket(Inputs(spark, sf).fx("item_events"), 86_400)
+    late = F.col("event_id") % 7 == 0
+    stored = settle(lifecycle.segments(lifecycle.pieces(events.where(~late))))
+    # The late ones come with some that were there already.
+    batch = events.where(late | (F.col("event_id") % 11 == 0))
+    new = settle(lifecycle.merged(stored, events, batch))
+    rest = stored.join(new, ["item_id", "bucket"], "left_anti")
+    states = lifecycle.states(rest.unionByName(new))
+    return states.withColumn("last_ts", F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def event_rates(spark, sf):
+    rates = rates_of(Inputs(spark, sf).fx("item_events"), "6 hours")
+    return rates.select(
+        F.unix_seconds("window_start").alias("window_s"), "kind", "n_events",
+        F.round(F.col("per_minute") * 360).cast("long").alias("per_window"))
+
+
 @query
 def schema_migrate(spark, sf):
     older = Inputs(spark, sf).items().drop(
@@ -469,6 +533,39 @@ def ledger_stats(spark, sf):
     return reports.ledger_stats(Inputs(spark, sf).items())
 
 
+def _changes(i: Inputs) -> list[tuple[DataFrame, DataFrame]]:
+    """A chain of ledger changes, each as the rows it touches before and after it."""
+    items = i.items()
+    queued = items.where((F.col("status") == "discovered") & (F.col("id") % 2 == 0))
+    ids = queued.select("id")
+    claimed = patch(queued, admission.claimed_as(ids, "downloading"), "id")
+    arrived = claimed.where(F.col("id") % 3 == 0)
+    manifest = arrived.select(
+        "id", F.lit("staging/x.pdf").alias("local_path"), (F.col("bytes") + 7).alias("bytes"),
+        F.lit(77).cast("long").alias("batch_id"))
+    staged = transitions.mark_downloaded(arrived, manifest, now())
+    failed = items.where(F.col("status") == "failed")
+    return [(queued, claimed), (arrived, staged), (failed, transitions.retry_failed(failed))]
+
+
+def _counted(i: Inputs) -> DataFrame:
+    """The ledger's counts after the chain: those before it and what each change adds."""
+    counts = counters.cells(i.items())
+    for before, after in _changes(i):
+        counts = counts.unionByName(counters.change(before, after))
+    return counts
+
+
+@query
+def stats_deltas(spark, sf):
+    return counters.stats(counters.summed(_counted(Inputs(spark, sf))))
+
+
+@query
+def status_deltas(spark, sf):
+    return counters.figures(_counted(Inputs(spark, sf)))
+
+
 @query
 def source_stats(spark, sf):
     return reports.source_stats(Inputs(spark, sf).items())
@@ -545,6 +642,21 @@ def partition_scanned(spark, sf):
     return _partition_columns(partitions.mark_scanned(i.partitions(), results, now()))
 
 
+@query
+def partition_counts_merged(spark, sf):
+    """Totals of partitions listed in four parts, one of which is counted twice."""
+    i = Inputs(spark, sf)
+    objects = i.fx("objects").withColumns(
+        {"prefix": catalogue.partition_prefix(), "fresh": F.lit(True)})
+    ledger = _ledger_of(i.fx("objects"))
+    totals = conform(spark.range(0), "partition_totals")
+    for part in (0, 1, 2, 2, 3):
+        counted = counters.by_batch(objects.where(F.col("doc_id") % 4 == part), ledger, part)
+        new = settle(counters.merged_counts(totals, counted))
+        totals = totals.join(new, "prefix", "left_anti").unionByName(new)
+    return totals
+
+
 @query
 def partition_failures(spark, sf):
     i = Inputs(spark, sf)
@@ -650,6 +762,39 @@ def status_phases(spark, sf):
     )
 
 
+@query
+def cap_cycle(spark, sf):
+    """The notices of three passes and the batches after them.
+
+    A pass under a cap that is full, one that finds it told already, and one that finds the rows
+    ready to push gone while failed ones still hold the cap.
+    """
+    i = Inputs(spark, sf)
+    items, known = i.items(), i.batches()
+    plan = catalogue.outstanding(i.targets(), i.partitions())
+    stuck = items.withColumn("status", F.when(
+        F.col("status") == "downloaded", "failed").otherwise(F.col("status")))
+    meta = conform(spark.range(0), "meta")
+
+    def look(rows: DataFrame, meta: DataFrame) -> DataFrame:
+        shot = status.snapshot(rows, i.fx("staged"), i.partitions(), plan, F.lit(5), now(),
+                               auto_push=False)
+        return settle(cap.notice(status.report(shot), cap.waiting_batch(known), meta))
+
+    def told(meta: DataFrame, notices: DataFrame) -> DataFrame:
+        return upsert_settings(meta, notices.select(
+            "key", F.col("batch").cast("string").alias("value"), F.lit(1).alias("seq")))
+
+    first = look(items, meta)
+    after = settle(told(meta, first))
+    again, blocked = look(items, after), look(stuck, after)
+    notices = first.withColumn("turn", F.lit(1)).unionByName(again.withColumn("turn", F.lit(2))).unionByName(
+        blocked.withColumn("turn", F.lit(3)))
+    marked = batches.set_batch_status(known, cap.full_batches(first), now())
+    return notices.join(
+        seconds(marked.select(F.col("id").alias("batch"), "status", "closed_at"), "closed_at"), "batch")
+
+
 @query
 def status_lines(spark, sf):
     return status.status_lines(Inputs(spark, sf).items())

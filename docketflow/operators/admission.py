@@ -3,20 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docketflow.operators.reports import reserved_bytes
-from docketflow.session import settle
 from docketflow.settings import DEFAULTS
 
-# Claims up to this size are folded in one row of at most OVERFETCH times as many candidates;
-# larger ones are admitted in rounds over distributed prefix sums.
-FOLD_LIMIT = 2_500
 OVERFETCH = 4
 
-# Ids per bucket of a prefix sum: bounds the rows one task orders.
-BUCKET_IDS = 1_000_000
+# Candidates per chunk of the queue: what one step of the fold copies.
+CHUNK = 1_000
 
 
 def _budget(items: DataFrame, cap_bytes: int | Column) -> Column:
@@ -29,70 +24,44 @@ def _fitting(items: DataFrame, budget: Column) -> DataFrame:
     return items.where(fits).select("id", "bytes")
 
 
-def _fold(queue: DataFrame, budget: Column, limit: int) -> DataFrame:
-    """Walk the queue in id order, skipping what no longer fits, up to ``limit`` rows."""
-    packed = queue.agg(F.sort_array(F.collect_list(F.struct("id", "bytes"))).alias("q"))
-    packed = packed.select("q", budget.cast("long").alias("budget"))
-    start = F.struct(F.lit(0).cast("long").alias("spent"),
-                     F.array().cast("array<bigint>").alias("ids"))
-
-    def step(acc: Column, row: Column) -> Column:
-        spent = acc["spent"] + row["bytes"]
-        admit = (spent <= F.col("budget")) & (F.size(acc["ids"]) < limit)
+def _walk(budget: Column, limit: int):
+    """One chunk of the queue: the ids it admits, and what is spent and taken after it."""
+    def row(acc: Column, x: Column) -> Column:
+        spent = acc["spent"] + x["bytes"]
+        admit = (spent <= budget) & (acc["taken"] < limit)
         return F.when(admit, F.struct(
-            spent.alias("spent"), F.concat(acc["ids"], F.array(row["id"])).alias("ids"),
-        )).otherwise(acc)
+            spent.alias("spent"), (acc["taken"] + 1).alias("taken"),
+            F.concat(acc["ids"], F.array(x["id"])).alias("ids"))).otherwise(acc)
 
-    return packed.select(F.explode(F.aggregate("q", start, step)["ids"]).alias("id"))
+    def chunk(acc: Column, x: Column) -> Column:
+        full = acc["taken"] >= limit
+        empty = F.array().cast("array<bigint>")
+        inside = F.aggregate(x["rows"], F.struct(
+            acc["spent"].alias("spent"), acc["taken"].alias("taken"), empty.alias("ids")), row)
+        return F.when(full, acc).otherwise(F.transform(
+            F.array(inside), lambda done: F.struct(
+                done["spent"].alias("spent"), done["taken"].alias("taken"),
+                F.concat(acc["admitted"], F.array(done["ids"])).alias("admitted")))[0])
 
+    return chunk
 
-def _running(rows: DataFrame) -> DataFrame:
-    """Running byte sum and row number in id order, from buckets of ids and their offsets.
 
-    Ids are unique, so a bucket holds at most ``BUCKET_IDS`` rows; the offsets are one row per
-    bucket.
-    """
-    bucketed = rows.withColumn("_bucket", F.floor(F.col("id") / BUCKET_IDS))
-    sums = bucketed.groupBy("_bucket").agg(F.sum("bytes").alias("_b"), F.count("*").alias("_n"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(
-        "_bucket", F.coalesce(F.sum("_b").over(before), F.lit(0)).alias("_b0"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"))
-    inside = W.partitionBy("_bucket").orderBy("id")
-    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return bucketed.join(offsets, "_bucket").select(
-        "id", "bytes", (F.sum("bytes").over(upto) + F.col("_b0")).alias("run"),
-        (F.row_number().over(inside) + F.col("_n0")).alias("nth"))
-
-
-def _rounds(fitting: DataFrame, budget: int, limit: int) -> DataFrame:
-    """The same admission for queues too long for one row.
-
-    Each round admits the longest run whose running sum fits, skips the row that overflows and
-    drops every row larger than what is left; those could never be admitted later.  The driver
-    sees a few numbers per round and the rows stay distributed.  A remainder short enough for
-    one row is folded at once.
+def _fold(queue: DataFrame, budget: Column, limit: int) -> DataFrame:
+    """Walk the queue in id order, skipping what no longer fits, up to ``limit`` rows.
+
+    The queue, of ``OVERFETCH`` times the limit at most, is packed into chunks of ``CHUNK``
+    candidates; bytes spent and rows taken are carried from chunk to chunk, once over all of them.
     """
-    queue = _running(fitting).where(F.col("nth") <= limit * OVERFETCH)
-    rest = settle(queue.select("id", "bytes"))
-    admitted = rest.select("id").limit(0)
-    left, slots = budget, limit
-    while slots > 0:
-        summed = settle(_running(rest.where(F.col("bytes") <= left)))
-        fits = (F.col("run") <= left) & (F.col("nth") <= slots)
-        stop = summed.where(~fits).agg(F.min("id")).first()[0]
-        if stop is None:
-            return admitted.unionByName(summed.select("id"))
-        before, after = F.col("id") < stop, F.col("id") > stop
-        n, spent, waiting = summed.agg(
-            F.count_if(before), F.coalesce(F.sum(F.when(before, F.col("bytes"))), F.lit(0)),
-            F.count_if(after)).first()
-        admitted = admitted.unionByName(summed.where(before).select("id"))
-        left, slots = left - spent, slots - n
-        rest = summed.where(after).select("id", "bytes")
-        if waiting <= FOLD_LIMIT * OVERFETCH:
-            return admitted.unionByName(_fold(rest, F.lit(left), slots))
-    return admitted
+    placed = queue.withColumn("nth", F.monotonically_increasing_id())
+    chunks = placed.groupBy(F.expr(f"nth DIV {CHUNK}").alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("id", "bytes"))).alias("rows"))
+    packed = chunks.agg(F.sort_array(F.collect_list(F.struct("chunk", "rows"))).alias("q")).select(
+        "q", budget.cast("long").alias("budget"))
+    start = F.struct(
+        F.lit(0).cast("long").alias("spent"), F.lit(0).alias("taken"),
+        F.array().cast("array<array<bigint>>").alias("admitted"))
+    folded = F.aggregate("q", start, _walk(F.col("budget"), limit))
+    return packed.select(F.explode(F.flatten(folded["admitted"])).alias("id"))
 
 
 def claim_for_download(
@@ -103,11 +72,8 @@ def claim_for_download(
     Considered are the oldest rows that fit the whole budget, ``OVERFETCH`` times the limit.
     """
     budget = _budget(items, cap_bytes)
-    fitting = _fitting(items, budget)
-    if limit <= FOLD_LIMIT:
-        return _fold(fitting.orderBy("id").limit(limit * OVERFETCH), budget, limit)
-    room = items.sparkSession.range(1).select(budget.alias("b")).first().b
-    return _rounds(fitting, int(room), limit)
+    oldest = _fitting(items, budget).orderBy("id").limit(limit * OVERFETCH)
+    return _fold(oldest, budget, limit)
 
 
 def claim_for_upload(items: DataFrame, limit: int = DEFAULTS.upload_claim) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketflow.functions.text import bare_url, nonblank
+from docketflow.operators.keyed import last_per_key
 
 # Payload field -> ledger column.
 FIELDS = {
@@ -26,21 +27,33 @@ PREFIXES = {
 NO_ID = "Upload accepted but no document id: "
 
 
-def payload_columns(items: DataFrame) -> DataFrame:
-    """One text column per field, NULL where the field is left out."""
+def payload_columns(items: DataFrame, *beside: str) -> DataFrame:
+    """One text column per field, NULL where the field is left out, and the columns ``beside``."""
     def value(field: str, column: str) -> Column:
         text = nonblank(F.col(column).cast("string"))
         if field == "language":
             return F.coalesce(text, F.lit("en"))
         return bare_url(text) if field == "source_url" else text
 
-    return items.select("id", "batch_id", *[value(f, c).alias(f) for f, c in FIELDS.items()])
+    return items.select("id", "batch_id", *beside, *[value(f, c).alias(f) for f, c in FIELDS.items()])
 
 
-def payloads(items: DataFrame) -> DataFrame:
-    """(id, batch_id, payload JSON); the JSON writer leaves NULL fields out."""
-    return payload_columns(items).select(
-        "id", "batch_id", F.to_json(F.struct(*FIELDS)).alias("payload"))
+def payloads(items: DataFrame, *beside: str) -> DataFrame:
+    """(id, batch_id, payload JSON) and the columns ``beside``, such as the number of the claim that
+    a response must name; the JSON writer leaves NULL fields out."""
+    return payload_columns(items, *beside).select(
+        "id", "batch_id", *beside, F.to_json(F.struct(*FIELDS)).alias("payload"))
+
+
+def answered(uploading: DataFrame, responses: DataFrame) -> DataFrame:
+    """The response that counts for each row of ``uploading``: (item_id, http_status, body).
+
+    It is the last by ``seq`` of those to the row's present claim.  Responses to earlier claims, or
+    to rows no longer uploading, however late or often they come, are left out.
+    """
+    present = uploading.select(F.col("id").alias("item_id"), F.col("claims").alias("claim"))
+    mine = responses.join(present, ["item_id", "claim"], "left_semi")
+    return last_per_key(mine, ["item_id"], "seq").select("item_id", "last.http_status", "last.body")
 
 
 def classify(responses: DataFrame) -> DataFrame:

@@ -28,6 +28,21 @@ def first_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     ])
 
 
+def last_rows(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Keys plus a struct ``last``: the row of each key with the highest ``order``, unique in it.
+
+    For wide rows: the winners are found on keys and order alone, by a hash aggregate with map-side
+    reduction, and the rows that stay are picked by a semi join, which leaves them placed by key
+    for the join that follows.
+    """
+    values = [c for c in rows.columns if c not in keys and c != order]
+    winners = rows.groupBy(*keys).agg(F.max(order).alias("winner"))
+    won = [F.col(f"r.{k}") == F.col(f"w.{k}") for k in keys]
+    kept = rows.alias("r").join(
+        winners.alias("w"), [*won, F.col(f"r.{order}") >= F.col("w.winner")], "left_semi")
+    return kept.select(*keys, F.struct(*values).alias("last"))
+
+
 def overlaid(base: DataFrame, changes: DataFrame, key: str, step: str) -> DataFrame:
     """``base`` with whole rows of ``changes`` in place of its own, the highest ``step`` of a key
     last.  ``step`` is a column of ``changes`` only."""

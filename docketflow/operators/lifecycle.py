@@ -1,10 +1,13 @@
 """The life cycle of an item as an ordered fold over its events.
 
 A state is (exists, status, attempts, has_file).  Attempts are shared by download and upload,
-so the order of events matters and plain aggregates do not give the state.  Ordinary items are
-folded in one row.  An item with very many events is cut into segments of its time line; each
-segment is folded once per possible entry state into a table of exits, and the tables of an
-item, a few small rows, are then applied in order.  No task ever holds all of a hot item.
+so the order of events matters and plain aggregates do not give the state.  A run of events is
+folded once per possible entry state into a transition table, an array of exits; tables of
+consecutive runs compose, so a history can be cut anywhere, stored in segments and merged.
+
+Events are cut twice: into buckets of time, the segments that are stored, and within them where the
+ranges of (item, time) that tasks fold happen to end.  An item with any share of all events spreads
+over ranges like any other.
 """
 
 from __future__ import annotations
@@ -13,19 +16,14 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docketflow.settings import DEFAULTS, Limits
 
-# An item with more events than this is folded by segments of about this many rows.
-SEGMENT_ROWS = 100_000
-
-# So many consecutive segments of an item are composed into one at a time.
-BLOCK = 1_000
-
 KINDS = ("discovered", "downloading", "downloaded", "uploading", "pushed", "skipped",
          "failed", "retry")
 
-# Entry status of a segment when it is not "failed": whatever it was, it is passed on.
+# Entry status of a run when it is not "failed": whatever it was, it is passed on.
 _SAME = "="
 
 
@@ -75,33 +73,8 @@ def step(s: Column, kind: Column, limits: Limits = DEFAULTS) -> Column:
         kind == "discovered", state(True, "discovered", 0, False)).otherwise(s)
 
 
-def fold(kinds: Column, start: Column, limits: Limits = DEFAULTS) -> Column:
-    return F.aggregate(kinds, start, lambda s, e: step(s, e["kind"], limits))
-
-
-def _ordered(events: DataFrame, *keys: str) -> DataFrame:
-    """Events of each key in one sorted row; callers bound how many that can be."""
-    queue = F.sort_array(F.collect_list(F.struct("ts", "event_id", "kind")))
-    return events.groupBy(*keys).agg(
-        queue.alias("q"), F.count("*").alias("n_events"),
-        F.max(F.struct("ts", "event_id")).alias("last"))
-
-
-def _started(rows: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Add the state each item starts from: its known one, else absent."""
-    if known is None:
-        return rows.withColumn("s0", absent())
-    earlier = known.select(
-        "item_id", state(True, F.col("status"), F.col("attempts"), F.col("has_file")).alias("k"),
-        F.col("n_events").alias("n0"))
-    return rows.join(earlier, "item_id", "left").withColumns({
-        "s0": F.coalesce("k", absent()),
-        "n_events": F.col("n_events") + F.coalesce("n0", F.lit(0)),
-    }).drop("k", "n0")
-
-
 def _entries(limits: Limits) -> list[Column]:
-    """Every entry state a segment can meet, in the order ``_entry_index`` counts them."""
+    """Every entry state a run can meet, in the order ``_entry_index`` counts them."""
     known = [
         state(True, status, attempts, has_file, relative=True)
         for attempts, has_file, status in product(
@@ -117,9 +90,9 @@ def _entry_index(s: Column, limits: Limits) -> Column:
 
 
 def _apply(s: Column, table: Column, limits: Limits) -> Column:
-    """The exit of a segment for entry state ``s``.
+    """The exit of a run for entry state ``s``.
 
-    Attempts above the limit share one entry; what the segment added counts from there.
+    Attempts above the limit share one entry; what the run added counts from there.
     """
     out = F.get(table, _entry_index(s, limits))
     above = F.when(out["relative"],
@@ -130,56 +103,90 @@ def _apply(s: Column, table: Column, limits: Limits) -> Column:
         out["attempts"] + above, out["has_file"], s["relative"] & out["relative"])
 
 
-def _fold_segments(
-    events: DataFrame, known: DataFrame | None, limits: Limits, segment_rows: int, rows: int
-) -> DataFrame:
-    parts = max(1, -(-rows // segment_rows))
-    cut = events.repartitionByRange(parts, "item_id", "ts", "event_id").withColumn(
-        "segment", F.spark_partition_id())
-    tables = _ordered(cut, "item_id", "segment").select(
-        "item_id", "segment", "n_events", "last",
-        F.aggregate(
-            "q", F.array(*_entries(limits)),
-            lambda acc, e: F.transform(acc, lambda s: step(s, e["kind"], limits)),
-        ).alias("exits"))
-    while parts > BLOCK:
-        blocks = tables.groupBy("item_id", F.floor(F.col("segment") / BLOCK).alias("segment")).agg(
-            F.sort_array(F.collect_list(F.struct("segment", "exits"))).alias("t"),
-            F.sum("n_events").alias("n_events"), F.max("last").alias("last"))
-        tables = blocks.select(
-            "item_id", "segment", "n_events", "last",
-            F.aggregate(
-                "t", F.array(*_entries(limits)),
-                lambda acc, x: F.transform(acc, lambda s: _apply(s, x["exits"], limits)),
-            ).alias("exits"))
-        parts = -(-parts // BLOCK)
-    packed = tables.groupBy("item_id").agg(
-        F.sort_array(F.collect_list(F.struct("segment", "exits"))).alias("t"),
+def with_bucket(events: DataFrame, bucket_s: int | None) -> DataFrame:
+    """(item_id, bucket, ts, event_id, kind); without a length all time is one bucket."""
+    ts = F.col("ts")
+    if isinstance(events.schema["ts"].dataType, (T.TimestampType, T.TimestampNTZType)):
+        ts = F.unix_seconds(ts.cast("timestamp"))
+    bucket = F.floor(ts / bucket_s) if bucket_s else F.lit(0)
+    return events.select("item_id", bucket.cast("long").alias("bucket"), "ts", "event_id", "kind")
+
+
+def pieces(events: DataFrame, limits: Limits = DEFAULTS) -> DataFrame:
+    """Transition tables of bucketed events: (item_id, bucket, piece, n_events, last, exits).
+
+    A piece is what one range holds of an item's bucket, so its rows fit where a shuffle partition
+    does; pieces are numbered in the order of time.
+    """
+    keys = ["item_id", "bucket", "ts", "event_id"]
+    cut = events.repartitionByRange(*keys).withColumn("piece", F.spark_partition_id())
+    queues = cut.groupBy("item_id", "bucket", "piece").agg(
+        F.sort_array(F.collect_list(F.struct("ts", "event_id", "kind"))).alias("q"),
+        F.count("*").alias("n_events"), F.max(F.struct("ts", "event_id")).alias("last"))
+    exits = F.aggregate("q", F.array(*_entries(limits)), lambda table, e: F.transform(
+        table, lambda s: step(s, e["kind"], limits)))
+    return queues.select("item_id", "bucket", "piece", "n_events", "last", exits.alias("exits"))
+
+
+def after(first: Column, then: Column, limits: Limits = DEFAULTS) -> Column:
+    """The table of one run of events followed by another."""
+    return F.transform(first, lambda s: _apply(s, then, limits))
+
+
+def segments(tables: DataFrame, limits: Limits = DEFAULTS) -> DataFrame:
+    """One table per item and bucket from its pieces: (item_id, bucket, n_events, last, exits)."""
+    packed = tables.groupBy("item_id", "bucket").agg(
+        F.sort_array(F.collect_list(F.struct("piece", "exits"))).alias("t"),
         F.sum("n_events").alias("n_events"), F.max("last").alias("last"))
-    final = F.aggregate("t", F.col("s0"), lambda s, x: _apply(s, x["exits"], limits))
-    return _started(packed, known).select("item_id", "n_events", "last", final.alias("s"))
+    return packed.select("item_id", "bucket", "n_events", "last", F.aggregate(
+        "t", F.array(*_entries(limits)), lambda acc, x: after(acc, x["exits"], limits)).alias("exits"))
 
 
-def lifecycle(
-    events: DataFrame, known: DataFrame | None = None, limits: Limits = DEFAULTS,
-    segment_rows: int = SEGMENT_ROWS,
-) -> DataFrame:
-    """State per item from (item_id, ts, event_id, kind), ordered by (ts, event_id).
+def states(tables: DataFrame, limits: Limits = DEFAULTS) -> DataFrame:
+    """The state of every item from its tables, pieces or segments, in the order of time.
 
-    ``known`` holds earlier results to continue from.  Items never discovered have no state and
-    are left out.  Hot items, at most one per ``segment_rows`` events, are found by a counting
-    aggregate first.
+    Items never discovered have no state and are left out.
     """
-    events = events.select("item_id", "ts", "event_id", "kind")
-    hot = events.groupBy("item_id").count().where(F.col("count") > segment_rows)
-    hot_rows, hot_items = hot.agg(F.sum("count"), F.count("*")).first()
-    calm = events.join(hot, "item_id", "left_anti") if hot_items else events
-    folded = _started(_ordered(calm, "item_id"), known).select(
-        "item_id", "n_events", "last", fold(F.col("q"), F.col("s0"), limits).alias("s"))
-    if hot_items:
-        folded = folded.unionByName(_fold_segments(
-            events.join(hot, "item_id", "left_semi"), known, limits, segment_rows, hot_rows))
-    return folded.where("s.exists").select(
+    order = [c for c in ("bucket", "piece") if c in tables.columns]
+    packed = tables.groupBy("item_id").agg(
+        F.sort_array(F.collect_list(F.struct(*order, "exits"))).alias("t"),
+        F.sum("n_events").alias("n_events"), F.max("last").alias("last"))
+    final = F.aggregate("t", absent(), lambda s, x: _apply(s, x["exits"], limits))
+    return packed.withColumn("s", final).where("s.exists").select(
         "item_id", F.col("s.status").alias("status"), F.col("s.attempts").alias("attempts"),
         F.col("s.has_file").alias("has_file"), "n_events",
         F.col("last.ts").alias("last_ts"), F.col("last.event_id").alias("last_event_id"))
+
+
+def merged(
+    stored: DataFrame, log: DataFrame, batch: DataFrame, limits: Limits = DEFAULTS
+) -> DataFrame:
+    """The segments that ``batch`` touches, as they are after it.
+
+    ``stored`` holds segments, ``batch`` new bucketed events, and ``log`` all bucketed events of the
+    buckets concerned, the batch included.  Events after the last one of their segment extend its
+    table.  Where one is late or repeated, that segment is folded again from the log, and no other.
+    An event is one (item_id, event_id).
+    """
+    keys, once = ["item_id", "bucket"], ["item_id", "event_id"]
+    first = batch.groupBy(*keys).agg(F.min(F.struct("ts", "event_id")).alias("first"))
+    known = stored.select(*keys, F.col("n_events").alias("n0"), F.col("last").alias("last0"),
+                          F.col("exits").alias("exits0"))
+    touched = first.join(known, keys, "left").withColumn(
+        "late", F.coalesce(F.col("first") <= F.col("last0"), F.lit(False)))
+    late = touched.where("late").select(*keys)
+    fresh = batch.join(late, keys, "left_anti").dropDuplicates(once)
+    again = log.join(late, keys, "left_semi").dropDuplicates(once)
+    extended = segments(pieces(fresh, limits), limits).join(
+        touched.where(~F.col("late")), keys).select(
+        *keys, (F.col("n_events") + F.coalesce("n0", F.lit(0))).alias("n_events"), "last",
+        F.when(F.col("exits0").isNull(), F.col("exits")).otherwise(
+            after(F.col("exits0"), F.col("exits"), limits)).alias("exits"))
+    return extended.unionByName(segments(pieces(again, limits), limits))
+
+
+def lifecycle(
+    events: DataFrame, limits: Limits = DEFAULTS, bucket_s: int | None = None
+) -> DataFrame:
+    """State per item from (item_id, ts, event_id, kind), ordered by (ts, event_id)."""
+    return states(pieces(with_bucket(events, bucket_s), limits), limits)

@@ -14,7 +14,7 @@ from docketflow.functions.case_types import with_case_type
 from docketflow.functions.dates import decision_date, decision_year
 from docketflow.functions.judges import bench_type
 from docketflow.functions.text import basename, clip, first_nonblank, joined, nonblank
-from docketflow.operators.keyed import last_per_key
+from docketflow.operators.keyed import last_rows
 
 
 def _typed(rows: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def hc_index(metadata: DataFrame) -> DataFrame:
         decision_date("decision_date").alias("decision_date"),
         clip("court", 255).alias("court_text"), clip("disposal_nature", 5000).alias("outcome"),
     )
-    return last_per_key(
+    return last_rows(
         _judged(_typed(named)), ["year", "court_code", "bench", "filename"], "ord")
 
 
@@ -57,4 +57,4 @@ def sc_index(metadata: DataFrame) -> DataFrame:
         clip("court", 255).alias("court_text"), clip("disposal_nature", 5000).alias("outcome"),
         clip("cnr", 64).alias("cnr"),
     )
-    return last_per_key(_judged(_typed(named)), ["year", "path"], "ord")
+    return last_rows(_judged(_typed(named)), ["year", "path"], "ord")

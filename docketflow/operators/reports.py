@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketflow.functions.display import human_size, short_size
+from docketflow.operators.counters import stats
 from docketflow.settings import DEFAULTS, ITEM_STATUSES, ON_DISK, RESERVED
 
 # Page bounds, and the columns of an item page.
@@ -56,16 +57,8 @@ def ledger_stats(items: DataFrame) -> DataFrame:
     The table is first reduced to one row per (source, status); the grouping sets then expand
     those few rows instead of every row of the ledger.
     """
-    cells = items.groupBy("source", "status").agg(
-        F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
-    source, status = F.col("source"), F.col("status")
-    return cells.groupingSets(
-        [(source, status), (source,), (status,), ()], source, status
-    ).agg(
-        F.grouping_id(source, status).alias("level"),
-        F.sum("n").alias("n"), F.sum("bytes").cast("long").alias("bytes"),
-    ).select("source", "status", "level", F.coalesce("n", F.lit(0)).alias("n"),
-             F.coalesce("bytes", F.lit(0)).alias("bytes"))
+    return stats(items.groupBy("source", "status").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")))
 
 
 def status_counts(items: DataFrame) -> DataFrame:

@@ -40,9 +40,19 @@ def snapshot(
     cap_bytes: int = DEFAULTS.disk_cap_bytes,
 ) -> DataFrame:
     """One row: figures, disk block, plan progress, partition backlog and flags."""
+    return snapshot_of(item_figures(items), staged, partitions, plan, position, now, paused,
+                       auto_push, cap_bytes)
+
+
+def snapshot_of(
+    figures: DataFrame, staged: DataFrame, partitions: DataFrame, plan: DataFrame,
+    position: Column, now: Column, paused: bool = False, auto_push: bool = True,
+    cap_bytes: int = DEFAULTS.disk_cap_bytes,
+) -> DataFrame:
+    """The same from ``figures`` of the ledger, of ``item_figures`` or ``counters.figures``."""
     cap = F.lit(cap_bytes).cast("long")
     due_now = due(partitions, now).agg(F.count("*").alias("due"))
-    facts = item_figures(items).select(
+    facts = figures.select(
         F.struct("*").alias("stats"),
         filesystem_bytes(staged).scalar().alias("filesystem_bytes"),
         _row(plan_progress(plan, position)).alias("plan"),

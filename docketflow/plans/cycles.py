@@ -11,16 +11,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketflow.operators import (
-    admission, batches, delivery, partitions, reports, transitions,
+    admission, batches, counters, delivery, partitions, reports, transitions,
 )
 from docketflow.operators.arrival import with_arrival_ids
 from docketflow.operators.insertion import new_items
-from docketflow.operators.keyed import last_per_key, patch
+from docketflow.operators.keyed import patch
 from docketflow.plans import discovery
 from docketflow.session import settle
 from docketflow.settings import DEFAULTS, Limits
 from docketflow.sources.sinks import new_events, write_payloads
-from docketflow.sources.store import TableStore
+from docketflow.sources.store import TableStore, conform
+
+
+def change_items(store: TableStore, before: DataFrame, after: DataFrame) -> None:
+    """Put the rows ``after`` in place of ``before`` and add what that changes to the counts.
+
+    ``recount`` restores the counts should a job be lost between the two writes.
+    """
+    counts = settle(counters.change(before, after))
+    store.update("items", after)
+    store.append("item_counts", counts)
+
+
+def recount(store: TableStore) -> None:
+    """Count the whole ledger anew."""
+    store.replace("item_counts", settle(counters.summed(counters.cells(store.read("items")))))
+
+
+def compact_counts(store: TableStore) -> None:
+    """Sum all changes of the counts into one row per cell."""
+    store.replace("item_counts", settle(counters.summed(store.read("item_counts"))))
 
 
 def insert_found(store: TableStore, found: DataFrame, now: Column) -> DataFrame:
@@ -30,19 +50,19 @@ def insert_found(store: TableStore, found: DataFrame, now: Column) -> DataFrame:
     fresh = new_items(ledger, ordered, "ord").drop("ord")
     numbered = settle(with_arrival_ids(fresh, ["prefix", "s3_key"], ledger, "id"))
     store.append("items", numbered.withColumn("discovered_at", now))
+    store.append("item_counts", counters.change(None, conform(numbered, "items")))
     return numbered
 
 
 def scan(
     store: TableStore, targets: DataFrame, objects: DataFrame, hc_metadata: DataFrame,
     sc_metadata: DataFrame, court_dim: DataFrame, now: Column,
-    errors: DataFrame | None = None, limits: Limits = DEFAULTS,
-    listed_before: DataFrame | None = None,
+    errors: DataFrame | None = None, limits: Limits = DEFAULTS, batch: int | None = None,
 ) -> DataFrame:
     """Discover all targets in one job, insert what is new, and record every partition.
 
-    When ``objects`` are only a part of their partitions, ``listed_before`` names everything
-    listed so far (prefix, s3_key), and the partitions are recorded with their true totals.
+    When ``objects`` are only a part of their partitions, ``batch`` is its number, ``fresh`` tells
+    which of them no part before listed, and the partitions are recorded with the totals of all.
     """
     listed = discovery.in_targets(objects, targets)
     found = settle(discovery.discover(
@@ -50,12 +70,13 @@ def scan(
         discovery.metadata_in_targets(sc_metadata, targets), court_dim, limits))
     queued = insert_found(store, found, now)
     summary = settle(discovery.scan_summary(targets, listed, found, queued, errors))
-    if listed_before is None:
+    if batch is None:
         results = summary.select("prefix", "source", F.col("seen").alias("found"), "queued")
     else:
-        results = discovery.partition_totals(
-            summary, listed.select("prefix", "s3_key").unionByName(listed_before),
-            store.read("items"))
+        part = listed.select("prefix", "source", "s3_key", "fresh")
+        results = settle(counters.merged_counts(
+            store.read("partition_totals"), counters.by_batch(part, store.read("items"), batch)))
+        store.update("partition_totals", results)
     store.replace("scanned_partitions",
                   partitions.mark_scanned(store.read("scanned_partitions"), results, now))
     log(store, discovery.scan_events(summary), now, ["prefix", "line"], limits)
@@ -106,7 +127,7 @@ def claim_downloads(
     items = store.read("items")
     ids = settle(admission.claim_for_download(items, cap_bytes, limit))
     claimed = items.join(ids, "id", "left_semi")
-    store.update("items", patch(claimed, admission.claimed_as(ids, "downloading"), "id"))
+    change_items(store, claimed, patch(claimed, admission.claimed_as(ids, "downloading"), "id"))
     return claimed
 
 
@@ -119,7 +140,7 @@ def record_downloads(store: TableStore, staged: DataFrame, now: Column) -> None:
     moving = items.where(F.col("status") == "downloading")
     manifest = settle(transitions.staged_manifest(moving, staged, batch))
     arrived = moving.join(manifest, "id", "left_semi")
-    store.update("items", transitions.mark_downloaded(arrived, manifest, now))
+    change_items(store, arrived, transitions.mark_downloaded(arrived, manifest, now))
 
 
 def fail_downloads(
@@ -137,13 +158,13 @@ def fail_downloads(
                 F.lit(None).cast("long").alias("document_id"), "message",
                 F.lit("discovered").alias("retry_state")))
     touched = active.join(outcomes.select(F.col("item_id").alias("id")), "id", "left_semi")
-    store.update("items", transitions.apply_outcomes(touched, outcomes, now, limits))
+    change_items(store, touched, transitions.apply_outcomes(touched, outcomes, now, limits))
 
 
 def retry_failed_items(store: TableStore) -> None:
     """Give every failed row its tries back, at the stage its kept file allows."""
     failed = store.read("items").where(F.col("status") == "failed")
-    store.update("items", transitions.retry_failed(failed))
+    change_items(store, failed, transitions.retry_failed(failed))
 
 
 def retry_parked_partitions(store: TableStore) -> None:
@@ -161,32 +182,32 @@ def claim_uploads(
     """
     items = store.read("items")
     ids = settle(admission.claim_for_upload(items, limit))
-    claimed = patch(items.join(ids, "id", "left_semi"),
-                    admission.claimed_as(ids, "uploading"), "id")
     waiting = items.where(F.col("status") == "uploading")
+    chosen = items.join(ids, "id", "left_semi")
+    claimed = patch(chosen, admission.claimed_as(ids, "uploading"), "id").withColumn(
+        "claims", F.col("claims") + 1)
     gone = transitions.requeue_vanished(waiting, staged).where(F.col("status") == "discovered")
-    store.update("items", transitions.requeue_vanished(claimed, staged).unionByName(gone))
-    sending = store.read("items").where(F.col("status") == "uploading").join(
-        ids, "id", "left_semi")
-    write_payloads(delivery.payloads(sending), payload_dir)
+    after = settle(transitions.requeue_vanished(claimed, staged).unionByName(gone))
+    change_items(store, items.join(after.select("id"), "id", "left_semi"), after)
+    sending = after.where(F.col("status") == "uploading")
+    write_payloads(delivery.payloads(sending, "claims"), payload_dir)
     return sending
 
 
 def apply_responses(
     store: TableStore, responses: DataFrame, now: Column, limits: Limits = DEFAULTS
 ) -> DataFrame:
-    """Apply (item_id, http_status, body, seq) to rows being uploaded and close full batches.
+    """Apply (item_id, claim, http_status, body, seq) to rows being uploaded and close full batches.
 
-    The last response of an item counts.  Rows no longer uploading are left alone, so a batch
-    of responses delivered twice changes nothing the second time.  Returns the halt signal.
+    A response answers one claim of its item, and only that of the present claim counts, the last
+    one by ``seq``.  So a response delivered twice, or late, after the item was claimed again,
+    changes nothing.  Returns the halt signal.
     """
-    latest = last_per_key(responses, ["item_id"], "seq").select("item_id", "last.*")
     items = store.read("items")
     active = items.where(F.col("status") == "uploading")
-    outcomes = settle(delivery.classify(latest).join(
-        active.select(F.col("id").alias("item_id")), "item_id", "left_semi"))
+    outcomes = settle(delivery.classify(delivery.answered(active, responses)))
     touched = active.join(outcomes.select(F.col("item_id").alias("id")), "id", "left_semi")
-    store.update("items", transitions.apply_outcomes(touched, outcomes, now, limits))
+    change_items(store, touched, transitions.apply_outcomes(touched, outcomes, now, limits))
     close_batches(store, now)
     return delivery.auth_halt(outcomes)
 
@@ -204,4 +225,5 @@ def recover(store: TableStore, staged: DataFrame) -> DataFrame:
     """After a crash: rewind rows in flight; returns the staged files nobody claims."""
     inflight = store.read("items").where(F.col("status").isin("downloading", "uploading"))
     store.update("items", transitions.reset_inflight(inflight, staged))
+    recount(store)
     return transitions.orphans(store.read("items"), staged)

@@ -11,7 +11,6 @@ from docketflow.operators.catalogue import TARGET, partition_prefix
 from docketflow.operators.metadata_index import hc_index, sc_index
 from docketflow.schemas import DISCOVERED
 from docketflow.settings import DEFAULTS, Limits
-from docketflow.sources.listing import place_objects
 
 # What a row says when its metadata is silent.
 HC_LINK = "https://judgments.ecourts.gov.in/"
@@ -180,23 +179,6 @@ def scan_summary(
     return out.select("prefix", "source", *counts, "metadata_error")
 
 
-def partition_totals(summary: DataFrame, listed: DataFrame, ledger: DataFrame) -> DataFrame:
-    """(prefix, source, found, queued) of the partitions of ``summary``, listed in parts.
-
-    ``found`` counts the distinct keys of ``listed`` (prefix, s3_key), ``queued`` the rows that
-    the ledger holds.
-    """
-    named = summary.select("prefix", "source")
-    found = listed.join(named, "prefix", "left_semi").distinct().groupBy("prefix").agg(
-        F.count("*").alias("found"))
-    held = place_objects(ledger.select("bucket", "s3_key", "bytes")).select(
-        partition_prefix().alias("prefix"))
-    queued = held.join(named, "prefix", "left_semi").groupBy("prefix").agg(
-        F.count("*").alias("queued"))
-    return named.join(found, "prefix", "left").join(queued, "prefix", "left").select(
-        "prefix", "source", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("found", "queued")])
-
-
 def scan_events(summary: DataFrame) -> DataFrame:
     """Log lines of a scan: a warning where metadata failed, then the counts."""
     warned = summary.where(F.col("metadata_error").isNotNull()).select(

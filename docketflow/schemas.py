@@ -19,7 +19,7 @@ ITEMS = _struct(
     ("parties", _S), ("outcome", _S), ("language", _S), ("source_url", _S),
     ("cnr", _S), ("status", _S), ("local_path", _S), ("attempts", _I), ("error", _S),
     ("document_id", _L), ("batch_id", _L), ("discovered_at", _TS),
-    ("downloaded_at", _TS), ("pushed_at", _TS),
+    ("downloaded_at", _TS), ("pushed_at", _TS), ("claims", _L),
 )
 BATCHES = _struct(
     ("id", _L), ("opened_at", _TS), ("closed_at", _TS), ("pushed_at", _TS), ("status", _S),
@@ -30,20 +30,32 @@ PARTITIONS = _struct(
 )
 EVENTS = _struct(("id", _L), ("at", _TS), ("level", _S), ("message", _S), ("item_id", _L))
 META = _struct(("key", _S), ("value", _S))
+COUNTS = _struct(("source", _S), ("status", _S), ("size", _L), ("n", _L), ("bytes", _L))
+TOTALS = _struct(
+    ("prefix", _S), ("source", _S), ("found", _L), ("queued", _L), ("batch", _L),
+)
+PLAN = _struct(
+    ("pos", _L), ("prefix", _S), ("source", _S), ("year", _I), ("court", _S), ("bench", _S),
+)
 
 TABLES = {
     "items": ITEMS, "batches": BATCHES, "scanned_partitions": PARTITIONS,
-    "events": EVENTS, "meta": META,
+    "events": EVENTS, "meta": META, "plan": PLAN,
+    "item_counts": COUNTS, "partition_totals": TOTALS,
 }
 
 # Defaults given to a column that an older table lacks (see sources.store.conform).
 DEFAULTS = {
-    "items": {"bytes": 0, "language": "en", "status": "discovered", "attempts": 0},
+    "items": {"bytes": 0, "language": "en", "status": "discovered", "attempts": 0,
+              "claims": 0},
     "batches": {"status": "open"},
     "scanned_partitions": {"found": 0, "queued": 0, "status": "done", "attempts": 0,
                            "next_attempt_at": "1970-01-01T00:00:00Z"},
     "events": {},
     "meta": {},
+    "plan": {},
+    "item_counts": {},
+    "partition_totals": {},
 }
 
 # Columns a discovery job emits, in ledger order.

@@ -10,8 +10,9 @@ from docketflow.operators.keyed import overlaid
 from docketflow.schemas import DEFAULTS, TABLES
 
 #: What identifies a row of the tables that take ``update``.
-KEYS = {"items": "id", "batches": "id", "scanned_partitions": "prefix", "meta": "key"}
-#: Change folders after which the next update writes the table as one new version.
+KEYS = {"items": "id", "batches": "id", "scanned_partitions": "prefix", "meta": "key",
+        "partition_totals": "prefix"}
+#: Folders of either kind after which the next call writes the table as one new version.
 MOST_STEPS = 50
 
 
@@ -29,6 +30,12 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     ])
 
 
+def exists(spark: SparkSession, name: str) -> bool:
+    """Whether there is a file or folder of this name, in whatever store it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 class TableStore:
     """Ledger tables below one folder.
 
@@ -118,8 +125,11 @@ class TableStore:
         writer.parquet(self._dir(table, version))
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Add rows of new keys."""
+        """Add rows of new keys; the call after ``MOST_STEPS`` others folds them, as in ``update``."""
         versions = self._versions(table)
+        if versions and len(self._steps(table, "added", versions[-1])) >= MOST_STEPS:
+            self.replace(table, self.read(table))
+            versions = self._versions(table)
         if versions:
             self._write_step(table, "added", df, versions[-1])
         else:

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docketflow.operators.catalogue import TARGET, partition_prefix
+from docketflow.operators.catalogue import TARGET
 from docketflow.operators.reports import recent_events
 from docketflow.plans.cycles import retry_due, scan
 from docketflow.schemas import INVENTORY
 from docketflow.sources.courts import court_dimension
 from docketflow.sources.listing import place_objects
-from docketflow.sources.store import TableStore
+from docketflow.sources.store import TableStore, exists
 
 # Metadata for a list of years; reading by year prunes whole directories.
 MetadataReader = Callable[[list[int]], DataFrame]
@@ -29,20 +29,6 @@ def moment() -> Column:
     return F.timestamp_micros(F.lit(int(time.time() * 1_000_000)))
 
 
-def _listed(objects: DataFrame, log: str, batch: int, years: list[int]) -> DataFrame:
-    """(prefix, s3_key) of all that micro-batches up to this one listed in ``years``.
-
-    A micro-batch writes its keys to its own folder, so a replay writes the same folder again,
-    and reading is pruned to the years.
-    """
-    objects.select(partition_prefix().alias("prefix"), "s3_key", "year").write.mode(
-        "overwrite").partitionBy("year").parquet(f"{log}/batch={batch}")
-    rows = objects.sparkSession.read.option("basePath", log).schema(
-        "prefix string, s3_key string, batch long, year int").parquet(log)
-    return rows.where((F.col("batch") <= batch) & F.col("year").isin(years)).select(
-        "prefix", "s3_key")
-
-
 def _years(objects: DataFrame) -> list[int]:
     """Years of a micro-batch: at most one per calendar year of the collections."""
     return sorted(r.year for r in objects.select("year").distinct().collect())
@@ -56,29 +42,36 @@ def stream_discovery(
 ) -> StreamingQuery:
     """Discover the objects of every inventory file that appears.
 
-    No state is kept in the stream.  A micro-batch replayed after a failure finds its rows in
-    the ledger and inserts nothing, so the ledger's own keys make the stream exactly-once.  The
-    keys listed so far are kept beside the checkpoint, and a partition that arrives in several
-    files is recorded with the objects and the ledger rows of all of them.
+    The stream's state holds the time at which each key was first listed, so that a micro-batch
+    knows which of its keys are new without reading any earlier one; for very many keys let Spark
+    keep state in RocksDB.  A replayed micro-batch has the same time, finds its rows in the ledger
+    and inserts nothing.  Totals of partitions that come in several files are added up by
+    micro-batch, each counted once; they belong to the checkpoint, and a new one begins them anew.
     """
-    log = f"{checkpoint.rstrip('/')}-listed"
+    if not exists(spark, checkpoint):
+        store.replace("partition_totals", store.read("partition_totals").limit(0))
 
-    def ingest(keys: DataFrame, batch: int) -> None:
-        objects = place_objects(keys).persist()
+    def ingest(objects: DataFrame, batch: int) -> None:
+        objects = objects.persist()
         try:
             years = _years(objects)
             if years:
                 scan(store, objects.select(*TARGET).distinct(), objects, hc_metadata(years),
-                     sc_metadata(years), court_dimension(keys.sparkSession), clock(),
-                     metadata_errors(years) if metadata_errors else None,
-                     listed_before=_listed(objects, log, batch, years))
+                     sc_metadata(years), court_dimension(spark), clock(),
+                     metadata_errors(years) if metadata_errors else None, batch=batch)
         finally:
             objects.unpersist()
 
     keys = spark.readStream.schema(INVENTORY).option("maxFilesPerTrigger", max_files).parquet(
         inventory_dir)
+    placed = place_objects(keys)
+    same = [c for c in placed.columns if c != "bytes"]
+    seen = placed.withColumn("listed_at", F.current_timestamp()).groupBy(*same).agg(
+        F.max("bytes").alias("bytes"), F.min("listed_at").alias("first"))
+    marked = seen.select(*placed.columns, (F.col("first") == F.current_timestamp()).alias("fresh"))
     return (
-        keys.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
+        marked.writeStream.outputMode("update").foreachBatch(ingest)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
 

@@ -58,7 +58,6 @@ def test_admission_matches_brute_force(spark, seed, monkeypatch):
             for i, s in enumerate(["downloading", "downloaded", "uploading", "failed", "pushed"])]
     ledger = items(spark, held + [
         {"id": i, "bytes": b, "status": "discovered"} for i, b in sizes]).cache()
-    monkeypatch.setattr(admission, "BUCKET_IDS", 97)
     for budget, limit in [(900, 8), (5000, 40), (0, 8), (-5, 8), (30, 500), (20_000, 200)]:
         want = greedy(sizes, budget, limit)
         cap = budget + 400
@@ -66,12 +65,27 @@ def test_admission_matches_brute_force(spark, seed, monkeypatch):
             ledger, cap, limit).collect()) == want
         if budget > 0:
             with monkeypatch.context() as m:
-                m.setattr(admission, "FOLD_LIMIT", 0)
+                m.setattr(admission, "CHUNK", 7)
                 got = admission.claim_for_download(ledger, cap, limit)
                 assert sorted(r.id for r in got.collect()) == want
         assert sum(dict(sizes)[i] for i in want) + 400 <= max(cap, 400)
 
 
+def test_admission_of_alternating_sizes_is_one_fold(spark):
+    sizes = [(i, 1 if i % 2 else 900) for i in range(1, 60_001)]
+    ledger = items(spark, [{"id": i, "bytes": b, "status": "discovered"} for i, b in sizes]).cache()
+    ledger.count()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("admission", "admission")
+    try:
+        got = sorted(r.id for r in admission.claim_for_download(ledger, 40_000, 30_000).collect())
+        jobs = tracker.getJobIdsForGroup("admission")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == greedy(sizes, 40_000, 30_000)
+    assert len(jobs) <= 6  # the sum, the sorted queue, chunks, the fold; none per skipped row
+
+
 def test_upload_claim_and_patch(spark):
     ledger = items(spark, [{"id": i, "status": "downloaded" if i % 2 else "pushed"}
                            for i in range(20)])
@@ -260,10 +274,9 @@ def replay(events, max_attempts=3):
     return tuple(s) if s else None
 
 
-@pytest.mark.parametrize("segment_rows,block", [(100_000, 1000), (7, 1000), (5, 3)])
-def test_lifecycle_matches_replay(spark, segment_rows, block, monkeypatch):
-    monkeypatch.setattr(lifecycle, "BLOCK", block)
-    rng = random.Random(segment_rows)
+@pytest.mark.parametrize("bucket_s,parts", [(None, 8), (7, 8), (2, 41)])
+def test_lifecycle_matches_replay(spark, bucket_s, parts):
+    rng = random.Random(parts)
     weights = [1, 2, 3, 2, 1, 1, 6, 3]
     rows, histories = [], {}
     for item in range(60):
@@ -273,8 +286,12 @@ def test_lifecycle_matches_replay(spark, segment_rows, block, monkeypatch):
         rows += [(item, t // 3, t, k) for t, k in enumerate(kinds)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "item_id long, ts long, event_id long, kind string")
-    got = {r.item_id: (r.status, r.attempts, r.has_file)
-           for r in lifecycle.lifecycle(df, segment_rows=segment_rows).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r.item_id: (r.status, r.attempts, r.has_file)
+               for r in lifecycle.lifecycle(df, bucket_s=bucket_s).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
     want = {i: replay(k) for i, k in histories.items() if replay(k)}
     assert got == want
 

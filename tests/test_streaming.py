@@ -7,8 +7,8 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from docketflow.operators import lifecycle, reports
-from docketflow.plans import cycles
+from docketflow.operators import counters, lifecycle, reports, status
+from docketflow.plans import cycles, feed
 from docketflow.sources.store import TableStore
 from docketflow.streaming import discovery, lifecycle as stream
 
@@ -68,6 +68,8 @@ def test_discovery_stream_equals_batch_and_is_idempotent(spark, tmp_path, store)
     assert store.read("items").count() == 3
     part = store.read("scanned_partitions").first()
     assert (part.status, part.found, part.queued) == ("done", 4, 3)
+    total = store.read("partition_totals").first()
+    assert (total.found, total.queued) == (4, 3)
     ids = [r.id for r in store.read("events").orderBy("id").collect()]
     assert ids == [1, 2, 3]
 
@@ -100,6 +102,113 @@ def test_failures_and_retries_by_cycles(spark, tmp_path, store):
     assert after[1] == after[2] == ("discovered", 0) and len(after) == 40
 
 
+def target_rows(spark, *benches):
+    return spark.createDataFrame(
+        [("hc", 2024, "9_13", b) for b in benches], "source string, year int, court string, bench string")
+
+
+def test_walk_goes_on_past_an_unreadable_partition(spark, tmp_path, store):
+    from docketflow.plans import walk
+    from docketflow.sources import listing
+    from docketflow.sources.courts import court_dimension
+    hc, sc = readers(spark)
+    root = tmp_path / "bucket"
+    court = root / "data/pdf/year=2024/court=9_13"
+    for bench in "abd":
+        (court / f"bench={bench}").mkdir(parents=True)
+        for name in ("1.pdf", "2.pdf"):
+            (court / f"bench={bench}" / name).write_bytes(b"x" * 5000)
+    (court / "bench=c").write_bytes(b"not a folder")  # cannot be listed
+
+    def lister(targets):
+        return listing.list_targets(targets, str(root), str(root))
+
+    def go(job, at):
+        return job(store, lister, hc([2024]), sc([]), court_dimension(spark), now(at))
+
+    def step(at):
+        return walk.walk(store, lister, hc([2024]), sc([]), court_dimension(spark), now(at), size=3)
+
+    assert walk.install(store, target_rows(spark, *"abcde")) == 5
+    assert walk.cursor(store) == 0
+    seen = {r.prefix[-1]: (r.seen, r.queued) for r in step(0).collect()}
+    assert seen == {"a": (2, 2), "b": (2, 2)} and walk.cursor(store) == 3
+    parts = {r.prefix[-1]: r for r in store.read("scanned_partitions").collect()}
+    assert {k: (r.status, r.attempts) for k, r in parts.items()} == {
+        "a": ("done", 0), "b": ("done", 0), "c": ("pending", 1)}
+    assert "bench=c" in parts["c"].error
+    assert {r.level for r in store.read("events").collect()} == {"info", "warn"}
+    # Planning again drops what is done and appends nothing that is there; the walk goes on.
+    assert walk.install(store, target_rows(spark, *"abcde"), replace=False) == 0
+    assert {r.prefix[-1]: r.seen for r in step(1).collect()} == {"d": 2, "e": 0}
+    assert step(2) is None and walk.cursor(store) == 5
+    # The plan is walked, the failed partition still owed its tries.
+    assert go(walk.retry, 30) is None
+    for tries, at in ((2, 61), (3, 1000), (4, 3000)):
+        assert go(walk.retry, at).count() == 0
+        left = store.read("scanned_partitions").where("prefix LIKE '%bench=c'").first()
+        assert (left.attempts, left.status) == (tries, "failed" if tries == 4 else "pending")
+    assert store.read("events").where("level = 'error'").count() == 1
+    (court / "bench=c").unlink()
+    (court / "bench=c").mkdir()
+    (court / "bench=c" / "9.pdf").write_bytes(b"x" * 5000)
+    cycles.retry_parked_partitions(store)
+    assert go(walk.retry, 9000).first().queued == 1
+    assert store.read("items").count() == 7
+
+
+def test_partitions_begun_but_lost_are_owed_a_scan(spark, store):
+    from docketflow.operators import partitions
+    from docketflow.plans import walk
+    targets = target_rows(spark, "a", "b")
+    done = partitions.mark_scanned(store.read("scanned_partitions"), spark.createDataFrame(
+        [("hc/year=2024/court=9_13/bench=a", "hc", 1, 1)], "prefix string, source string, found long, queued long"),
+        now())
+    after = walk.begun(done, targets, now())
+    assert {r.prefix[-1]: r.status for r in after.collect()} == {"a": "done", "b": "pending"}
+    assert [r.prefix[-1] for r in partitions.due(after, now()).collect()] == ["b"]
+
+
+def test_cap_is_told_once_per_batch(spark, store):
+    from docketflow.plans import cap
+    cells = "id long, source string, s3_key string, bytes long, status string, local_path string, batch_id long"
+    rows = [(1, "hc", "a", 90, "downloaded", "x", 1), (2, "hc", "b", 50, "discovered", None, None)]
+    store.replace("items", spark.createDataFrame(rows, cells))
+    cycles.recount(store)
+    nothing = spark.createDataFrame([], "path string, bytes long")
+
+    def look(at):
+        found = cap.check_cap(store, nothing, now(at), cap_bytes=100, auto_push=False)
+        return [(r.phase, r.batch) for r in found.collect()]
+
+    assert look(0) == [("cap-reached", 1)] and look(1) == []
+    assert [(r.id, r.status) for r in store.read("batches").collect()] == [(1, "full")]
+    assert [r.level for r in store.read("events").collect()] == ["warn"]
+    rows[0] = (1, "hc", "a", 90, "failed", "x", 1)
+    store.replace("items", spark.createDataFrame(rows, cells))
+    cycles.recount(store)
+    assert look(2) == [("cap-blocked", 1)] and look(3) == []
+    assert sorted(r.level for r in store.read("events").collect()) == ["error", "warn"]
+
+
+def test_rates_drop_events_behind_the_watermark(spark, tmp_path):
+    from docketflow.streaming.rates import event_rates, stream_rates
+    base = dt.datetime(2024, 1, 1, 12)
+
+    def rows(*minutes):
+        return spark.createDataFrame([(m, m, base + dt.timedelta(minutes=m), "x") for m in minutes], stream.EVENT)
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part in ((1, 2, 59), (61, 200), (3, 201), (400,)):
+        rows(*part).coalesce(1).write.mode("append").parquet(source)
+        events = spark.readStream.schema(stream.EVENT).parquet(source)
+        stream_rates(events, str(tmp_path / "cp"), out).awaitTermination()
+    got = {(r.window_start.hour, r.n_events) for r in spark.read.parquet(out).collect()}
+    assert got == {(12, 3), (13, 1), (15, 2)}  # minute 3 came 197 minutes late; 18:40 is still open
+    whole = {(r.window_start.hour, r.n_events) for r in event_rates(rows(1, 2, 3, 59, 61, 200, 201)).collect()}
+    assert whole == {(12, 4), (13, 1), (15, 2)}
+
+
 def test_many_updates_fold_into_a_version(spark, store, monkeypatch):
     from docketflow.sources import store as stores
     monkeypatch.setattr(stores, "MOST_STEPS", 2)
@@ -145,11 +254,11 @@ def test_whole_cycle(spark, tmp_path, store):
     ids = sorted(r.id for r in sending.collect())
     assert len(ids) == 4
     assert spark.read.json(str(tmp_path / "payloads")).count() == 4
-    answers = [(ids[0], 201, '{"data": {"id": 5}}', 1), (ids[1], 409, "dup", 1),
-               (ids[2], 500, "x", 1), (ids[3], 401, "no", 1), (ids[0], 201,
-                                                                '{"data": {"id": 6}}', 2)]
+    answers = [(ids[0], 1, 201, '{"data": {"id": 5}}', 1), (ids[1], 1, 409, "dup", 1),
+               (ids[2], 1, 500, "x", 1), (ids[3], 1, 401, "no", 1),
+               (ids[0], 1, 201, '{"data": {"id": 6}}', 2)]
     responses = spark.createDataFrame(
-        answers, "item_id long, http_status int, body string, seq long")
+        answers, "item_id long, claim long, http_status int, body string, seq long")
     halt = cycles.apply_responses(store, responses, now()).first()
     assert halt.halt
     after = {r.id: r for r in store.read("items").collect()}
@@ -159,6 +268,25 @@ def test_whole_cycle(spark, tmp_path, store):
     cycles.apply_responses(store, responses, now(5))
     assert sorted(map(str, store.read("items").collect())) == snapshot
     assert store.read("batches").first().status == "open"
+    # A late failure of the first claim, after the row was claimed again, counts for nothing.
+    again = cycles.claim_uploads(store, files, str(tmp_path / "payloads"), limit=1)
+    assert [(r.id, r.claims) for r in again.collect()] == [(ids[2], 2)]
+    assert {r.claims for r in spark.read.json(str(tmp_path / "payloads")).collect()} == {1, 2}
+    late = spark.createDataFrame([(ids[2], 1, 500, "x", 8), (ids[2], 1, 503, "x", 9)], responses.schema)
+    cycles.apply_responses(store, late, now(6))
+    row = store.read("items").where(F.col("id") == ids[2]).first()
+    assert (row.status, row.attempts) == ("uploading", 1)
+    cycles.apply_responses(store, late.withColumn("claim", F.lit(2).cast("long")), now(7))
+    row = store.read("items").where(F.col("id") == ids[2]).first()
+    assert (row.status, row.attempts) == ("downloaded", 2)
+    # All along, the counted changes agree with the ledger.
+    figures = status.item_figures(store.read("items")).first().asDict()
+    assert counters.figures(store.read("item_counts")).first().asDict() == figures
+    cycles.compact_counts(store)
+    assert counters.figures(store.read("item_counts")).first().asDict() == figures
+    shown = feed.report(store, files, now(8))
+    assert shown.first().stats.asDict() == figures
+    assert not any("/items/" in name for name in shown.inputFiles())
     orphaned = cycles.recover(store, files)
     assert orphaned.count() == 2
 
@@ -223,17 +351,36 @@ def test_lifecycle_stream_equals_batch_with_late_and_repeated_events(spark, tmp_
     first = [r for r in rows[:150] if r not in late]
     third = rows[300:] + late + rng.sample(rows[:200], 20)
     source, root = str(tmp_path / "in"), str(tmp_path / "state")
-    table = stream.StateTable(spark, root)
+    table = stream.StateTable(spark, root, bucket_s=60)
+    assert table.state().count() == 0
     for part in (first, rows[150:300], third):
         spark.createDataFrame(part, stream.EVENT).coalesce(1).write.mode("append").parquet(source)
         events = spark.readStream.schema(stream.EVENT).parquet(source)
         query = stream.stream_lifecycle(events, str(tmp_path / "cp"), table)
         query.awaitTermination()
     batch = lifecycle.lifecycle(spark.createDataFrame(rows, stream.EVENT))
-    assert states(table.state(2)) == states(batch)
+    assert states(table.state()) == states(batch)
+    some = spark.createDataFrame([(3,), (5,), (99,)], "item_id long")
+    assert states(table.state(some)) == {k: v for k, v in states(batch).items() if k in (3, 5)}
     # A replay of the last micro-batch writes the same state.
     table.apply(spark.createDataFrame(third, stream.EVENT), 2)
-    assert states(table.state(2)) == states(batch)
+    assert states(table.state()) == states(batch)
+
+
+def test_a_late_event_rewrites_its_bucket_alone(spark, tmp_path):
+    table = stream.StateTable(spark, str(tmp_path / "state"), bucket_s=60)
+    rows = event_rows(random.Random(5), 4, 400)
+    table.apply(spark.createDataFrame(rows, stream.EVENT), 0)
+    folder = tmp_path / "state/segments"
+    before = {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+    base = dt.datetime(2024, 1, 1)
+    table.apply(spark.createDataFrame([(1, 9_000, base + dt.timedelta(seconds=61), "failed")], stream.EVENT), 1)
+    after = {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+    changed = {p.parent.name for p, _ in set(before.items()) ^ set(after.items())}
+    assert len({p.parent.name for p in after}) == 4 and len(changed) == 1
+    longer = lifecycle.lifecycle(spark.createDataFrame(
+        [*rows, (1, 9_000, base + dt.timedelta(seconds=61), "failed")], stream.EVENT))
+    assert states(table.state()) == states(longer)
 
 
 def test_delivery_stream(spark, tmp_path, store):
@@ -242,7 +389,7 @@ def test_delivery_stream(spark, tmp_path, store):
         "id long, source string, s3_key string, status string, local_path string")
     store.replace("items", ledger)
     source = str(tmp_path / "responses")
-    answers = [(1, 201, '{"data": {"id": 5}}', 1), (2, 503, "busy", 1)]
+    answers = [(1, 0, 201, '{"data": {"id": 5}}', 1), (2, 0, 503, "busy", 1), (3, 7, 400, "other claim", 1)]
     for _ in range(2):
         spark.createDataFrame(answers, stream.RESPONSE).coalesce(1).write.mode("append").parquet(
             source)
