@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -28,6 +29,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 MAGIC = b"\x1f\x8b\x08"
 
 RANGE_BYTES, FILE_BYTES, READ_BYTES = 16 << 20, 1 << 30, 1 << 18
+#: A header is looked for in so many decoded bytes; its first line names a version.
+HEADER_BYTES = 1 << 16
+FIRST_LINE = re.compile(rb"WARC/1\.[0-9]+\r\n")
 PAGE_SPACE = 0x5D0C4E7F10B842A39C6B0F21  # upper bits of the record ids of pages
 DATE = "2000-01-01T00:00:00Z"
 
@@ -164,13 +168,19 @@ class _Member:
         self.data += self.unpacker.decompress(raw, most)
         return True
 
-    def is_record(self) -> bool:
+    def header(self) -> dict[str, str] | None:
+        """The fields of a whole WARC header, or None if the member does not begin with one."""
         try:
-            while len(self.data) < 7 and self.more(1 << 12, 64):
+            while b"\r\n\r\n" not in self.data and len(self.data) < HEADER_BYTES and self.more(1 << 12, 1 << 10):
                 pass
         except zlib.error:
-            return False
-        return self.data.startswith(b"WARC/1.")
+            return None
+        head, end, _ = bytes(self.data).partition(b"\r\n\r\n")
+        if not end or not FIRST_LINE.match(bytes(self.data)):
+            return None
+        fields = header_fields(head)
+        named = fields.get("warc-type") and fields.get("warc-record-id")
+        return fields if named and fields.get("content-length", "").isdigit() else None
 
     def whole(self) -> int:
         """Decode to the end; returns where the next member can start."""
@@ -181,9 +191,16 @@ class _Member:
         return self.read_to - len(self.unpacker.unused_data)
 
 
-def members(source, size: int, lo: int, hi: int) -> Iterator[tuple[int, bytes]]:
-    """(position, record) of the records that start in [lo, hi) of a file."""
+def spans(source, size: int, lo: int, hi: int) -> Iterator[tuple[int, bytes | None, str | None]]:
+    """(position, record, None) of the records that start in [lo, hi) of a file, and
+    (position, None, reason) of what stands where a record should.
+
+    Records follow each other without a gap.  Each end is therefore the start of a record or the
+    end of the file; what else is there is reported once, by the range that owns the record before
+    it, and reading goes on at the next member with a valid header.
+    """
     at, held, begin = lo, b"", lo
+    due = 0 if lo == 0 else None  # where the next record must start, if that is known
     while at < hi:
         found = held.find(MAGIC, at - begin)
         if found < 0:  # read on; magic bytes may lie across the end of what is held
@@ -191,31 +208,51 @@ def members(source, size: int, lo: int, hi: int) -> Iterator[tuple[int, bytes]]:
             source.seek(at)
             held, begin = source.read(min(READ_BYTES, max(0, min(size, hi + len(MAGIC) - 1) - at))), at
             if len(held) < len(MAGIC):
-                return
+                break
             if held.find(MAGIC) < 0 and begin + len(held) >= min(size, hi + len(MAGIC) - 1):
-                return
+                break
             continue
         at = begin + found
         if at >= hi:
-            return
+            break
         member = _Member(source, at)
-        if not member.is_record():
+        if member.header() is None:
             at += 1
             continue
-        after = member.whole()
-        yield at, bytes(member.data)
-        at = after
+        if due is not None and at != due:
+            yield due, None, f"{at - due} bytes are no record"
+        try:
+            after = member.whole()
+        except EOFError as exc:
+            yield at, None, str(exc)
+            return
+        except zlib.error as exc:
+            yield at, None, f"the record can't be decoded: {exc}"
+            due, at = None, at + 1
+            continue
+        yield at, bytes(member.data), None
+        due = at = after
         if not begin <= at <= begin + len(held):
             held, begin = b"", at
+    if due is not None and due < size and (due < hi or _Member(source, due).header() is None):
+        yield due, None, "bytes after a record are no record"
+
+
+def members(source, size: int, lo: int, hi: int) -> Iterator[tuple[int, bytes]]:
+    """(position, record) of the records alone."""
+    return ((at, data) for at, data, reason in spans(source, size, lo, hi) if reason is None)
+
+
+def header_fields(head: bytes) -> dict[str, str]:
+    """Fields by lower-case name."""
+    lines = (line.partition(":") for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+    return {name.strip().lower(): value.strip() for name, _, value in lines}
 
 
 def parsed(data: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields, by lower-case name, and the block of a record."""
     end = data.index(b"\r\n\r\n")
-    fields = {}
-    for line in data[:end].decode("utf-8", "replace").split("\r\n")[1:]:
-        name, _, value = line.partition(":")
-        fields[name.strip().lower()] = value.strip()
+    fields = header_fields(data[:end])
     size = int(fields["content-length"])
     block = data[end + 4 : end + 4 + size]
     if len(block) != size:
@@ -237,14 +274,24 @@ _FOUND = pa.schema([
     ("path", pa.string()), ("offset", pa.int64()), ("record_type", pa.string()),
     ("record_id", pa.string()), ("target_uri", pa.string()), ("refers_to_id", pa.string()),
     ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
-    ("payload_digest", pa.string()), ("payload", pa.binary()),
+    ("payload_digest", pa.string()), ("payload", pa.binary()), ("error", pa.string()),
 ])
 _FOUND_SQL = ("path string, offset bigint, record_type string, record_id string, target_uri string, "
               "refers_to_id string, page_id bigint, refers_to bigint, payload_bytes bigint, "
-              "payload_digest string, payload binary")
+              "payload_digest string, payload binary, error string")
+
+
+def _row(path: str, at: int, data: bytes | None, reason: str | None, payloads: bool) -> dict:
+    """A record, or the reason why there is none at ``at``."""
+    try:
+        if data is not None:
+            return _record(path, at, data, payloads)
+    except (EOFError, ValueError) as exc:
+        reason = str(exc)
+    return {"path": path, "offset": at, "error": reason}
 
 
-def _row(path: str, at: int, data: bytes, payloads: bool) -> dict | None:
+def _record(path: str, at: int, data: bytes, payloads: bool) -> dict:
     fields, block = parsed(data)
     kind, declared = fields.get("warc-type"), fields.get("warc-payload-digest", "")
     size = None
@@ -257,7 +304,7 @@ def _row(path: str, at: int, data: bytes, payloads: bool) -> dict | None:
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         size = len(payload)
         if declared.startswith("sha1:") and declared[5:] != digest:
-            raise ValueError(f"the record at {at} of {path} fails its digest")
+            raise ValueError("the record fails its digest")
     urn, refers = fields.get("warc-record-id"), fields.get("warc-refers-to")
     return {"path": path, "offset": at, "record_type": kind, "record_id": urn,
             "target_uri": fields.get("warc-target-uri"), "refers_to_id": refers,
@@ -271,9 +318,9 @@ def _range_reader(payloads: bool) -> Callable:
             for r in batch.to_pylist():
                 rows, held = [], 0
                 with opened(r["path"]) as source:
-                    for at, data in members(source, r["size"], r["lo"], r["hi"]):
-                        rows.append(_row(r["path"], at, data, payloads))
-                        held += len(data) if payloads else 200
+                    for at, data, reason in spans(source, r["size"], r["lo"], r["hi"]):
+                        rows.append(_row(r["path"], at, data, reason, payloads))
+                        held += len(data or b"") if payloads else 200
                         if held > 8 << 20:
                             yield pa.RecordBatch.from_pylist(rows, _FOUND)
                             rows, held = [], 0
@@ -287,7 +334,8 @@ def read_records(files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: boo
 
     Columns as in the schema above: page ids where this module wrote the record, digests
     checked against the payload, and for revisits the digest and length that the header and the
-    HTTP block declare.  Without ``payloads`` that column is null.  An archive inside a payload that
+    HTTP block declare.  Without ``payloads`` that column is null.  What is damaged or cut gives a row
+    with path, offset and ``error`` alone, and the records after it are read.  An archive inside a payload that
     is stored without compression could look like records of its own; this writer makes none.
     """
     files = settle(files.where("size > 0"))
