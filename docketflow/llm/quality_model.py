@@ -239,7 +239,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Addi
     """Fit on at most ``rows`` labelled documents outside the held-out ones.
 
     The documents are drawn by the hash of their id, so the draw depends on nothing else.  Null
-    ids and labels are left out; of labels for one id the smallest counts.
+    ids and labels are left out; of labels for one id the smallest counts, and of texts of one id
+    the one with the least (SHA-256, text), a null text as an empty one.
     """
     known = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
@@ -247,12 +248,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Addi
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     # At most ``rows`` rows of two numbers: safe to broadcast.
-    texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(
-        "text", "doc_id", "quality")
+    named = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(known), "doc_id")
+    one = named.withColumn("hash", F.sha2("text", 256)).groupBy("doc_id", "quality").agg(
+        F.min(F.struct("hash", "text")).alias("least"))
+    texts = one.select(F.col("least.text").alias("text"), "doc_id", "quality")
     kind = docs.schema["doc_id"].dataType.simpleString()
     measured = mapped(texts, _measured, f"doc_id {kind}, quality int, "
                       + ", ".join(f"{x} double" for x in FEATURES))
-    found = measured.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    found = measured.toArrow().sort_by("doc_id")
     x = np.stack([found.column(name).to_numpy() for name in FEATURES], 1)
     return fit(x, found.column("quality").to_numpy().astype(float))
 

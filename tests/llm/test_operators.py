@@ -503,3 +503,62 @@ def test_passages_of_short_lines(spark):
     # Two words before or after the verse that others have too go with it.
     assert got[2] == "own 2\nown end" and got[6] == texts[6]
     assert all(got[i] in (f"own {i}\nown end", f"own {i}") for i in range(3, 6))
+
+
+def archive_of(bodies):
+    """Members of an archive, a record each."""
+    return [warc.record("resource", f"<urn:x:{i}>", [("Content-Type", "text/plain")], b)
+            for i, b in enumerate(bodies)]
+
+
+def rows_of(spark, tmp_path, data, step):
+    path = tmp_path / "damaged.warc.gz"
+    path.write_bytes(data)
+    files = spark.createDataFrame([(path.as_uri(), len(data))], "path string, size bigint")
+    got = warc.read_records(files, step).collect()
+    return sorted((r.offset, r.record_id, bool(r.error)) for r in got)
+
+
+@pytest.mark.parametrize("step", [64, 150, 1 << 20])
+def test_damage_is_reported_and_the_rest_is_read(spark, tmp_path, step):
+    frames.importable(spark)
+    rng = np.random.default_rng(3)
+    parts = archive_of([rng.bytes(150), rng.bytes(180), rng.bytes(200)])
+    at = np.cumsum([0, *map(len, parts)]).tolist()
+    names = [f"<urn:x:{i}>" for i in range(3)]
+    good = [(at[i], names[i], False) for i in range(3)]
+    assert rows_of(spark, tmp_path, b"".join(parts), step) == good
+    # The header of the second one, its body, and its end are damaged.
+    for lo, hi in ((10, 14), (len(parts[1]) - 60, len(parts[1]) - 56), (len(parts[1]) - 8, len(parts[1]) - 6)):
+        bad = parts[1][:lo] + bytes(255 - b for b in parts[1][lo:hi]) + parts[1][hi:]
+        got = rows_of(spark, tmp_path, parts[0] + bad + parts[2], step)
+        assert got == [good[0], (at[1], None, True), good[2]]
+    # An archive that is cut, one with something else between records, and one without records.
+    assert rows_of(spark, tmp_path, b"".join(parts)[:-30], step) == [*good[:2], (at[2], None, True)]
+    got = rows_of(spark, tmp_path, parts[0] + b"other bytes" * 9 + parts[1], step)
+    assert got == [good[0], (at[1], None, True), (at[1] + 99, names[1], False)]
+    assert rows_of(spark, tmp_path, b"nothing" * 30, step) == [(0, None, True)]
+
+
+def test_a_member_without_a_whole_header_is_no_record(spark, tmp_path):
+    import gzip
+    frames.importable(spark)
+    parts = archive_of([b"one", b"two"])
+    false = gzip.compress(b"WARC/1.0 is a file format, see the docs")
+    short = gzip.compress(b"WARC/1.0\r\nWARC-Type: resource\r\n\r\nbody")
+    got = rows_of(spark, tmp_path, parts[0] + false + short + parts[1], 1 << 20)
+    assert got == [(0, "<urn:x:0>", False), (len(parts[0]), None, True),
+                   (len(parts[0] + false + short), "<urn:x:1>", False)]
+
+
+def test_one_text_of_a_repeated_id_is_learned_from(spark):
+    frames.importable(spark)
+    rows = [(i, ("good words follow one another here " if i % 2 else "!!! ## $$ ") * (i % 9 + 3)) for i in range(40)]
+    rows += [(i, "another text of the same id " * (i % 5 + 1)) for i in range(40)] + [(3, None)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    scores = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id bigint, text string").repartition(3)
+        model = quality_model.train(docs, labels)
+        scores.append(by_id(quality_model.scored(docs, model).collect()))
+    assert scores[0] == scores[1]
