@@ -233,6 +233,13 @@ summary AS (
     count(*) FILTER (WHERE {USABLE} AND s3_key NOT IN (SELECT s3_key FROM ledger)) AS queued,
     CASE WHEN year IN (2014, 2021) THEN 'truncated' END AS metadata_error
   FROM placed GROUP BY prefix, source, year)"""
+_ISO = "regexp_matches(decision_date, '^20[0-9]{2}-')"
+sql("metadata_triage", "hc_meta", f"""
+SELECT CAST(year AS VARCHAR) AS year, court_code, CASE WHEN year = 2014 THEN 0 ELSE count(*) END AS n_rows,
+  CASE WHEN year = 2014 THEN 0 ELSE count(title) END AS n_titles,
+  CASE WHEN year = 2014 THEN NULL WHEN year % 2 = 1 THEN min(decision_date)
+    ELSE min(left(decision_date, 10)) FILTER (WHERE {_ISO}) END AS first_date, year = 2014 AS damaged
+FROM fx_hc_meta GROUP BY year, court_code""")
 sql("scan_summary", "objects", _SUMMARY + " SELECT * FROM summary")
 sql("scan_events", "objects log", _SUMMARY + f""",
 lines AS (
@@ -332,6 +339,11 @@ fresh AS (SELECT * FROM targets
 sql("plan_replace", "objects partitions", _OPEN + """
 SELECT row_number() OVER (ORDER BY source, year, court, bench) - 1 AS pos, prefix, source, year,
   court, bench FROM fresh""")
+sql("arrival_ids_in_plan", "objects partitions", _BATCH + "," + _OPEN.removeprefix("+") + f""",
+plan AS (SELECT prefix, row_number() OVER (ORDER BY source, year, court, bench) AS pos FROM fresh),
+keyed AS (SELECT i.s3_key, i.ord, {PREFIX} AS prefix FROM inserted i JOIN fx_objects o ON o.s3_key = i.s3_key)
+SELECT (SELECT max(id) FROM ledger) + row_number() OVER (ORDER BY pos NULLS LAST, prefix, ord) AS id,
+  s3_key, prefix FROM keyed LEFT JOIN plan USING (prefix)""")
 sql("plan_append", "objects partitions", _OPEN + """
 SELECT row_number() OVER (ORDER BY source, year, court, bench) - 1 AS pos, prefix, source, year,
   court, bench FROM fresh""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,9 @@ from docketflow.operators import (
 )
 from docketflow.operators.keyed import overlaid, patch
 from docketflow.plans import cap, discovery, walk
-from docketflow.session import settle
+from docketflow.schemas import HC_METADATA
+from docketflow.session import settle, shared_dir
+from docketflow.sources import metadata
 from docketflow.sources.courts import court_dimension
 from docketflow.sources.keyvalue import decoded, upsert_settings
 from docketflow.sources.sinks import new_events
@@ -158,6 +162,53 @@ def arrival_ids(spark, sf):
                                "discovered_at"), "discovered_at")
 
 
+@query
+def arrival_ids_in_plan(spark, sf):
+    """New rows numbered by the place of their partition in a plan that lacks a third of them."""
+    i = Inputs(spark, sf)
+    objects = i.fx("objects")
+    ledger, batch = _ledger_of(objects), _batch_of(objects)
+    plan = catalogue.set_plan(i.targets(), i.partitions())
+    keys = insertion.accepted_keys(ledger, batch, "ord").join(
+        objects.select("s3_key", catalogue.partition_prefix().alias("prefix")), "s3_key")
+    return insertion.numbered_in_plan(ledger, keys, plan, ["ord"]).select("id", "s3_key", "prefix")
+
+
+@query
+def metadata_triage(spark, sf):
+    """Partitions of metadata files, written in two kinds of types and some of them as other text."""
+    meta = Inputs(spark, sf).fx("hc_meta").withColumn("court_name", F.col("court"))
+    root = f"{shared_dir(spark).rstrip('/')}/metadata-{uuid.uuid4().hex}"
+    place = f"{root}/{metadata.METADATA_ROOT}"
+    parts = ["year", "court_code"]
+    dirs = {"year": "year", "court_code": "court"}
+    rows = meta.select(
+        *[F.col(c).alias(f"{dirs[c]}_dir") for c in parts], *[
+            c for c in HC_METADATA.fieldNames() if c != "court"], F.col("court_name").alias("court"))
+    odd = F.col("year_dir") % 2 == 1
+    bad = F.col("year_dir") == 2014
+    day = F.to_date(F.when(F.col("decision_date").rlike("^20[0-9]{2}-"), F.substring("decision_date", 1, 10)))
+    kinds = [rows.where(odd & ~bad), rows.where(~odd & ~bad).withColumn("decision_date", day)]
+    for kind, df in enumerate(kinds):
+        df.repartition("year_dir", "court_dir").write.partitionBy("year_dir", "court_dir").parquet(
+            f"{place}/kind={kind}")
+    rows.where(bad).repartition("year_dir", "court_dir").select(
+        "year_dir", "court_dir", F.coalesce("title", F.lit("no title")).alias("value")
+    ).write.partitionBy("year_dir", "court_dir").text(f"{place}/other")
+    files = metadata.files_below(spark, place, "part-*")
+    found, errors = metadata.triaged(files, HC_METADATA)
+
+    def where(path: str) -> list[Column]:
+        return [F.regexp_extract(path, f"/{d}_dir=([^/]+)/", 1).alias(c) for c, d in dirs.items()]
+
+    sound = found.select(*where("file_path"), "title", "decision_date").groupBy(*parts).agg(
+        F.count("*").alias("n_rows"), F.count("title").alias("n_titles"),
+        F.min("decision_date").alias("first_date"), F.lit(False).alias("damaged"))
+    broken = errors.select(*where("path")).distinct().select(
+        *parts, F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(None).cast("string"), F.lit(True))
+    return sound.unionAll(broken)
+
+
 @query
 def scan_summary(spark, sf):
     i = Inputs(spark, sf)

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from docketflow.operators import (
     admission, batches, counters, delivery, partitions, reports, transitions,
 )
-from docketflow.operators.arrival import with_arrival_ids
-from docketflow.operators.insertion import new_items
+from docketflow.operators.insertion import accepted_keys, numbered_in_plan
 from docketflow.operators.keyed import patch
 from docketflow.plans import discovery
 from docketflow.session import settle
@@ -44,13 +43,20 @@ def compact_counts(store: TableStore) -> None:
 
 
 def insert_found(store: TableStore, found: DataFrame, now: Column) -> DataFrame:
-    """Append the new rows of ``found`` to the ledger; returns them with their prefix and id."""
+    """Append the new rows of ``found`` to the ledger; returns them with their prefix and id.
+
+    Which rows are new, and their ids in the order of the stored plan, are settled on keys; the wide
+    rows are written once, into the ledger.
+    """
     ledger = store.read("items")
     ordered = found.withColumn("ord", F.struct("prefix", "s3_key", "bytes"))
-    fresh = new_items(ledger, ordered, "ord").drop("ord")
-    numbered = settle(with_arrival_ids(fresh, ["prefix", "s3_key"], ledger, "id"))
+    keys = accepted_keys(ledger, ordered, "ord").select("s3_key", "ord", F.col("ord.prefix").alias("prefix"))
+    ids = settle(numbered_in_plan(ledger, keys, store.read("plan"), ["s3_key"]).select(
+        "s3_key", "ord", "id"))
+    numbered = ordered.join(ids, ["s3_key", "ord"]).drop("ord")
+    counts = settle(counters.change(None, conform(numbered, "items")))
     store.append("items", numbered.withColumn("discovered_at", now))
-    store.append("item_counts", counters.change(None, conform(numbered, "items")))
+    store.append("item_counts", counts)
     return numbered
 
 

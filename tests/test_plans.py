@@ -74,3 +74,21 @@ def test_the_metadata_index_is_shuffled_once_for_both_lookups(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "ReusedExchange" in plan or "ReusedQueryStage" in plan
+
+
+@pytest.mark.parametrize("name", ["discover_hc", "discover_sc", "discovered_profile"])
+def test_wide_metadata_rows_are_not_aggregated(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    wide = [x for x in plan.split("\n") if "Aggregate" in x and "description" in x]
+    assert "SortAggregate" not in plan and not wide
+    assert "HashAggregate" in plan and "LeftSemi" in plan
+
+
+def test_the_status_feed_reads_no_ledger_rows(spark, tmp_path):
+    from docketflow.plans import feed
+    from docketflow.sources.store import TableStore
+    store = TableStore(spark, str(tmp_path / "ledger"))
+    store.create()
+    nothing = spark.createDataFrame([], "path string, bytes bigint")
+    plan = plan_of(feed.report(store, nothing, F.current_timestamp()))
+    assert "size:bigint,n:bigint,bytes:bigint" in plan and "s3_key" not in plan

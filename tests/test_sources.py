@@ -143,6 +143,21 @@ def test_a_file_is_read_whole_or_reported(spark, tmp_path):
     assert metadata.metadata_errors(spark, root, [1999]).count() == 0
 
 
+def test_targets_open_only_their_files(spark, tree):
+    targets = spark.createDataFrame(
+        [("hc", 2024, "9_13", "main"), ("hc", 2024, "none", "x"), ("sc", 2024, "english", None)],
+        "source string, year int, court string, bench string")
+    rows = metadata.read_hc_metadata(spark, tree[0], targets=targets)
+    assert rows.count() == 3 and len(rows.inputFiles()) == 1
+    objects, failures = listing.list_targets(targets, tree[0], tree[1])
+    assert {r.source for r in objects.collect()} == {"hc", "sc"} and failures.count() == 0
+    assert objects.where("source = 'hc'").count() == 6  # those of the one partition, no other
+    whole = listing.list_bucket(spark, tree[0], "indian-high-court-judgments")
+    mine = whole.where("year = 2024 AND court = '9_13'")
+    names = ["s3_key", "filename", "bytes", "source", "year", "court", "bench"]
+    assert sorted(objects.where("source = 'hc'").select(*names).collect()) == sorted(mine.select(*names).collect())
+
+
 def test_missing_staging_folder_is_empty(spark, tmp_path):
     assert listing.scan_staging(spark, str(tmp_path / "nowhere")).count() == 0
 
