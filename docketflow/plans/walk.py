@@ -25,6 +25,8 @@ CURSOR = "plan_pos"
 
 #: Lists targets: (objects, failures), where failures has prefix, source and error.
 Lister = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+#: Metadata rows, or what reads those of given targets.
+Metadata = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 def page(plan: DataFrame, position: Column | int, size: int | None = None) -> DataFrame:
@@ -114,7 +116,7 @@ def install(store: TableStore, targets: DataFrame, replace: bool = True) -> int:
 
 
 def walk(
-    store: TableStore, lister: Lister, hc_metadata: DataFrame, sc_metadata: DataFrame,
+    store: TableStore, lister: Lister, hc_metadata: Metadata, sc_metadata: Metadata,
     court_dim: DataFrame, now: Column, size: int | None = None, limits: Limits = DEFAULTS,
     errors: DataFrame | None = None,
 ) -> DataFrame | None:
@@ -133,7 +135,7 @@ def walk(
 
 
 def retry(
-    store: TableStore, lister: Lister, hc_metadata: DataFrame, sc_metadata: DataFrame,
+    store: TableStore, lister: Lister, hc_metadata: Metadata, sc_metadata: Metadata,
     court_dim: DataFrame, now: Column, limits: Limits = DEFAULTS, errors: DataFrame | None = None,
 ) -> DataFrame | None:
     """Scan every partition whose backoff has passed, listing only those; None when none is due."""
@@ -146,16 +148,16 @@ def retry(
 
 
 def scan_listed(
-    store: TableStore, targets: DataFrame, lister: Lister, hc_metadata: DataFrame,
-    sc_metadata: DataFrame, court_dim: DataFrame, now: Column, limits: Limits = DEFAULTS,
+    store: TableStore, targets: DataFrame, lister: Lister, hc_metadata: Metadata,
+    sc_metadata: Metadata, court_dim: DataFrame, now: Column, limits: Limits = DEFAULTS,
     errors: DataFrame | None = None,
 ) -> DataFrame:
     """List ``targets``, scan those that could be listed, and record the others as failed tries."""
     objects, failures = lister(targets)
     objects, failures = settle(objects), settle(failures)
-    summary = cycles.scan(
-        store, without(targets, failures), objects, hc_metadata, sc_metadata, court_dim, now, errors,
-        limits)
+    listed = settle(without(targets, failures))
+    hc, sc = (m(listed) if callable(m) else m for m in (hc_metadata, sc_metadata))
+    summary = cycles.scan(store, listed, objects, hc, sc, court_dim, now, errors, limits)
     if not failures.isEmpty():
         cycles.fail_partitions(store, once(failures), now, limits)
         cycles.log(store, failure_events(store.read("scanned_partitions"), failures), now,

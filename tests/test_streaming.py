@@ -157,6 +157,44 @@ def test_walk_goes_on_past_an_unreadable_partition(spark, tmp_path, store):
     assert store.read("items").count() == 7
 
 
+def test_ticks_walk_the_plan_then_read_what_is_due_alone(spark, tmp_path, store):
+    from docketflow.plans import walk
+    from docketflow.sources.listing import place_objects
+    from docketflow.streaming.walk import stream_walk
+    hc, sc = readers(spark)
+    asked = []
+
+    def lister(targets):
+        benches = sorted(r.bench for r in targets.collect())
+        asked.append(("list", benches))
+        bad = [b for b in benches if b == "b" and len(asked) < 4]
+        found = [(BUCKET, f"data/pdf/year=2024/court=9_13/bench={x}/1.pdf", 5000) for x in benches if x not in bad]
+        failures = [(f"hc/year=2024/court=9_13/bench={b}", "hc", "timed out") for b in bad]
+        return (place_objects(spark.createDataFrame(found, "bucket string, s3_key string, bytes long")),
+                spark.createDataFrame(failures, "prefix string, source string, error string"))
+
+    def metadata_of(targets):
+        asked.append(("read", sorted(r.bench for r in targets.collect())))
+        return hc([2024])
+
+    walk.install(store, target_rows(spark, "a", "b", "c"))
+    source = str(tmp_path / "ticks")
+    for tick, at in enumerate((0, 1, 2, 70)):
+        spark.createDataFrame([(dt.datetime.fromtimestamp(NOW + at, dt.UTC),)], "timestamp timestamp").coalesce(
+            1).write.mode("append").parquet(source)
+        ticks = spark.readStream.schema("timestamp timestamp").parquet(source)
+        query = stream_walk(ticks, str(tmp_path / "cp"), store, lister, metadata_of, sc([]), size=2,
+                            trigger={"availableNow": True})
+        query.awaitTermination()
+        assert query.exception() is None
+        if tick == 2:  # nothing is due yet, so nothing was listed
+            assert len(asked) == 4
+    assert asked == [("list", ["a", "b"]), ("read", ["a"]), ("list", ["c"]), ("read", ["c"]),
+                     ("list", ["b"]), ("read", ["b"])]
+    assert store.read("items").count() == 3
+    assert {r.status for r in store.read("scanned_partitions").collect()} == {"done"}
+
+
 def test_partitions_begun_but_lost_are_owed_a_scan(spark, store):
     from docketflow.operators import partitions
     from docketflow.plans import walk
