@@ -480,6 +480,15 @@ _DONE = """SELECT batch_id, count(*) AS total,
   count(*) = count(*) FILTER (WHERE status IN ('pushed', 'skipped', 'failed')) AS done
 FROM fx_items GROUP BY batch_id"""
 sql("batch_completion", "items", _DONE)
+sql("delivery_events", "items responses", "+ " + _CLASSIFIED + f"""
+SELECT CASE o.outcome WHEN 'auth' THEN 'error' WHEN 'retry' THEN CASE WHEN i.attempts + 1 >= 3 THEN 'error'
+    ELSE 'warn' END ELSE 'info' END AS level,
+  CASE o.outcome WHEN 'pushed' THEN 'Pushed ' || i.citation || ' as document ' || o.document_id
+    WHEN 'skipped' THEN 'Skipped ' || i.citation || ': ' || o.message
+    WHEN 'auth' THEN 'Push halted: ' || o.message
+    ELSE 'Push failed: ' || i.citation || ': ' || o.message END AS message, i.id AS item_id
+FROM fx_items i JOIN classified o ON o.item_id = i.id
+UNION ALL SELECT 'info', 'Batch ' || batch_id || ' complete', NULL FROM ({_DONE}) WHERE done""")
 sql("open_batch", "items", f"""
 SELECT coalesce(max(batch_id) FILTER (WHERE NOT done), max(batch_id) + 1) AS id,
   max(batch_id) FILTER (WHERE NOT done) IS NULL AS created FROM ({_DONE})""")

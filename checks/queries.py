@@ -448,6 +448,16 @@ def delivery_outcomes(spark, sf):
     return seconds(out.select(*_AFTER), "pushed_at")
 
 
+@query
+def delivery_events(spark, sf):
+    """What deliveries and the batches they complete add to the log."""
+    i = Inputs(spark, sf)
+    outcomes = _outcomes(i)
+    after = transitions.apply_outcomes(i.items(), outcomes, now())
+    closing = batches.completed_batches(i.items())
+    return delivery.outcome_events(after, outcomes).unionByName(batches.completion_events(closing))
+
+
 @query
 def replayed_responses(spark, sf):
     """Responses twice over, and late ones to an earlier claim that came last of all."""

@@ -50,3 +50,11 @@ def completed_batches(items: DataFrame) -> DataFrame:
     """Batches to close, as a change set for ``set_batch_status``."""
     return batch_completion(items).where("done").select(
         F.col("batch_id").alias("id"), F.lit("done").alias("status"))
+
+
+def completion_events(closing: DataFrame) -> DataFrame:
+    """Log lines of batches that are done."""
+    return closing.select(
+        F.lit("info").alias("level"),
+        F.concat(F.lit("Batch "), F.col("id").cast("string"), F.lit(" complete")).alias("message"),
+        F.lit(None).cast("long").alias("item_id"))

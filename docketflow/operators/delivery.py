@@ -81,6 +81,26 @@ def classify(responses: DataFrame) -> DataFrame:
         F.lit("downloaded").alias("retry_state"))
 
 
+def outcome_events(after: DataFrame, outcomes: DataFrame, what: str = "Push") -> DataFrame:
+    """Log lines (level, message, item_id), one per outcome, from the rows as they are ``after`` it.
+
+    A failed try is a warning while others are left, then an error; refused credentials are one.
+    """
+    told = outcomes.select(F.col("item_id").alias("id"), "outcome", "message")
+    rows = after.select("id", "citation", "status", "document_id").join(told, "id")
+    outcome, message = F.col("outcome"), F.coalesce("message", F.lit(""))
+    name = F.coalesce("citation", F.concat(F.lit("item "), F.col("id").cast("string")))
+    parked = F.when(F.col("status") == "failed", "error").otherwise("warn")
+    return rows.select(
+        F.when(outcome == "auth", "error").when(outcome == "retry", parked).otherwise("info").alias("level"),
+        F.when(outcome == "pushed", F.concat(
+            F.lit("Pushed "), name, F.lit(" as document "), F.col("document_id").cast("string")))
+        .when(outcome == "skipped", F.concat(F.lit("Skipped "), name, F.lit(": "), message))
+        .when(outcome == "auth", F.concat(F.lit("Push halted: "), message))
+        .otherwise(F.concat(F.lit(f"{what} failed: "), name, F.lit(": "), message)).alias("message"),
+        F.col("id").cast("long").alias("item_id"))
+
+
 def auth_halt(outcomes: DataFrame) -> DataFrame:
     """One row: whether any upload was refused for its credentials, how many, and why."""
     refused = F.col("outcome") == "auth"

@@ -163,8 +163,18 @@ def fail_downloads(
         .select("item_id", F.lit("retry").alias("outcome"),
                 F.lit(None).cast("long").alias("document_id"), "message",
                 F.lit("discovered").alias("retry_state")))
+    apply_logged(store, active, outcomes, now, limits, "Download")
+
+
+def apply_logged(
+    store: TableStore, active: DataFrame, outcomes: DataFrame, now: Column, limits: Limits, what: str
+) -> None:
+    """Apply outcomes to the rows of ``active`` they name, and log each of them."""
     touched = active.join(outcomes.select(F.col("item_id").alias("id")), "id", "left_semi")
-    change_items(store, touched, transitions.apply_outcomes(touched, outcomes, now, limits))
+    after = settle(transitions.apply_outcomes(touched, outcomes, now, limits))
+    events = settle(delivery.outcome_events(after, outcomes, what))
+    change_items(store, touched, after)
+    log(store, events, now, ["item_id"], limits)
 
 
 def retry_failed_items(store: TableStore) -> None:
@@ -212,19 +222,21 @@ def apply_responses(
     items = store.read("items")
     active = items.where(F.col("status") == "uploading")
     outcomes = settle(delivery.classify(delivery.answered(active, responses)))
-    touched = active.join(outcomes.select(F.col("item_id").alias("id")), "id", "left_semi")
-    change_items(store, touched, transitions.apply_outcomes(touched, outcomes, now, limits))
-    close_batches(store, now)
+    apply_logged(store, active, outcomes, now, limits, "Push")
+    close_batches(store, now, limits)
     return delivery.auth_halt(outcomes)
 
 
-def close_batches(store: TableStore, now: Column) -> None:
-    """Mark every batch done whose rows are all at rest, once."""
+def close_batches(store: TableStore, now: Column, limits: Limits = DEFAULTS) -> None:
+    """Mark every batch done whose rows are all at rest, and log it, once."""
     known = store.read("batches")
     finished = batches.completed_batches(store.read("items"))
     pending = known.where(F.col("status") != "done").select("id")
-    store.replace("batches", batches.set_batch_status(
-        known, finished.join(pending, "id", "left_semi"), now))
+    closing = settle(finished.join(pending, "id", "left_semi"))
+    if closing.isEmpty():
+        return
+    store.replace("batches", batches.set_batch_status(known, closing, now))
+    log(store, batches.completion_events(closing), now, ["message"], limits)
 
 
 def recover(store: TableStore, staged: DataFrame) -> DataFrame:
