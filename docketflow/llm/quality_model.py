@@ -294,9 +294,10 @@ def scored(docs: DataFrame, model: AdditiveModel, good: float = GOOD) -> DataFra
 def keep_predicted(docs: DataFrame, model: AdditiveModel, least: float = GOOD) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, unchanged and without a shuffle.
 
-    A model that was fitted to no rows knows nothing of any document: all rows are kept.
+    A model without tables, fitted to no rows or to rows of one label alone, can't tell one document
+    from another: all rows are kept.
     """
-    if not model.rows:
+    if not model.tables:
         return docs
     where = docs.schema.fieldNames().index("text")
 

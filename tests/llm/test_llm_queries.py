@@ -68,11 +68,13 @@ def test_near_dedup_keeps_one_row_of_each_group(spark, sf_dir):
         (0, ""), (0, "einmalig"), (1, text(1)), (5, text(3)), (6, text(4)), (7, text(5)), (8, ""), (8, "")]
 
 
-def test_classifier_without_labels_keeps_all(spark, tmp_path):
+def test_classifier_without_labels_of_both_kinds_keeps_all(spark, tmp_path):
     docs = frames.importable(spark).createDataFrame(
         [(i, f"clean text number {i} " * 20) for i in range(8)], "doc_id bigint, text string")
-    for name, ids in (("none", []), ("others", [100, 101, 102, 103])):
-        labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id bigint, quality int")
+    cases = {"none": [], "others": [(i, i % 2) for i in range(100, 104)],
+             "bad": [(i, 0) for i in range(8)], "good": [(i, 1) for i in range(8)]}
+    for name, known in cases.items():
+        labels = spark.createDataFrame(known, "doc_id bigint, quality int")
         labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
         out = corpus_pipeline.quality_classifier(spark, docs, f"{tmp_path}/{name}")
         assert sorted(out.collect()) == sorted(docs.collect())
