@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from docketflow.llm.arrays import Slice, mixed, slices
 from docketflow.llm.frames import components, mapped, settle
+from docketflow.llm.piece_arrays import give_back
 
 PER_BAND = 4
 MISS = 1e-5
@@ -123,7 +124,7 @@ def sketch(docs: DataFrame, words: int, bands: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["n_shingles", "f1", "f2", *_band_names(bands)]
     schema = f"doc_id {kind}, " + ", ".join(f"{x} bigint" for x in names)
-    return mapped(docs.select("doc_id", "text"), _sketcher(words, bands), schema)
+    return mapped(docs.select("doc_id", "text"), _lean(_sketcher(words, bands)), schema)
 
 
 def _keys(bands: int) -> Column:
@@ -225,19 +226,41 @@ def candidates(nodes: DataFrame, bands: int, percent: int) -> DataFrame:
         .select("key", "node", "n", *_band_names(bands))
         .repartition("key").sortWithinPartitions("key")
     )
-    forest = mapped(small, _forest(bands, percent), "a bigint, b bigint")
+    forest = mapped(small, _lean(_forest(bands, percent)), "a bigint, b bigint")
     return hubs.unionAll(forest).where("a <> b").distinct()
 
 
+#: Shingles of other sets that one comparison holds at a time.
+TOGETHER = 250_000
+
+
+def _lean(run: Callable) -> Callable:
+    """``run``, whose worker returns its memory when a task ends."""
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def _overlaps(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, one: int,
               others: np.ndarray) -> np.ndarray:
+    """How many shingles each of ``others`` shares with ``one``, a bounded number of sets at a time."""
     own = values[starts[one] : starts[one] + sizes[one]]
-    count = sizes[others]
-    ends = np.cumsum(count)
-    at = np.arange(ends[-1]) + np.repeat(starts[others] - (ends - count), count)
-    x = values[at]
-    hit = own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x
-    return np.add.reduceat(hit.astype(np.int64), ends - count)
+    out, total, first = [], np.cumsum(sizes[others]), 0
+    while first < len(others):
+        done = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, done + TOGETHER, "right")))
+        part = others[first:last]
+        count = sizes[part]
+        ends = np.cumsum(count)
+        x = values[np.arange(ends[-1]) + np.repeat(starts[part] - (ends - count), count)]
+        hit = own[np.minimum(np.searchsorted(own, x), len(own) - 1)] == x
+        out.append(np.add.reduceat(hit.astype(np.int64), ends - count))
+        first = last
+    return np.concatenate(out)
 
 
 def linked(prior: np.ndarray, sizes: np.ndarray, values: np.ndarray, bands: int,
@@ -296,7 +319,7 @@ def _linker(bands: int, percent: int) -> Callable:
 def _link(rows: DataFrame, bands: int, percent: int) -> DataFrame:
     rows = rows.select("g1", "g2", "node", "label", "shingles")
     rows = rows.repartition("g1", "g2").sortWithinPartitions("g1", "g2", "node")
-    return mapped(rows, _linker(bands, percent), "a bigint, b bigint")
+    return mapped(rows, _lean(_linker(bands, percent)), "a bigint, b bigint")
 
 
 def _set_reader(words: int) -> Callable:
@@ -341,7 +364,7 @@ def verified(docs: DataFrame, nodes: DataFrame, tied: DataFrame, words: int, ban
     read = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.first_id)).select(
         "text", "node", "root", "n", "f1", "f2")
     sets = settle(
-        mapped(read, _set_reader(words),
+        mapped(read, _lean(_set_reader(words)),
                "node bigint, root bigint, n bigint, shingles array<bigint>")
         # Copies under one id give one node: rows of equal sets, any of them will do.
         .dropDuplicates(["node"])
