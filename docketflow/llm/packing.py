@@ -11,6 +11,7 @@ offset.  Pieces are numbered within their length without any task seeing all of
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from bisect import bisect_left, insort
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketflow.llm.frames import mapped, settle
-from docketflow.llm.pieces import PieceCache, id_bytes, solid_words, texts_of
-from docketflow.llm.token_counts import byte_characters, merger
+from docketflow.llm.piece_arrays import LETTERS, NARROW, NUMBERS, PieceStore, give_back, ids_of
+from docketflow.llm.token_counts import byte_characters
 
 CAPACITY = 4096
 #: Tokens that a pattern may leave empty, and lengths tried for its second and third document.
@@ -34,69 +35,93 @@ STEPS = 300
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> PieceCache:
-    """A cache of word ids by a tokenizers file that drops white space.
+def word_encoder(path: str) -> PieceStore:
+    """The ids of words by a tokenizers file that drops white space.
 
-    The library's model encodes each distinct pre-token once; words with special strings go
-    through the whole library.
+    The library's model encodes each distinct pre-token once.  Words of wider scripts are cut by the
+    library's own pre-tokenizer, and words with special strings go through the whole library.
     """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    library, splitter, chars = Tokenizer.from_file(path), merger(path), dict(enumerate(byte_characters()))
-    model = library.model
-
-    def compute(words: list[str]) -> list[bytes]:
-        plain = [w for w in words if "<|" not in w]
-        special = [w for w in words if "<|" in w]
-        tokens = splitter.pre_tokens(plain)
-        known = {}
-        for token in {t for x in tokens for t in x}:
-            text = token.decode() if token.isalnum() else token.decode("latin-1").translate(chars)
-            found = model.tokenize(text)
-            known[token] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
-        ids = {w: known[x[0]] if len(x) == 1 else b"".join([known[t] for t in x])
-               for w, x in zip(plain, tokens, strict=True)}
+    library, chars = Tokenizer.from_file(path), dict(enumerate(byte_characters()))
+    model, normal, splitter = library.model, library.normalizer, library.pre_tokenizer
+    # The pre-tokenizer's pattern, over lower-case words of characters up to NARROW.
+    pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
+
+    def by_model(text: str) -> bytes:
+        found = model.tokenize(text)
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+    def encode(token: str) -> bytes:
+        plain = token.isascii() and token.isalnum()
+        return by_model(token if plain else token.encode().decode("latin-1").translate(chars))
+
+    def compute(store: PieceStore, words: list[str]) -> list[bytes]:
+        ids: dict[str, bytes] = {}
+        narrow, lower, special = [], [], []
+        for word in words:
+            low = word.lower()
+            if "<|" in word:
+                special.append(word)
+            elif low.isascii() or max(low) <= NARROW:
+                narrow.append(word)
+                lower.append([low] if low.isalpha() else pattern.findall(low))
+            else:
+                found = splitter.pre_tokenize_str(normal.normalize_str(word))
+                ids[word] = b"".join([by_model(t) for t, _ in found])
+        ids.update(zip(narrow, store.joined(lower), strict=True))
         for word, found in zip(special, library.encode_batch_fast(
                 special, add_special_tokens=False), strict=True):
             ids[word] = np.array(found.ids, "<u4").tobytes()
         return [ids[w] for w in words]
 
-    return PieceCache(compute)
+    return PieceStore(compute, encode)
 
 
-def _cutter(path: str, end_id: int, capacity: int, keep_ids: bool) -> Callable:
-    end = struct.pack("<I", end_id)
+def _pieces(ids: np.ndarray, bounds: np.ndarray, end_id: int, capacity: int) -> tuple[np.ndarray, ...]:
+    """Ids with the end id after each text, and of every piece: text, number, start, place, length."""
+    closed = np.insert(ids, bounds[1:], end_id)
+    size = np.diff(bounds) + 1
+    first = np.cumsum(size) - size
+    count = -(-size // capacity)
+    text = np.repeat(np.arange(len(size)), count)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+    start = number * capacity
+    return closed, text, number, start, first[text] + start, np.minimum(capacity, size[text] - start)
+
 
+def _cutter(path: str, end_id: int, capacity: int, keep_ids: bool) -> Callable:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part = word_encoder(path), TaskContext.get().partitionId()
+        store, part = word_encoder(path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            at, piece, start, ids = [], [], [], []
-            for row, raw in enumerate(id_bytes(texts_of(batch.column(1)), solid_words, cache)):
-                raw += end
-                for k, lo in enumerate(range(0, len(raw), 4 * capacity)):
-                    at.append(row)
-                    piece.append(k)
-                    start.append(lo // 4)
-                    ids.append(raw[lo : lo + 4 * capacity])
-            length = np.array([len(x) // 4 for x in ids], np.int64)
-            # The number of each piece among those of its length in this task.
-            order = np.argsort(length, kind="stable")
-            first = np.searchsorted(length[order], length[order])
-            nth = np.empty(len(length), np.int64)
-            nth[order] = np.arange(len(length)) - first + seen[length[order]]
-            seen += np.bincount(length, minlength=capacity + 1)
-            columns = {
-                "doc_id": batch.column(0).take(pa.array(at, pa.int64())),
-                "piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
-                "length": pa.array(length),
-                "ids_crc32": pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                "part": pa.array(np.full(len(ids), part, np.int64)), "nth": pa.array(nth),
-            }
-            if keep_ids:
-                columns["ids"] = pa.array(ids, pa.binary())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        try:
+            for batch in batches:
+                row = 0
+                for ids, bounds in ids_of(batch.column(1), False, store):
+                    closed, text, number, start, place, length = _pieces(ids, bounds, end_id, capacity)
+                    raw = memoryview(closed.astype("<u4")).cast("B")
+                    spans = [raw[4 * lo : 4 * (lo + n)] for lo, n in zip(place, length, strict=True)]
+                    # The number of each piece among those of its length in this task.
+                    order = np.argsort(length, kind="stable")
+                    first = np.searchsorted(length[order], length[order])
+                    nth = np.empty(len(length), np.int64)
+                    nth[order] = np.arange(len(length)) - first + seen[length[order]]
+                    seen += np.bincount(length, minlength=capacity + 1)
+                    columns = {
+                        "doc_id": batch.column(0).take(pa.array(row + text, pa.int64())),
+                        "piece": pa.array(number.astype(np.int32)), "start": pa.array(start),
+                        "length": pa.array(length),
+                        "ids_crc32": pa.array([zlib.crc32(x) for x in spans], pa.int64()),
+                        "part": pa.array(np.full(len(text), part, np.int64)), "nth": pa.array(nth),
+                    }
+                    if keep_ids:
+                        columns["ids"] = pa.array([bytes(x) for x in spans], pa.binary())
+                    yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                    row += len(bounds) - 1
+        finally:
+            store.forget()
+            give_back()
 
     return run
 

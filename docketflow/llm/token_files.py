@@ -9,6 +9,7 @@ document in the index and decompresses only the frames that hold it.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -23,8 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketflow.llm.frames import mapped, settle
-from docketflow.llm.pieces import PieceCache, id_bytes, led_words, library_ids, texts_of
+from docketflow.llm.piece_arrays import (
+    BARE, LETTERS, NARROW, NUMBERS, PieceStore, give_back, ids_of, led_piece)
+from docketflow.llm.pieces import library_ids
 from docketflow.llm.shared_files import new_folder, opened, written
+from docketflow.llm.token_counts import byte_characters
 
 # Magic numbers of the public skippable and seekable formats.
 INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -35,8 +39,8 @@ _NO_ID = np.iinfo(np.int64).min
 
 
 @lru_cache(maxsize=2)
-def text_encoder(path: str) -> PieceCache:
-    """A cache of piece ids by the byte-level tokenizers file at ``path``."""
+def text_encoder(path: str) -> PieceStore:
+    """The ids of pieces by the byte-level tokenizers file at ``path``."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,7 +50,33 @@ def text_encoder(path: str) -> PieceCache:
     def alone(piece: str) -> bool:  # where a line break before or after could change the cut
         return "\n" in piece or "<|" in piece or piece[:2].isspace()
 
-    return PieceCache(lambda x: library_ids(tokenizer, x, "\n", line, alone))
+    chars, model = dict(enumerate(byte_characters())), tokenizer.model
+    # The pre-tokenizer's pattern, over characters up to NARROW whose white space is " " and "\n".
+    pattern = re.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^ \n{LETTERS}{NUMBERS}]+"
+        r"|[ \n]+(?![^ \n])|[ \n]+")
+    odd = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0]|<\|")
+
+    def encode(token: str) -> bytes:
+        found = model.tokenize(token.encode().decode("latin-1").translate(chars))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+    def compute(store: PieceStore, keys: list[str]) -> list[bytes]:
+        ids: dict[str, bytes] = {}
+        narrow, tokens, wide = [], [], []
+        for key in keys:
+            if (key.isascii() or max(key) <= NARROW) and key and (
+                    key.isalpha() or not odd.search(key, key[0] == BARE)):
+                narrow.append(key)
+                tokens.append([" " + key] if key.isalpha() else pattern.findall(led_piece(key)))
+            else:
+                wide.append(key)
+        ids.update(zip(narrow, store.joined(tokens), strict=True))
+        ids.update(zip(wide, library_ids(
+            tokenizer, [led_piece(k) for k in wide], "\n", line, alone), strict=True))
+        return [ids[k] for k in keys]
+
+    return PieceStore(compute, encode)
 
 
 class TokenWriter:
@@ -143,12 +173,17 @@ def _file_writer(folder: str, path: str, end_id: int) -> Callable:
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part, nth = text_encoder(path), TaskContext.get().partitionId(), 0
+        store, part, nth = text_encoder(path), TaskContext.get().partitionId(), 0
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
-                ids = id_bytes(texts_of(batch.column(1)), led_words, cache)
-                yield from zip(batch.column(0).to_pylist(), ids, strict=True)
+                names = iter(batch.column(0).to_pylist())
+                for ids, bounds in ids_of(batch.column(1), True, store):
+                    raw = ids.tobytes()
+                    for lo, hi in zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
+                        yield next(names), raw[lo:hi]
+            store.forget()
+            give_back()
 
         rows, done = documents(), False
         row = next(rows, None)
