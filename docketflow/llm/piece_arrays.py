@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from docketflow.llm.pieces import led_words, solid_words, texts_of
 
 #: Bytes of text handled together, and of pre-tokens remembered during a task.
-SLICE_BYTES, TOKEN_BYTES = 4 << 20, 40 << 20
+SLICE_BYTES, TOKEN_BYTES = 2 << 20, 40 << 20
 #: What a remembered string and its ids take beside its characters.
 ENTRY_BYTES = 250
 #: Marks a key whose piece has no space before it.
@@ -42,21 +42,21 @@ LETTERS, NUMBERS = _of_class("L"), _of_class("N")
 
 
 class PieceStore:
-    """Ids of pieces, as little-endian bytes; those of pre-tokens are remembered during a task.
+    """Ids of pieces, as little-endian bytes, remembered during a task.
 
     ``compute`` gives the ids of distinct pieces; ``encode`` those of a single pre-token, which many
-    pieces share.
+    pieces share.  Pre-tokens are remembered, and pieces too up to ``keep`` bytes.
     """
 
-    def __init__(self, compute: Callable[[PieceStore, list[str]], list[bytes]], encode: Callable[[str], bytes]):
-        self.compute, self.encode = compute, encode
-        self.tokens: dict[str, bytes] = {}
-        self.held = 0
+    def __init__(self, compute: Callable[[PieceStore, list[str]], list[bytes]],
+                 encode: Callable[[str], bytes] | None = None, keep: int = 0):
+        self.compute, self.encode, self.keep = compute, encode, keep
+        self.forget()
 
     def joined(self, pieces: Iterable[list[str]]) -> list[bytes]:
         """Ids of pieces given as their pre-tokens."""
         if self.held > TOKEN_BYTES:
-            self.forget()
+            self.tokens, self.held = {}, 0
         tokens, out = self.tokens, []
         for piece in pieces:
             for token in piece:
@@ -67,10 +67,23 @@ class PieceStore:
         return out
 
     def values(self, keys: list[str]) -> list[bytes]:
-        return self.compute(self, keys)
+        if not self.keep:
+            return self.compute(self, keys)
+        found = list(map(self.known.get, keys))
+        if None in found:
+            unknown = list(dict.fromkeys(k for k, v in zip(keys, found, strict=True) if v is None))
+            fresh = dict(zip(unknown, self.compute(self, unknown), strict=True))
+            found = [fresh[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+            if self.kept > self.keep:
+                self.known, self.kept = {}, 0
+            self.known.update(fresh)
+            self.kept += sum(map(len, unknown)) + ENTRY_BYTES * len(unknown)
+        return found
 
     def forget(self) -> None:
-        self.tokens, self.held = {}, 0
+        self.tokens: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.held = self.kept = 0
 
 
 def give_back() -> None:
@@ -92,13 +105,13 @@ def led_piece(key: str) -> str:
     return key[1:] if key[:1] == BARE else key if key[:1] == "\n" else " " + key
 
 
-def _slices(column: pa.Array) -> Iterator[pa.Array]:
+def _slices(column: pa.Array, size: int) -> Iterator[pa.Array]:
     column = pc.fill_null(column.cast(pa.large_string()), "")
     offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset) if len(
         column) else np.zeros(1, np.int64)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
         part = column.slice(first, last - first)
         try:
             part.validate(full=True)
@@ -125,12 +138,12 @@ def _split(texts: pa.Array, led: bool) -> tuple[np.ndarray, np.ndarray, list[str
     return codes[full], kept[bounds], keys
 
 
-def ids_of(column: pa.Array, led: bool, store: PieceStore) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def ids_of(column: pa.Array, led: bool, store: PieceStore, size: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, bounds) of consecutive texts of ``column``: text i has ids[bounds[i] : bounds[i + 1]].
 
     With ``led`` pieces are words with the white space before them, else words alone.
     """
-    for texts in _slices(column):
+    for texts in _slices(column, size or SLICE_BYTES):
         odd = pc.match_substring_regex(texts, _ODD_LED if led else _ODD_SOLID).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
         codes, bounds, keys = _split(plain, led)
@@ -144,10 +157,10 @@ def ids_of(column: pa.Array, led: bool, store: PieceStore) -> Iterator[tuple[np.
             codes = np.concatenate(parts)
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
         values = store.values(keys)
-        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        length = np.fromiter(map(len, values), np.int64, len(values)) // 4
         data = np.frombuffer(b"".join(values), "<u4")
-        starts = np.cumsum(size) - size
-        count = size[codes]
+        starts = np.cumsum(length) - length
+        count = length[codes]
         ends = np.concatenate([[0], np.cumsum(count)])
         ids = data[np.repeat(starts[codes] - ends[:-1], count) + np.arange(ends[-1])]
         yield ids, ends[bounds]

@@ -9,7 +9,6 @@ document in the index and decompresses only the frames that hold it.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -24,8 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketflow.llm.frames import mapped, settle
-from docketflow.llm.piece_arrays import (
-    BARE, LETTERS, NARROW, NUMBERS, PieceStore, give_back, ids_of, led_piece)
+from docketflow.llm.piece_arrays import NARROW, PieceStore, give_back, ids_of, led_piece
 from docketflow.llm.pieces import library_ids
 from docketflow.llm.shared_files import new_folder, opened, written
 from docketflow.llm.token_counts import byte_characters
@@ -35,6 +33,8 @@ INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 
 FRAME_BYTES, FILE_BYTES = 1 << 20, 1 << 30
+#: Bytes of text handled together, and of pieces remembered during a task.
+TEXT_BYTES, PIECE_BYTES = 4 << 20, 96 << 20
 _NO_ID = np.iinfo(np.int64).min
 
 
@@ -51,32 +51,22 @@ def text_encoder(path: str) -> PieceStore:
         return "\n" in piece or "<|" in piece or piece[:2].isspace()
 
     chars, model = dict(enumerate(byte_characters())), tokenizer.model
-    # The pre-tokenizer's pattern, over characters up to NARROW whose white space is " " and "\n".
-    pattern = re.compile(
-        f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^ \n{LETTERS}{NUMBERS}]+"
-        r"|[ \n]+(?![^ \n])|[ \n]+")
-    odd = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0]|<\|")
-
-    def encode(token: str) -> bytes:
-        found = model.tokenize(token.encode().decode("latin-1").translate(chars))
+
+    def letters(key: str) -> bool:  # a space and letters are one pre-token
+        return key.isalpha() and (key.isascii() or max(key) <= NARROW)
+
+    def by_model(key: str) -> bytes:
+        word = key if key.isascii() else key.encode().decode("latin-1").translate(chars)
+        found = model.tokenize(chars[32] + word)
         return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
-    def compute(store: PieceStore, keys: list[str]) -> list[bytes]:
-        ids: dict[str, bytes] = {}
-        narrow, tokens, wide = [], [], []
-        for key in keys:
-            if (key.isascii() or max(key) <= NARROW) and key and (
-                    key.isalpha() or not odd.search(key, key[0] == BARE)):
-                narrow.append(key)
-                tokens.append([" " + key] if key.isalpha() else pattern.findall(led_piece(key)))
-            else:
-                wide.append(key)
-        ids.update(zip(narrow, store.joined(tokens), strict=True))
-        ids.update(zip(wide, library_ids(
-            tokenizer, [led_piece(k) for k in wide], "\n", line, alone), strict=True))
-        return [ids[k] for k in keys]
+    def compute(_: PieceStore, keys: list[str]) -> list[bytes]:
+        rest = [k for k in keys if not letters(k)]
+        known = dict(zip(rest, library_ids(
+            tokenizer, [led_piece(k) for k in rest], "\n", line, alone), strict=True))
+        return [known[k] if k in known else by_model(k) for k in keys]
 
-    return PieceStore(compute, encode)
+    return PieceStore(compute, keep=PIECE_BYTES)
 
 
 class TokenWriter:
@@ -178,7 +168,7 @@ def _file_writer(folder: str, path: str, end_id: int) -> Callable:
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
                 names = iter(batch.column(0).to_pylist())
-                for ids, bounds in ids_of(batch.column(1), True, store):
+                for ids, bounds in ids_of(batch.column(1), True, store, TEXT_BYTES):
                     raw = ids.tobytes()
                     for lo, hi in zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True):
                         yield next(names), raw[lo:hi]
