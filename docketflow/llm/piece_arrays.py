@@ -1,5 +1,5 @@
 """Ids of whole Arrow columns of texts: pieces are split and told apart in Arrow, and only the distinct
-ones of a slice become Python strings.
+ones of a slice, or its words not yet known, become Python strings.
 
 A text is cut into pieces that tokenise alone.  Texts whose white space is single spaces and line
 breaks are cut by Arrow, others by the slower functions of ``pieces``; both give the same pieces.
@@ -8,6 +8,7 @@ breaks are cut by Arrow, others by the slower functions of ``pieces``; both give
 from __future__ import annotations
 
 import ctypes
+import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
@@ -42,15 +43,15 @@ LETTERS, NUMBERS = _of_class("L"), _of_class("N")
 
 
 class PieceStore:
-    """Ids of pieces, as little-endian bytes, remembered during a task.
+    """Ids of pieces, as little-endian bytes; those of pre-tokens are remembered during a task.
 
     ``compute`` gives the ids of distinct pieces; ``encode`` those of a single pre-token, which many
-    pieces share.  Pre-tokens are remembered, and pieces too up to ``keep`` bytes.
+    pieces share.
     """
 
     def __init__(self, compute: Callable[[PieceStore, list[str]], list[bytes]],
-                 encode: Callable[[str], bytes] | None = None, keep: int = 0):
-        self.compute, self.encode, self.keep = compute, encode, keep
+                 encode: Callable[[str], bytes]):
+        self.compute, self.encode = compute, encode
         self.forget()
 
     def joined(self, pieces: Iterable[list[str]]) -> list[bytes]:
@@ -66,24 +67,92 @@ class PieceStore:
             out.append(tokens[piece[0]] if len(piece) == 1 else b"".join([tokens[t] for t in piece]))
         return out
 
-    def values(self, keys: list[str]) -> list[bytes]:
-        if not self.keep:
-            return self.compute(self, keys)
-        found = list(map(self.known.get, keys))
-        if None in found:
-            unknown = list(dict.fromkeys(k for k, v in zip(keys, found, strict=True) if v is None))
-            fresh = dict(zip(unknown, self.compute(self, unknown), strict=True))
-            found = [fresh[k] if v is None else v for k, v in zip(keys, found, strict=True)]
-            if self.kept > self.keep:
-                self.known, self.kept = {}, 0
-            self.known.update(fresh)
-            self.kept += sum(map(len, unknown)) + ENTRY_BYTES * len(unknown)
-        return found
+    def arrays(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths): key i has ids[starts[i] : starts[i] + lengths[i]]."""
+        values = self.compute(self, keys)
+        length = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        return np.frombuffer(b"".join(values), "<u4"), np.cumsum(length) - length, length
 
     def forget(self) -> None:
         self.tokens: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-        self.held = self.kept = 0
+        self.held = 0
+
+
+#: A key of letters, at most with a line break or the mark before them and ``LONGEST`` of ``STOPS`` after.
+STOPS, LONGEST = "!#$%&)*+,./:;=?@^`|}~", 8
+WORD = f"{BARE}?[{LETTERS}]+"
+_PLAIN = rf"^(\n|{BARE}?)[{LETTERS}]+[{re.escape(STOPS)}]{{0,{LONGEST}}}$"
+
+
+class WordTable:
+    """Ids of led pieces, as arrays; words are remembered with theirs, up to ``keep`` bytes.
+
+    A byte-level pre-tokenizer cuts a line break off the letters after it, and letters off what
+    follows, so a plain key is up to three words: the line break, the letters, the stops.  A
+    word is a key too; ``compute`` gives the ids of distinct ones, and where each one's end.
+    """
+
+    def __init__(self, compute: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], keep: int):
+        self.compute, self.keep = compute, keep
+        self.forget()
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where the words are in the table; new ones are added."""
+        found = pc.index_in(words, value_set=self.words)
+        at = found.fill_null(-1).to_numpy().astype(np.int64)
+        if found.null_count:
+            if len(self.words) and self.words.nbytes + self.ids.nbytes + self.ends.nbytes > self.keep:
+                self.forget()
+                return self.places(words)
+            fresh = words.filter(found.is_null()).dictionary_encode()
+            at[at < 0] = len(self.words) + fresh.indices.to_numpy().astype(np.int64)
+            ids, ends = self.compute(fresh.dictionary)
+            self.ends = np.concatenate([self.ends, len(self.ids) + ends])
+            self.ids = np.concatenate([self.ids, ids])
+            self.words = pa.concat_arrays([self.words, fresh.dictionary])
+        return at
+
+    def arrays(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lengths): key i has ids[starts[i] : starts[i] + lengths[i]]."""
+        plain = pc.match_substring_regex(keys, _PLAIN)
+        stems = pc.ascii_rtrim(keys, STOPS)
+        words = pc.if_else(plain, pc.replace_substring(stems, "\n", BARE), keys)
+        led = pc.and_(plain, pc.starts_with(keys, "\n")).to_numpy(zero_copy_only=False)
+        tail = np.where(plain, pc.subtract(pc.binary_length(keys), pc.binary_length(stems)), 0)
+        tailed, tails, which = _tails(keys, tail)
+        at = self.places(pa.concat_arrays([words, pa.array([*tails, "\n", BARE], words.type)]))
+        line, none = at[-2:]
+        parts = np.full((len(keys), 3), none)
+        parts[led, 0] = line
+        parts[:, 1] = at[: len(keys)]
+        parts[tailed, 2] = at[len(keys) : -2][which]
+        first, size = self.ends[parts], self.ends[parts + 1] - self.ends[parts]
+        ids, _ = _gathered(self.ids, first.ravel(), size.ravel())
+        length = size.sum(1)
+        return ids, np.cumsum(length) - length, length
+
+    def forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+
+def _tails(keys: pa.Array, size: np.ndarray) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Which keys end with ``size`` stops, those endings as distinct keys, and the ending of each."""
+    offsets = np.frombuffer(keys.buffers()[1], np.int64, len(keys) + 1, 8 * keys.offset)
+    raw = np.frombuffer(keys.buffers()[2] or b"", np.uint8)
+    tailed = np.flatnonzero(size)
+    packed = np.zeros(len(tailed), np.uint64)  # the last character in the lowest byte
+    for j in range(LONGEST):
+        have = size[tailed] > j
+        packed[have] |= raw[offsets[tailed[have] + 1] - 1 - j].astype(np.uint64) << np.uint64(8 * j)
+    values, which = np.unique(packed, return_inverse=True)
+    return tailed, [BARE + v.to_bytes(8, "big").lstrip(b"\0").decode() for v in values.tolist()], which
+
+
+def _gathered(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of ``data`` one after another, and their bounds."""
+    ends = np.concatenate([[0], np.cumsum(length)])
+    return data[np.repeat(starts - ends[:-1], length) + np.arange(ends[-1])], ends
 
 
 def give_back() -> None:
@@ -121,27 +190,29 @@ def _slices(column: pa.Array, size: int) -> Iterator[pa.Array]:
         first = last
 
 
-def _split(texts: pa.Array, led: bool) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Codes of all pieces, bounds of the texts in them, and the distinct keys."""
+def _split(texts: pa.Array, led: bool) -> tuple[np.ndarray, np.ndarray, list[str] | pa.Array]:
+    """Codes of all pieces, bounds of the texts in them, and the distinct keys, in Arrow if ``led``."""
     lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if led else " "), " ")
     bounds = lists.offsets.to_numpy().astype(np.int64)
     pieces = lists.flatten().dictionary_encode()
     bounds -= bounds[0]
-    codes, keys = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
+    codes, keys = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary
     if led:  # the first piece of a text has no space before it
         first = bounds[:-1]
-        firsts = [BARE + keys[i] for i in codes[first]]
+        firsts = pa.array([BARE + k for k in keys.take(pa.array(codes[first])).to_pylist()], keys.type)
         codes[first] = len(keys) + np.arange(len(firsts))
-        return codes, bounds, keys + firsts
+        return codes, bounds, pa.concat_arrays([keys, firsts])
+    keys = keys.to_pylist()
     full = np.array([bool(k) for k in keys], bool)[codes] if len(keys) else np.zeros(0, bool)
     kept = np.concatenate([[0], np.cumsum(full)])
     return codes[full], kept[bounds], keys
 
 
-def ids_of(column: pa.Array, led: bool, store: PieceStore, size: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def ids_of(column: pa.Array, led: bool, store: PieceStore | WordTable,
+           size: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, bounds) of consecutive texts of ``column``: text i has ids[bounds[i] : bounds[i + 1]].
 
-    With ``led`` pieces are words with the white space before them, else words alone.
+    With ``led`` pieces are words with the white space before them, for a table; else words alone, for a store.
     """
     for texts in _slices(column, size or SLICE_BYTES):
         odd = pc.match_substring_regex(texts, _ODD_LED if led else _ODD_SOLID).to_numpy(zero_copy_only=False)
@@ -153,14 +224,9 @@ def ids_of(column: pa.Array, led: bool, store: PieceStore, size: int | None = No
             for i in np.flatnonzero(odd):
                 found = split(texts[int(i)].as_py())
                 parts[i] = np.array([at.setdefault(k, len(keys) + len(at)) for k in found], np.int64)
-            keys = keys + list(at)
+            keys = pa.concat_arrays([keys, pa.array(list(at), keys.type)]) if led else keys + list(at)
             codes = np.concatenate(parts)
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
-        values = store.values(keys)
-        length = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        data = np.frombuffer(b"".join(values), "<u4")
-        starts = np.cumsum(length) - length
-        count = length[codes]
-        ends = np.concatenate([[0], np.cumsum(count)])
-        ids = data[np.repeat(starts[codes] - ends[:-1], count) + np.arange(ends[-1])]
+        data, starts, length = store.arrays(keys)
+        ids, ends = _gathered(data, starts[codes], length[codes])
         yield ids, ends[bounds]

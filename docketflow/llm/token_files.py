@@ -11,11 +11,13 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketflow.llm.frames import mapped, settle
-from docketflow.llm.piece_arrays import NARROW, PieceStore, give_back, ids_of, led_piece
+from docketflow.llm.piece_arrays import BARE, WORD, WordTable, give_back, ids_of, led_piece
 from docketflow.llm.pieces import library_ids
 from docketflow.llm.shared_files import new_folder, opened, written
 from docketflow.llm.token_counts import byte_characters
@@ -33,40 +35,45 @@ INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 
 FRAME_BYTES, FILE_BYTES = 1 << 20, 1 << 30
-#: Bytes of text handled together, and of pieces remembered during a task.
-TEXT_BYTES, PIECE_BYTES = 4 << 20, 96 << 20
+#: Bytes of text handled together, and of words remembered with their ids.
+TEXT_BYTES, WORD_BYTES = 4 << 20, 32 << 20
 _NO_ID = np.iinfo(np.int64).min
 
 
 @lru_cache(maxsize=2)
-def text_encoder(path: str) -> PieceStore:
-    """The ids of pieces by the byte-level tokenizers file at ``path``."""
+def text_encoder(path: str) -> WordTable:
+    """The ids of pieces by the byte-level tokenizers file at ``path``.
+
+    The library's model encodes each distinct run of letters once, and the whole library what is no word.
+    """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     line = tokenizer.encode("\n", add_special_tokens=False).ids[0]
+    chars, model = dict(enumerate(byte_characters())), tokenizer.model
 
     def alone(piece: str) -> bool:  # where a line break before or after could change the cut
         return "\n" in piece or "<|" in piece or piece[:2].isspace()
 
-    chars, model = dict(enumerate(byte_characters())), tokenizer.model
-
-    def letters(key: str) -> bool:  # a space and letters are one pre-token
-        return key.isalpha() and (key.isascii() or max(key) <= NARROW)
-
-    def by_model(key: str) -> bytes:
-        word = key if key.isascii() else key.encode().decode("latin-1").translate(chars)
-        found = model.tokenize(chars[32] + word)
-        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
-
-    def compute(_: PieceStore, keys: list[str]) -> list[bytes]:
-        rest = [k for k in keys if not letters(k)]
-        known = dict(zip(rest, library_ids(
-            tokenizer, [led_piece(k) for k in rest], "\n", line, alone), strict=True))
-        return [known[k] if k in known else by_model(k) for k in keys]
-
-    return PieceStore(compute, keep=PIECE_BYTES)
+    def compute(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        # Letters, also with a space before them, are one pre-token, which the model encodes.
+        letters = pc.match_substring_regex(words, f"^{WORD}$")
+        rest = [led_piece(k) for k in words.filter(pc.invert(letters)).to_pylist()]
+        others = iter(library_ids(tokenizer, rest, "\n", line, alone))
+        ids, ends = array("I"), []
+        for word, known in zip(words.to_pylist(), letters.to_pylist(), strict=True):
+            if known:
+                start, word = ("", word[1:]) if word[0] == BARE else (chars[32], word)
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(chars)
+                ids.extend([t.id for t in model.tokenize(start + word)])
+            else:
+                ids.extend(np.frombuffer(next(others), "<u4").tolist())
+            ends.append(len(ids))
+        return np.array(ids, "<u4"), np.array(ends, np.int64)
+
+    return WordTable(compute, WORD_BYTES)
 
 
 class TokenWriter:

@@ -42,3 +42,33 @@ def test_ids_are_the_librarys(led, name, encoder, monkeypatch):
     wrong = [(a, b, c) for a, b, c in zip(rows, got, want, strict=True) if b != c]
     assert not wrong, wrong[:3]
     assert [x.shape for x, _ in piece_arrays.ids_of(column.slice(0, 0), led, store)] == []
+
+
+def test_words_are_encoded_once_whatever_stops_follow(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rnd = random.Random(11)
+    words = ["ab" * (i % 5 + 1) + chr(97 + i % 26) + chr(97 + i // 26) for i in range(300)] + ["été", "Ñandú", "ǅ"]
+    ends = ["", ",", ".", "...", "!!", ",$$$", ".&&&", "!" * 8, "!" * 9, "'", "'s", "<|", "<|endoftext|>", ")}", "²", "-", ".x"]
+    rows = ["", "\n", *words, *["".join(rnd.choice([" ", " ", "\n"]) + rnd.choice(words) + rnd.choice(ends) for _ in range(30)).strip()
+                                for _ in range(400)]]
+    want = [x.ids for x in Tokenizer.from_file(path).encode_batch_fast(rows, add_special_tokens=False)]
+    store = text_encoder(path)
+    compute, computed = store.compute, []
+
+    def counted(*args):
+        computed.extend(args[-1] if isinstance(args[-1], list) else args[-1].to_pylist())
+        return compute(*args)
+
+    monkeypatch.setattr(store, "compute", counted)
+    for keep, size in ((store.keep, 1 << 20), (2_000, 3_000)):  # all words remembered, and few
+        monkeypatch.setattr(store, "keep", keep)
+        computed.clear()
+        store.forget()
+        got = [ids[lo:hi].tolist() for ids, at in piece_arrays.ids_of(pa.array(rows), True, store, size)
+               for lo, hi in zip(at[:-1], at[1:], strict=True)]
+        assert got == want
+        if size == 1 << 20:
+            stopped = [w for w in computed if w.lstrip("\x1f\n")[:1].isalpha() and w[-1] in ",.!$&)}" and len(w) < 20]
+            assert not [w for w in stopped if not w.endswith("!" * 9)], stopped[:5]
+            assert len(computed) == len(set(computed))
+    store.forget()
