@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketflow.llm.frames import mapped, settle
-from docketflow.llm.piece_arrays import LETTERS, NARROW, NUMBERS, PieceStore, give_back, ids_of
+from docketflow.llm.piece_arrays import LETTERS, NARROW, NUMBERS, WordTable, give_back, ids_of
 from docketflow.llm.token_counts import byte_characters
 
 CAPACITY = 4096
@@ -35,7 +35,7 @@ STEPS = 300
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> PieceStore:
+def word_encoder(path: str) -> WordTable:
     """The ids of words by a tokenizers file that drops white space.
 
     The library's model encodes each distinct pre-token once.  Words of wider scripts are cut by the
@@ -49,34 +49,37 @@ def word_encoder(path: str) -> PieceStore:
     # The pre-tokenizer's pattern, over lower-case words of characters up to NARROW.
     pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
 
-    def by_model(text: str) -> bytes:
-        found = model.tokenize(text)
-        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+    def by_model(text: str) -> list[int]:
+        return [t.id for t in model.tokenize(text)]
 
-    def encode(token: str) -> bytes:
+    def encode(token: str) -> list[int]:
         plain = token.isascii() and token.isalnum()
         return by_model(token if plain else token.encode().decode("latin-1").translate(chars))
 
-    def compute(store: PieceStore, words: list[str]) -> list[bytes]:
-        ids: dict[str, bytes] = {}
-        narrow, lower, special = [], [], []
+    def compute(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = column.to_pylist()
+        special = iter(library.encode_batch_fast(
+            [w for w in words if "<|" in w], add_special_tokens=False))
+        parts: dict[str, list[int]] = {}  # the ids of words' parts, which many words share
+        ids, ends = array("I"), []
         for word in words:
             low = word.lower()
             if "<|" in word:
-                special.append(word)
-            elif low.isascii() or max(low) <= NARROW:
-                narrow.append(word)
-                lower.append([low] if low.isalpha() else pattern.findall(low))
+                ids.extend(next(special).ids)
+            elif not low.isascii() and max(low) > NARROW:
+                for token, _ in splitter.pre_tokenize_str(normal.normalize_str(word)):
+                    ids.extend(by_model(token))
+            elif low.isalpha():
+                ids.extend(encode(low))
             else:
-                found = splitter.pre_tokenize_str(normal.normalize_str(word))
-                ids[word] = b"".join([by_model(t) for t, _ in found])
-        ids.update(zip(narrow, store.joined(lower), strict=True))
-        for word, found in zip(special, library.encode_batch_fast(
-                special, add_special_tokens=False), strict=True):
-            ids[word] = np.array(found.ids, "<u4").tobytes()
-        return [ids[w] for w in words]
-
-    return PieceStore(compute, encode)
+                for token in pattern.findall(low):
+                    if token not in parts:
+                        parts[token] = encode(token)
+                    ids.extend(parts[token])
+            ends.append(len(ids))
+        return np.array(ids, "<u4"), np.array(ends, np.int64)
+
+    return WordTable(compute, lower=True)
 
 
 def _pieces(ids: np.ndarray, bounds: np.ndarray, end_id: int, capacity: int) -> tuple[np.ndarray, ...]:

@@ -1,5 +1,5 @@
-"""Ids of whole Arrow columns of texts: pieces are split and told apart in Arrow, and only the distinct
-ones of a slice, or its words not yet known, become Python strings.
+"""Ids of whole Arrow columns of texts: pieces are split and told apart in Arrow, and only words not yet
+known become Python strings.
 
 A text is cut into pieces that tokenise alone.  Texts whose white space is single spaces and line
 breaks are cut by Arrow, others by the slower functions of ``pieces``; both give the same pieces.
@@ -10,7 +10,7 @@ from __future__ import annotations
 import ctypes
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +18,8 @@ import pyarrow.compute as pc
 
 from docketflow.llm.pieces import led_words, solid_words, texts_of
 
-#: Bytes of text handled together, and of pre-tokens remembered during a task.
-SLICE_BYTES, TOKEN_BYTES = 2 << 20, 40 << 20
-#: What a remembered string and its ids take beside its characters.
-ENTRY_BYTES = 250
+#: Bytes of text handled together, and of words remembered with their ids.
+SLICE_BYTES, TOKEN_BYTES = 2 << 20, 32 << 20
 #: Marks a key whose piece has no space before it.
 BARE = "\x1f"
 
@@ -42,58 +40,27 @@ def _of_class(major: str) -> str:
 LETTERS, NUMBERS = _of_class("L"), _of_class("N")
 
 
-class PieceStore:
-    """Ids of pieces, as little-endian bytes; those of pre-tokens are remembered during a task.
-
-    ``compute`` gives the ids of distinct pieces; ``encode`` those of a single pre-token, which many
-    pieces share.
-    """
-
-    def __init__(self, compute: Callable[[PieceStore, list[str]], list[bytes]],
-                 encode: Callable[[str], bytes]):
-        self.compute, self.encode = compute, encode
-        self.forget()
-
-    def joined(self, pieces: Iterable[list[str]]) -> list[bytes]:
-        """Ids of pieces given as their pre-tokens."""
-        if self.held > TOKEN_BYTES:
-            self.tokens, self.held = {}, 0
-        tokens, out = self.tokens, []
-        for piece in pieces:
-            for token in piece:
-                if token not in tokens:
-                    tokens[token] = self.encode(token)
-                    self.held += ENTRY_BYTES + len(token)
-            out.append(tokens[piece[0]] if len(piece) == 1 else b"".join([tokens[t] for t in piece]))
-        return out
-
-    def arrays(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, starts, lengths): key i has ids[starts[i] : starts[i] + lengths[i]]."""
-        values = self.compute(self, keys)
-        length = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        return np.frombuffer(b"".join(values), "<u4"), np.cumsum(length) - length, length
-
-    def forget(self) -> None:
-        self.tokens: dict[str, bytes] = {}
-        self.held = 0
-
-
-#: A key of letters, at most with a line break or the mark before them and ``LONGEST`` of ``STOPS`` after.
+#: A plain key: letters, at most with ``LONGEST`` of ``STOPS`` after and, if led, a line break or the mark before.
 STOPS, LONGEST = "!#$%&)*+,./:;=?@^`|}~", 8
 WORD = f"{BARE}?[{LETTERS}]+"
-_PLAIN = rf"^(\n|{BARE}?)[{LETTERS}]+[{re.escape(STOPS)}]{{0,{LONGEST}}}$"
+_STOPPED = rf"[{re.escape(STOPS)}]{{0,{LONGEST}}}$"
+_PLAIN_LED = rf"^(\n|{BARE}?)[{LETTERS}]+{_STOPPED}"
+# These may be put in lower case: no letter whose lower case ends in a mark, which the stops would join.
+_PLAIN_SOLID = f"^[{''.join(c for c in LETTERS if c.lower().isalpha())}]+{_STOPPED}"
 
 
 class WordTable:
-    """Ids of led pieces, as arrays; words are remembered with theirs, up to ``keep`` bytes.
+    """Ids of pieces, as arrays; words are remembered with theirs, up to ``keep`` bytes.
 
-    A byte-level pre-tokenizer cuts a line break off the letters after it, and letters off what
-    follows, so a plain key is up to three words: the line break, the letters, the stops.  A
-    word is a key too; ``compute`` gives the ids of distinct ones, and where each one's end.
+    The pre-tokenizers cut letters off what follows, and a byte-level one a line break off the
+    letters after it, so a plain key is up to three words: the line break, the letters, the stops.
+    A word is a key too; ``compute`` gives the ids of distinct ones, and where each one's end.  With
+    ``lower`` the letters of plain keys are one word in either case.
     """
 
-    def __init__(self, compute: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], keep: int):
-        self.compute, self.keep = compute, keep
+    def __init__(self, compute: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
+                 keep: int | None = None, lower: bool = False):
+        self.compute, self.keep, self.lower = compute, keep, lower
         self.forget()
 
     def places(self, words: pa.Array) -> np.ndarray:
@@ -101,7 +68,8 @@ class WordTable:
         found = pc.index_in(words, value_set=self.words)
         at = found.fill_null(-1).to_numpy().astype(np.int64)
         if found.null_count:
-            if len(self.words) and self.words.nbytes + self.ids.nbytes + self.ends.nbytes > self.keep:
+            held = self.words.nbytes + self.ids.nbytes + self.ends.nbytes
+            if len(self.words) and held > (self.keep or TOKEN_BYTES):
                 self.forget()
                 return self.places(words)
             fresh = words.filter(found.is_null()).dictionary_encode()
@@ -112,20 +80,24 @@ class WordTable:
             self.words = pa.concat_arrays([self.words, fresh.dictionary])
         return at
 
-    def arrays(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def arrays(self, keys: pa.Array, led: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, starts, lengths): key i has ids[starts[i] : starts[i] + lengths[i]]."""
-        plain = pc.match_substring_regex(keys, _PLAIN)
+        plain = pc.match_substring_regex(keys, _PLAIN_LED if led else _PLAIN_SOLID)
         stems = pc.ascii_rtrim(keys, STOPS)
-        words = pc.if_else(plain, pc.replace_substring(stems, "\n", BARE), keys)
-        led = pc.and_(plain, pc.starts_with(keys, "\n")).to_numpy(zero_copy_only=False)
         tail = np.where(plain, pc.subtract(pc.binary_length(keys), pc.binary_length(stems)), 0)
         tailed, tails, which = _tails(keys, tail)
-        at = self.places(pa.concat_arrays([words, pa.array([*tails, "\n", BARE], words.type)]))
-        line, none = at[-2:]
-        parts = np.full((len(keys), 3), none)
-        parts[led, 0] = line
+        bare = BARE if led else ""  # alone, a word of no ids
+        if led:
+            stems = pc.replace_substring(stems, "\n", BARE)
+        words = pc.if_else(plain, pc.ascii_lower(stems) if self.lower else stems, keys)
+        others = [*(bare + t for t in tails), *(["\n"] if led else []), bare]
+        at = self.places(pa.concat_arrays([words, pa.array(others, words.type)]))
+        parts = np.full((len(keys), 3), at[-1])
+        if led:
+            line = pc.and_(plain, pc.starts_with(keys, "\n")).to_numpy(zero_copy_only=False)
+            parts[line, 0] = at[-2]
         parts[:, 1] = at[: len(keys)]
-        parts[tailed, 2] = at[len(keys) : -2][which]
+        parts[tailed, 2] = at[len(keys) :][which]
         first, size = self.ends[parts], self.ends[parts + 1] - self.ends[parts]
         ids, _ = _gathered(self.ids, first.ravel(), size.ravel())
         length = size.sum(1)
@@ -146,7 +118,7 @@ def _tails(keys: pa.Array, size: np.ndarray) -> tuple[np.ndarray, list[str], np.
         have = size[tailed] > j
         packed[have] |= raw[offsets[tailed[have] + 1] - 1 - j].astype(np.uint64) << np.uint64(8 * j)
     values, which = np.unique(packed, return_inverse=True)
-    return tailed, [BARE + v.to_bytes(8, "big").lstrip(b"\0").decode() for v in values.tolist()], which
+    return tailed, [v.to_bytes(8, "big").lstrip(b"\0").decode() for v in values.tolist()], which
 
 
 def _gathered(data: np.ndarray, starts: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,8 +162,8 @@ def _slices(column: pa.Array, size: int) -> Iterator[pa.Array]:
         first = last
 
 
-def _split(texts: pa.Array, led: bool) -> tuple[np.ndarray, np.ndarray, list[str] | pa.Array]:
-    """Codes of all pieces, bounds of the texts in them, and the distinct keys, in Arrow if ``led``."""
+def _split(texts: pa.Array, led: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Codes of all pieces, bounds of the texts in them, and the distinct keys."""
     lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if led else " "), " ")
     bounds = lists.offsets.to_numpy().astype(np.int64)
     pieces = lists.flatten().dictionary_encode()
@@ -202,17 +174,16 @@ def _split(texts: pa.Array, led: bool) -> tuple[np.ndarray, np.ndarray, list[str
         firsts = pa.array([BARE + k for k in keys.take(pa.array(codes[first])).to_pylist()], keys.type)
         codes[first] = len(keys) + np.arange(len(firsts))
         return codes, bounds, pa.concat_arrays([keys, firsts])
-    keys = keys.to_pylist()
-    full = np.array([bool(k) for k in keys], bool)[codes] if len(keys) else np.zeros(0, bool)
+    full = (pc.binary_length(keys).to_numpy() > 0)[codes]
     kept = np.concatenate([[0], np.cumsum(full)])
     return codes[full], kept[bounds], keys
 
 
-def ids_of(column: pa.Array, led: bool, store: PieceStore | WordTable,
+def ids_of(column: pa.Array, led: bool, store: WordTable,
            size: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, bounds) of consecutive texts of ``column``: text i has ids[bounds[i] : bounds[i + 1]].
 
-    With ``led`` pieces are words with the white space before them, for a table; else words alone, for a store.
+    With ``led`` pieces are words with the white space before them, else words alone.
     """
     for texts in _slices(column, size or SLICE_BYTES):
         odd = pc.match_substring_regex(texts, _ODD_LED if led else _ODD_SOLID).to_numpy(zero_copy_only=False)
@@ -224,9 +195,9 @@ def ids_of(column: pa.Array, led: bool, store: PieceStore | WordTable,
             for i in np.flatnonzero(odd):
                 found = split(texts[int(i)].as_py())
                 parts[i] = np.array([at.setdefault(k, len(keys) + len(at)) for k in found], np.int64)
-            keys = pa.concat_arrays([keys, pa.array(list(at), keys.type)]) if led else keys + list(at)
+            keys = pa.concat_arrays([keys, pa.array(list(at), keys.type)])
             codes = np.concatenate(parts)
             bounds = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
-        data, starts, length = store.arrays(keys)
+        data, starts, length = store.arrays(keys, led)
         ids, ends = _gathered(data, starts[codes], length[codes])
         yield ids, ends[bounds]

@@ -72,3 +72,35 @@ def test_words_are_encoded_once_whatever_stops_follow(monkeypatch):
             assert not [w for w in stopped if not w.endswith("!" * 9)], stopped[:5]
             assert len(computed) == len(set(computed))
     store.forget()
+
+
+def test_words_without_white_space_are_encoded_once_in_any_case(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rnd = random.Random(13)
+    words = ["ab" * (i % 5 + 1) + chr(97 + i % 26) + chr(97 + i // 26) for i in range(300)]
+    forms = [str.lower, str.upper, str.capitalize]
+    odd = ["été", "ÉTÉ", "İstanbul", "H̱a", "T̈", "ǅ", "²x", "12", "a_b", "...", "<|endoftext|>", "<|ENDOFTEXT|>", "日本"]
+    ends = ["", ",", ".", "...", "!!", ",$$$", ".&&&", "!" * 8, "!" * 9, "'s", "'S", "'", "|>", ")}", "̱", "-x", ".x"]
+    rows = [*(" ".join(rnd.choice(forms)(rnd.choice(words)) + rnd.choice(ends) for _ in range(30)) for _ in range(300)),
+            *(rnd.choice(["\n", "  "]).join(rnd.choice(odd) + rnd.choice(ends) for _ in range(9)) for _ in range(300))]
+    want = [x.ids for x in Tokenizer.from_file(path).encode_batch_fast(rows, add_special_tokens=False)]
+    store = word_encoder(path)
+    compute, computed = store.compute, []
+
+    def counted(*args):
+        computed.extend(args[-1] if isinstance(args[-1], list) else args[-1].to_pylist())
+        return compute(*args)
+
+    monkeypatch.setattr(store, "compute", counted)
+    for keep, size in ((1 << 20, 3_000), (2_000, 3_000)):  # all words remembered, and few
+        monkeypatch.setattr(piece_arrays, "TOKEN_BYTES", keep)
+        computed.clear()
+        store.forget()
+        got = [ids[lo:hi].tolist() for ids, at in piece_arrays.ids_of(pa.array(rows), False, store, size)
+               for lo, hi in zip(at[:-1], at[1:], strict=True)]
+        assert got == want
+        if keep == 1 << 20:
+            assert len(computed) == len(set(computed))
+            stopped = [w for w in computed if w[:2] == "ab" and w[-1] in ",.$&}!" and not w.endswith("!" * 9)]
+            assert not stopped and not [w for w in computed if w.isascii() and w.isalpha() and w != w.lower()]
+    store.forget()
